@@ -18,6 +18,7 @@ _local_folders: dict[str, str] = {}
 
 _FIXED_WIDTH = 8
 _ROW_OVERHEAD = 16
+_UNBOUNDED = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -47,13 +48,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def size_aggregates(schema: T.StructType) -> tuple[list, int]:
-    """Aggregates that give a table's row count and variable-length bytes, and its fixed row width."""
+    """Aggregates that give a table's row count and variable-length bytes, and its fixed row width.
+
+    Columns of user-defined types (feature vectors) count as too wide to broadcast.
+    """
     width = _ROW_OVERHEAD
     lengths = []
     for field in schema.fields:
         width += _FIXED_WIDTH
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        if isinstance(field.dataType, T.UserDefinedType):
+            width += _UNBOUNDED
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
             lengths.append(F.octet_length(column))
         elif not isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType,
                                              T.TimestampNTZType, T.BooleanType)):
