@@ -67,10 +67,12 @@ def join_simulations(sims: DataFrame, features: DataFrame | StagedTable) -> Data
 
     Simulations of cells without climate stay, with NULLs.
     """
+    def by_cell(df: DataFrame) -> DataFrame:
+        return df.withColumnRenamed("id", "climate_id")
+
     keyed = sims.withColumn("climate_id", F.col("climate_id").cast("bigint"))
-    if not isinstance(features, StagedTable):
-        features = features.withColumnRenamed("id", "climate_id")
-        keyed, features = suffix_overlap(keyed, features, ["climate_id"])
+    features = features.change(by_cell) if isinstance(features, StagedTable) else by_cell(features)
+    keyed, features = suffix_overlap(keyed, features, ["climate_id"])
     joined = lookup_join(keyed, features, ["climate_id"], "left", spread_by=["event_id"])
     return joined.drop("folder")
 

@@ -7,6 +7,7 @@ order of the column's own type, from 0; a missing value gets code -1.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from agroflow.operators.ranking import ranked
 from agroflow.operators.rows import require_columns
 from agroflow.operators.skew import BROADCAST_BYTES, lookup_join
-from agroflow.sources.workspace import stage
+from agroflow.sources.workspace import bounded, stage
 
 DICTIONARY_SCHEMA = "column string, code int, value string, dtype string"
 MISSING_CODE = -1
@@ -63,14 +64,17 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DICTIONARY_SCHEMA).json(path)
 
 
-def _dictionary_columns(dictionary: DataFrame) -> dict[str, str]:
-    """Column to type; one row per encoded column."""
-    return {r["column"]: r["dtype"] for r in dictionary.select("column", "dtype").distinct().collect()}
+def _dictionary_columns(dictionary: DataFrame) -> dict[str, tuple[str, int, int]]:
+    """Column to type, entries and text bytes; one row per encoded column."""
+    sizes = dictionary.groupBy("column", "dtype").agg(
+        F.count(F.lit(1)).alias("entries"), F.sum(F.octet_length("value")).alias("text")
+    )
+    return {r["column"]: (r["dtype"], r["entries"], r["text"]) for r in sizes.collect()}
 
 
 def unknown_categories(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Every (column, value) of ``df`` that the dictionary lacks."""
-    dtypes = _dictionary_columns(dictionary)
+    dtypes = {c: dtype for c, (dtype, _, _) in _dictionary_columns(dictionary).items()}
     require_columns(df, dtypes)
     seen = _distinct_values(df, dtypes).select("column", "value")
     return lookup_join(seen, dictionary.select("column", "value"), ["column", "value"], "left_anti")
@@ -78,18 +82,17 @@ def unknown_categories(df: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def encode(df: DataFrame, dictionary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace the dictionary's columns by their codes; the dictionary must know every value."""
-    for column, dtype in sorted(_dictionary_columns(dictionary).items()):
+    columns = _dictionary_columns(dictionary)
+    names = df.columns
+    for column, (dtype, entries, text) in sorted(columns.items()):
         codes = dictionary.where(F.col("column") == column).select(
-            F.col("value").cast(dtype).alias(column), F.col("code").alias("_code")
-        )
-        coded = lookup_join(df, codes, [column], "left", broadcast_bytes=broadcast_bytes)
-        df = coded.select(
-            *[
-                F.coalesce("_code", F.lit(MISSING_CODE)).cast("int").alias(c) if c == column else F.col(f"`{c}`")
-                for c in df.columns
-            ]
+            F.col("value").cast(dtype).alias(column), F.col("code").alias(f"_code_{column}")
         )
-    return df
+        sized = bounded(codes, entries)
+        sized = replace(sized, bytes=sized.bytes + text)
+        df = lookup_join(df, sized, [column], "left", broadcast_bytes=broadcast_bytes)
+    coded = {c: F.coalesce(f"_code_{c}", F.lit(MISSING_CODE)).cast("int") for c in columns}
+    return df.select(*[coded[c].alias(c) if c in coded else F.col(f"`{c}`") for c in names])
 
 
 def fit_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroflow.operators.skew import lookup_join
-from agroflow.sources.workspace import stage
+from agroflow.sources.workspace import bounded, stage
 
 # Fixed layout of monotonically_increasing_id: partition above bit 33, row below.
 _ROW_BITS = 33
@@ -31,7 +31,8 @@ def ranked(df: DataFrame, within: Sequence[str], order_by: Sequence[str | Column
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")
     starts = sizes.select("_part", before.alias("_start"))
-    positioned = lookup_join(placed, starts, ["_part"]).withColumn(
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    positioned = lookup_join(placed, bounded(starts, parts), ["_part"]).withColumn(
         "_position", F.col("_start") + F.col("_place").bitwiseAND(F.lit(_ROW_MASK))
     )
     firsts = positioned.groupBy(*within).agg(F.min("_position").alias("_first"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agroflow.sources.workspace import StagedTable
+
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
@@ -52,10 +54,17 @@ def head(df: DataFrame, order_by: Sequence[str | Column], n: int) -> DataFrame:
 
 
 def suffix_overlap(
-    left: DataFrame, right: DataFrame, keys: Iterable[str], suffixes: tuple[str, str] = ("_x", "_y")
-) -> tuple[DataFrame, DataFrame]:
+    left: DataFrame, right: DataFrame | StagedTable, keys: Iterable[str], suffixes: tuple[str, str] = ("_x", "_y")
+) -> tuple[DataFrame, DataFrame | StagedTable]:
     """Rename non-key columns that both sides have, as a join of the two would need."""
-    keys = set(keys)
-    clash = [c for c in left.columns if c in set(right.columns) and c not in keys]
-    rename: list[Mapping[str, str]] = [{c: c + s for c in clash} for s in suffixes]
-    return left.withColumnsRenamed(rename[0]), right.withColumnsRenamed(rename[1])
+    keys, staged = set(keys), isinstance(right, StagedTable)
+    names = set(right.df.columns if staged else right.columns)
+    clash = [c for c in left.columns if c in names and c not in keys]
+    if not clash:
+        return left, right
+
+    def rename(df: DataFrame, suffix: str) -> DataFrame:
+        return df.withColumnsRenamed({c: c + suffix for c in clash})
+
+    renamed = right.change(lambda df: rename(df, suffixes[1])) if staged else rename(right, suffixes[1])
+    return rename(left, suffixes[0]), renamed

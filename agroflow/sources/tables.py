@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,16 @@ def read_prec_days(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.PREC_DAYS_TYPES)
 
 
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """One or many Parquet files or folders as one table."""
-    return nan_to_null(spark.read.parquet(*paths))
+def read_parquet(spark: SparkSession, *paths: str, where: Column | None = None) -> DataFrame:
+    """One or many Parquet files or folders as one table.
+
+    ``where`` is tested on the stored values, so it reaches the scan, and again
+    after NaN became NULL, so that NaN passes no comparison.
+    """
+    df = spark.read.parquet(*paths)
+    if where is None:
+        return nan_to_null(df)
+    return nan_to_null(df.where(where)).where(where)
 
 
 def write_parquet(

@@ -7,7 +7,8 @@ computed once, and comes with its exact row count and size for free.
 from __future__ import annotations
 
 import tempfile
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,10 +24,16 @@ _UNBOUNDED = 1 << 40
 
 @dataclass(frozen=True)
 class StagedTable:
+    """A table of known size: counted while it was written, or bounded by construction."""
+
     df: DataFrame
     rows: int
     bytes: int
 
+    def change(self, edit: Callable[[DataFrame], DataFrame]) -> StagedTable:
+        """The same rows under other names or with columns left out."""
+        return replace(self, df=edit(self.df))
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
@@ -75,6 +82,11 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["rows"], row["rows"] * width + row["text"]
 
 
+def bounded(df: DataFrame, rows: int) -> StagedTable:
+    """A table of fixed-width columns that cannot have more than ``rows`` rows."""
+    return StagedTable(df, rows, rows * (_ROW_OVERHEAD + _FIXED_WIDTH * len(df.columns)))
+
+
 def stage(df: DataFrame, label: str) -> StagedTable:
     """Write ``df`` once to the shared folder and read it back, with its measured size."""
     spark = df.sparkSession

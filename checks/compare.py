@@ -33,8 +33,10 @@ def _sorted(columns, data):
 
 def compare(spark: SparkSession, connection, folder: str, name: str) -> str:
     """Empty if the query's columns and rows equal its SQL's."""
+    start = time.time()
     df = REGISTRY[name](spark, folder)
     columns, mine = _sorted(df.columns, [tuple(r) for r in df.collect()])
+    print(f"     {name} spark {time.time() - start:.1f}s", end=" ", flush=True)
     if name not in ORACLE:
         return "" if mine else "no rows"
     result = connection.execute(ORACLE[name])
@@ -64,6 +66,7 @@ def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     ).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)

@@ -200,9 +200,8 @@ def with_views(body: str, first: str = "") -> str:
 
     visit(first + " " + body)
     ctes = [f"{n} AS ({texts[n].strip()})" for n in needed]
-    recursive = "RECURSIVE " if first else ""
     parts = [*ctes, *([first.strip()] if first else [])]
-    return (f"WITH {recursive}" + ",\n".join(parts) + "\n" if parts else "") + body
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 def _mentions(text: str, name: str) -> bool:
@@ -220,20 +219,14 @@ def rounded(columns, digits: int = 6) -> str:
     return listed(f"ROUND({c}, {digits}) AS {c}" for c in columns)
 
 
-# Greedy grouped folds, one group after the other: (id, load and state of five folds).
-_LIGHTEST = (
-    "CASE WHEN l1 <= LEAST(l2, l3, l4, l5) THEN 1 WHEN l2 <= LEAST(l3, l4, l5) THEN 2 "
-    "WHEN l3 <= LEAST(l4, l5) THEN 3 WHEN l4 <= l5 THEN 4 ELSE 5 END"
-)
+# Greedy grouped folds: the list of group sizes, heaviest first, is folded into the five loads,
+# each size going to the first of the lightest.
+_gains = listed(f"a[{i}] + CASE WHEN LIST_POSITION(a, LIST_MIN(a)) = {i} THEN x[1] ELSE 0 END" for i in range(1, 6))
 GREEDY = f"""
-sized AS (SELECT COUNT(*) AS w, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, id) AS rn FROM fx_outputs GROUP BY id),
-given AS (
-  SELECT CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS l1, CAST(0 AS BIGINT) AS l2, CAST(0 AS BIGINT) AS l3,
-         CAST(0 AS BIGINT) AS l4, CAST(0 AS BIGINT) AS l5
-  UNION ALL
-  SELECT rn, {listed(f"l{i} + CASE WHEN pick = {i} THEN w ELSE 0 END" for i in range(1, 6))}
-  FROM (SELECT s.rn, s.w, l1, l2, l3, l4, l5, {_LIGHTEST} AS pick FROM given g JOIN sized s ON s.rn = g.rn + 1)
-)
+sized AS (SELECT COUNT(*) AS w FROM fx_outputs GROUP BY id),
+steps AS (SELECT LIST([CAST(w AS BIGINT)] ORDER BY w DESC) AS ws FROM sized),
+given AS (SELECT LIST_REDUCE(LIST_PREPEND([CAST(0 AS BIGINT), 0, 0, 0, 0], ws), LAMBDA a, x : [{_gains}]) AS loads
+          FROM steps)
 """
 
 # Profile likelihood over a fine grid of powers, refined by a parabola.
@@ -365,9 +358,8 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(SUM(n) AS BIGINT) AS n, ROUND(ANY_VALUE(lam), 4) AS lam, ROUND(SUM(n * y) / SUM(n), 3) AS mean, "
         "ROUND(SQRT(SUM(n * y * y) / SUM(n) - POWER(SUM(n * y) / SUM(n), 2)), 3) AS std FROM final", YJ_FIT),
     "group_kfold": with_views(
-        "SELECT CAST(fold AS INT) AS fold, load AS n_val, CAST(1 AS BIGINT) AS folds_per_group FROM ("
-        + " UNION ALL ".join(f"SELECT {i} AS fold, l{i} AS load, rn FROM given" for i in range(1, 6))
-        + ") WHERE rn = (SELECT MAX(rn) FROM given)", GREEDY),
+        "SELECT CAST(f AS INT) AS fold, loads[f] AS n_val, CAST(1 AS BIGINT) AS folds_per_group "
+        "FROM given CROSS JOIN RANGE(1, 6) r(f)", GREEDY),
     "group_kfold_hash": with_views(
         "SELECT COUNT(*) AS n, CAST(1 AS BIGINT) AS folds_per_group, CAST(1 AS INT) AS first_fold, "
         "CAST(5 AS INT) AS last_fold FROM fx_outputs"),

@@ -58,10 +58,9 @@ def scan_climate_normalised(t: Tables) -> DataFrame:
 
 @query
 def scan_project_filter(t: Tables) -> DataFrame:
-    orders = tables.read_parquet(t.spark, f"{t.folder}/orders.parquet")
-    return orders.where((F.col("o_totalprice") > 200000) & (F.col("o_orderstatus") == "F")).select(
-        "o_orderkey", "o_custkey", "o_totalprice"
-    )
+    wanted = (F.col("o_totalprice") > 200000) & (F.col("o_orderstatus") == "F")
+    orders = tables.read_parquet(t.spark, f"{t.folder}/orders.parquet", where=wanted)
+    return orders.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query
@@ -123,7 +122,8 @@ def climate_class_join(t: Tables) -> DataFrame:
 
 @query
 def simulation_climate_left(t: Tables) -> DataFrame:
-    return climate.join_simulations(t.sims, _class_features(t)).withColumnRenamed("Class", "class")
+    features_by_cell = stage(_class_features(t), "climate-features")
+    return climate.join_simulations(t.sims, features_by_cell).withColumnRenamed("Class", "class")
 
 
 # --- cleaning --------------------------------------------------------------
@@ -273,10 +273,14 @@ def squared_features(t: Tables) -> DataFrame:
     )
 
 
+def _training_table(t: Tables) -> DataFrame:
+    panel = stage(_enriched(t), "panel").df
+    return training_table.training_table(panel, t.climate).table
+
+
 @query
 def prepare_training(t: Tables) -> DataFrame:
-    built = training_table.training_table(_enriched(t), t.climate).table
-    return _rounded(built, ["yield", "synth_org_ratio"])
+    return _rounded(_training_table(t), ["yield", "synth_org_ratio"])
 
 
 # --- encoding --------------------------------------------------------------
@@ -437,8 +441,7 @@ ROUNDS, DEPTH = 3, 4
 
 def _training_rows(t: Tables) -> DataFrame:
     """The training table; seasons that have no day in the sparse test climate count as -1."""
-    built = training_table.training_table(_enriched(t), t.climate).table
-    return stage(built.fillna(-1.0), "training-table").df
+    return stage(_training_table(t).fillna(-1.0), "training-table").df
 
 
 @query
