@@ -46,7 +46,8 @@ def lookup_join(
 
     ``how`` is one of the types that keep the left side whole or filter it:
     inner, left, left_semi, left_anti. ``spread_by`` are columns that tell the
-    rows of one key apart, by default all columns of ``facts``.
+    rows of one key apart, by default all columns of ``facts``. The columns of
+    ``facts`` come first, in their order.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"lookup_join does not do {how!r} joins")
@@ -55,14 +56,17 @@ def lookup_join(
         size, lookup = lookup.bytes, lookup.df
     else:
         size = measure(lookup)[1]
+    kept = [f"`{c}`" for c in facts.columns]
+    if how in {"inner", "left"}:
+        kept += [f"`{c}`" for c in lookup.columns if c not in on]
     if size <= broadcast_bytes:
-        return facts.join(F.broadcast(lookup), on, how)
+        return facts.join(F.broadcast(lookup), on, how).select(*kept)
 
     # Hashes agree only between equal types.
     lookup = lookup.withColumns({c: F.col(c).cast(facts.schema[c].dataType) for c in on})
     hot = frequent_key_hashes(facts, on, hot_share)
     if not hot:
-        return facts.join(lookup, on, how)
+        return facts.join(lookup, on, how).select(*kept)
 
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*on).isin(hot)
@@ -74,4 +78,4 @@ def lookup_join(
     salted_lookup = lookup.withColumn(
         "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
     )
-    return salted_facts.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    return salted_facts.join(salted_lookup, [*on, "_salt"], how).select(*kept)

@@ -16,8 +16,3 @@ def report(spark: SparkSession, log_dir: str, experiment: str, latest: bool = Tr
 
 def write_report(spark: SparkSession, log_dir: str, experiment: str, path: str) -> None:
     write_csv(report(spark, log_dir, experiment).coalesce(1), path)
-
-
-def write_cv_summary(summary: DataFrame, path: str) -> None:
-    """Means and deviations per target as JSON lines."""
-    summary.write.mode("overwrite").json(path)

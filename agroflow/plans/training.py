@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from agroflow import schemas
 from agroflow.operators.folds import fold_sizes, group_folds, shuffled_folds
-from agroflow.operators.metrics import cv_summary, regression_metrics
+from agroflow.operators.metrics import METRICS, cv_summary, regression_metrics
 from agroflow.operators.targets import TargetScaling, fit_target_scalings, transform_targets
 from agroflow.sources.run_log import append_runs, run_records
 from agroflow.sources.workspace import shared_folder, stage
@@ -51,6 +51,8 @@ class TrainingResult:
 class CrossValidation(TrainingResult):
     summary: DataFrame
     sizes: DataFrame
+    n_splits: int
+    splitter: str
 
 
 def regressor(
@@ -172,7 +174,12 @@ def cross_validate(
     chosen = PRESETS[preset]
     grouped = group is not None and group in df.columns
     columns = feature_columns(df, targets, [group] if grouped else [])
-    folded = group_folds(df, group, n_splits, seed) if grouped else shuffled_folds(df, df.columns, n_splits, seed)
+    if grouped:
+        folded = group_folds(df, group, n_splits, seed)
+        splitter = f"group folds (n_splits={n_splits}, group={group})"
+    else:
+        folded = shuffled_folds(df, df.columns, n_splits, seed)
+        splitter = f"shuffled folds (n_splits={n_splits}, seed={seed})"
     keep = [group, "fold"] if grouped else ["fold"]
     table, scalings = _training_input(folded, targets, columns, keep, missing)
 
@@ -194,7 +201,9 @@ def cross_validate(
     if log_dir:
         named = metrics.withColumn("run_name", F.concat(F.lit(f"{chosen.family}_cv_fold"), "fold"))
         _log(named, models, scalings, columns, chosen.family, log_dir, experiment)
-    return CrossValidation(models, scalings, predictions, metrics, cv_summary(metrics), fold_sizes(table))
+    return CrossValidation(
+        models, scalings, predictions, metrics, cv_summary(metrics), fold_sizes(table), n_splits, splitter
+    )
 
 
 def _log(metrics, models, scalings, columns, family, log_dir, experiment) -> None:
@@ -212,3 +221,33 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.select("model", "target", "y", "y_pred").write.mode("overwrite").partitionBy("model", "target").parquet(
         path
     )
+
+
+def write_cv_summary(cv: CrossValidation, path: str) -> None:
+    """One JSON record: splitter, fold sizes, and per target the fold metrics, their means and deviations.
+
+    Its lists have one entry per fold, its map one per target.
+    """
+    per_fold = F.array_sort(F.collect_list(F.struct("fold", *METRICS)))
+    folds = cv.metrics.groupBy("target").agg(per_fold.alias("fold_metrics"))
+
+    def gathered(prefix: str):
+        return F.struct(*[F.col(f"{prefix}_{m}").alias(m) for m in METRICS])
+
+    result = F.struct("fold_metrics", gathered("mean").alias("mean_metrics"), gathered("std").alias("std_metrics"))
+    results = folds.join(cv.summary, "target").agg(
+        F.map_from_entries(F.collect_list(F.struct("target", result))).alias("cv_results"),
+        F.array_sort(F.collect_list("target")).alias("targets"),
+    )
+    splits = [
+        F.struct(*[F.lit(value).alias(name) for name, value in size.asDict().items()])
+        for size in cv.sizes.orderBy("fold").collect()
+    ]
+    record = results.select(
+        F.lit(cv.n_splits).alias("n_splits"),
+        F.lit(cv.splitter).alias("splitter"),
+        "targets",
+        F.array(*splits).alias("splits_info"),
+        "cv_results",
+    )
+    record.write.mode("overwrite").json(path)
