@@ -59,7 +59,7 @@ def classify_cells(classes: DataFrame) -> DataFrame:
 
 
 def join_classes(totals: DataFrame, classes: DataFrame | StagedTable) -> DataFrame:
-    return lookup_join(totals, classes, ["id"], spread_by=["id", "harvest_year"])
+    return lookup_join(totals, classes, ["id"])
 
 
 def join_simulations(sims: DataFrame, features: DataFrame | StagedTable) -> DataFrame:
@@ -73,14 +73,23 @@ def join_simulations(sims: DataFrame, features: DataFrame | StagedTable) -> Data
     keyed = sims.withColumn("climate_id", F.col("climate_id").cast("bigint"))
     features = features.change(by_cell) if isinstance(features, StagedTable) else by_cell(features)
     keyed, features = suffix_overlap(keyed, features, ["climate_id"])
-    joined = lookup_join(keyed, features, ["climate_id"], "left", spread_by=["event_id"])
+    joined = lookup_join(keyed, features, ["climate_id"], "left")
     return joined.drop("folder")
 
 
+def day_totals(climate: DataFrame) -> DataFrame:
+    """One row per cell and day: repeated rows are added up before the shuffle."""
+    keyed = climate.where(F.col("id").isNotNull() & F.col("date").isNotNull())
+    return keyed.groupBy("id", "date").agg(F.sum("prec").alias("prec"))
+
+
 def rolling_precipitation(climate: DataFrame) -> DataFrame:
-    """Rain of the eight days up to each day and of the four days from it, inside its calendar year."""
+    """Rain of the eight days up to each day and of the four days from it, inside its calendar year.
+
+    A window partition is one cell's year: at most 366 rows.
+    """
     window = Window.partitionBy("id", F.year("date")).orderBy(F.dayofyear("date"))
-    return climate.select(
+    return day_totals(climate).select(
         "id",
         "date",
         F.sum("prec").over(window.rangeBetween(-7, 0)).alias("prec_before"),

@@ -35,12 +35,10 @@ def enrich(
     sims = sims.drop("folder").withColumn("climate_id", F.col("climate_id").cast("bigint"))
     panel, sims = suffix_overlap(panel, sims, [])
     by_id = sims.withColumn("id", F.col("event_id"))
-    joined = lookup_join(panel, by_id, ["id"], spread_by=["id", "year"], broadcast_bytes=broadcast_bytes)
+    joined = lookup_join(panel, by_id, ["id"], broadcast_bytes=broadcast_bytes)
 
     joined = joined.withColumn("harvest_year", F.col("year"))
     for lookup, keys in ((cell_year, ["climate_id", "harvest_year"]), (soil, ["site_id"])):
         joined, lookup = suffix_overlap(joined, lookup, keys)
-        joined = lookup_join(
-            joined, lookup, keys, spread_by=["id", "year"], broadcast_bytes=broadcast_bytes
-        )
+        joined = lookup_join(joined, lookup, keys, broadcast_bytes=broadcast_bytes)
     return joined

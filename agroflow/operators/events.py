@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from agroflow import schemas
 from agroflow.functions.calendar import event_date
+from agroflow.operators.climate import day_totals
 from agroflow.operators.rows import first_per_key
 from agroflow.operators.skew import BROADCAST_BYTES, lookup_join
 from agroflow.sources.workspace import stage
@@ -35,13 +36,9 @@ def event_rows(df: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
     return first_per_key(narrow, key, ["year", "climate_id"])
 
 
-def _day_totals(climate: DataFrame) -> DataFrame:
+def _measured_days(climate: DataFrame) -> DataFrame:
     """One row per cell and day; days without a measured value count as absent."""
-    return (
-        climate.where(F.col("prec").isNotNull() & F.col("date").isNotNull())
-        .groupBy(F.col("id").alias("climate_id"), F.year("date").alias("year"), "date")
-        .agg(F.sum("prec").alias("prec"))
-    )
+    return day_totals(climate.where(F.col("prec").isNotNull())).withColumnRenamed("id", "climate_id")
 
 
 def _window_sums(windows, shift: str, value: str) -> list:
@@ -61,7 +58,7 @@ def windows_by_cell_day(climate: DataFrame, windows=WINDOWS) -> DataFrame:
     no further shuffle. Windows end at the calendar year.
     """
     first, last = _span(windows)
-    days = _day_totals(climate).repartition("climate_id", "year")
+    days = _measured_days(climate).withColumn("year", F.year("date")).repartition("climate_id", "year")
     given = days.select(
         "climate_id", "year", "date", "prec", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("shift")
     )
@@ -84,9 +81,10 @@ def windows_by_event_day(climate: DataFrame, wanted: DataFrame, windows=WINDOWS)
     asked = pairs.select(
         "climate_id", "event_date", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("shift")
     ).withColumn("date", F.date_add("event_date", F.col("shift")))
-    days = _day_totals(climate).drop("year")
-    # Both sides have at most a few rows per (cell, day), whatever the events' skew.
-    found = asked.where(F.year("date") == F.year("event_date")).join(days, ["climate_id", "date"])
+    # A (cell, day) is in `days` once and is asked for by at most one event day
+    # per shift, so no key of this join is hot, whatever the events' skew.
+    same_year = asked.where(F.year("date") == F.year("event_date"))
+    found = same_year.join(_measured_days(climate), ["climate_id", "date"])
     return found.groupBy("climate_id", "event_date").agg(*_window_sums(windows, "shift", "prec"))
 
 
@@ -95,7 +93,8 @@ def windows_by_range(climate: DataFrame, wanted: DataFrame, windows=WINDOWS) ->
     first, last = _span(windows)
     pairs = wanted.select("climate_id", "event_date").where(F.col("event_date").isNotNull()).distinct()
     asked = pairs.withColumn("year", F.year("event_date"))
-    joined = asked.join(_day_totals(climate), ["climate_id", "year"]).withColumn(
+    days = _measured_days(climate).withColumn("year", F.year("date"))
+    joined = asked.join(days, ["climate_id", "year"]).withColumn(
         "shift", F.dayofyear("date") - F.dayofyear("event_date")
     )
     near = joined.where(F.col("shift").between(first, last))
@@ -114,20 +113,29 @@ def unpivot_events(events: DataFrame, key: Sequence[str]) -> DataFrame:
     return long.where(F.col("event_date").isNotNull() | (F.col("slot") == schemas.EVENT_SLOTS[0]))
 
 
+def choose_method(event_rows: int, cell_days: int) -> str:
+    """The cheaper way to the window sums.
+
+    ``cell_day`` costs by the climate table alone and wins when there are more
+    event dates than cell days; ``event_day`` costs by the distinct event days.
+    """
+    return "cell_day" if event_rows * len(schemas.EVENT_SLOTS) > cell_days else "event_day"
+
+
 def event_precipitation(
     events: DataFrame,
     climate: DataFrame,
     key: Sequence[str] = ("id",),
     windows=WINDOWS,
-    method: str = "cell_day",
+    method: str = "event_day",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Precipitation sums per key, event slot and window, as one wide row per key.
 
     ``events`` has one row per key with ``climate_id`` and the slot dates. A
-    sum is NULL where no measured day falls in the window. The window table is
-    at most the size of the climate table, is staged once, and is broadcast if
-    it measures below ``broadcast_bytes``.
+    sum is NULL where no measured day falls in the window. The window table has
+    at most one row per cell and day, is staged once, and is broadcast if it
+    measures below ``broadcast_bytes``. See :func:`choose_method` for ``method``.
     """
     key = list(key)
     long = unpivot_events(events, key)
@@ -144,7 +152,6 @@ def event_precipitation(
         stage(sums, "event-windows"),
         ["climate_id", "event_date"],
         "left",
-        spread_by=[*key, "slot"],
         broadcast_bytes=broadcast_bytes,
     )
     wide = [
@@ -157,4 +164,4 @@ def event_precipitation(
 
 def join_event_features(panel: DataFrame, features: DataFrame, key: Sequence[str] = ("id",), **limits) -> DataFrame:
     """Event features back onto every row of their key."""
-    return lookup_join(panel, features, key, spread_by=[*dict.fromkeys([*key, "year"])], **limits)
+    return lookup_join(panel, features, key, **limits)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agroflow.operators.ranking import ranked
 from agroflow.operators.skew import lookup_join
-from agroflow.sources.workspace import stage
+from agroflow.sources.workspace import bounded, stage
 
 _HASH_BITS = 63
 _DIGIT_BITS = 16
@@ -118,7 +118,7 @@ def group_folds(df: DataFrame, group: str = "id", n_splits: int = 5, seed: int =
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     spread = F.xxhash64(F.col(group), F.lit(seed))
-    ordered = stage(ranked(sizes.withColumn("_spread", spread), ["_size"], ["_spread", group], "_rank"), "groups").df
+    ordered = ranked(sizes.withColumn("_spread", spread), ["_size"], ["_spread", group], "_rank")
 
     loads = [0] * n_splits
     blocks = []
@@ -131,7 +131,7 @@ def group_folds(df: DataFrame, group: str = "id", n_splits: int = 5, seed: int =
                 start += n
     cuts = df.sparkSession.createDataFrame(blocks, "_size bigint, _from bigint, _to bigint, fold int")
     in_block = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
-    folds = lookup_join(ordered, cuts, ["_size"], spread_by=[group]).where(in_block).select(group, "fold")
+    folds = lookup_join(ordered, bounded(cuts, len(blocks)), ["_size"]).where(in_block).select(group, "fold")
     return lookup_join(df, stage(folds, "group-folds"), [group])
 
 

@@ -77,10 +77,9 @@ def regressor(
         featureSubsetStrategy=preset.column_share,
         maxBins=preset.bins,
         seed=seed,
+        validationTol=tolerance,
     )
-    if validation_column:
-        gbt = gbt.setValidationIndicatorCol(validation_column).setValidationTol(tolerance)
-    return gbt
+    return gbt.setValidationIndicatorCol(validation_column) if validation_column else gbt
 
 
 def feature_columns(df: DataFrame, targets: Sequence[str] = schemas.TARGETS, drop: Sequence[str] = ("id",)) -> list[str]:
@@ -93,16 +92,19 @@ def assemble_features(df: DataFrame, columns: Sequence[str], missing: str = "err
 
 
 def _training_input(
-    df: DataFrame, targets: Sequence[str], columns: Sequence[str], keep: Sequence[str], missing: str
-) -> tuple[DataFrame, dict[str, TargetScaling]]:
+    df: DataFrame,
+    scalings: Mapping[str, TargetScaling],
+    columns: Sequence[str],
+    keep: Sequence[str],
+    missing: str,
+) -> DataFrame:
     """Vectors, targets and transformed targets, written once for the many passes of training."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    scalings = fit_target_scalings(df, targets)
     vectors = assemble_features(transform_targets(df, scalings), columns, missing)
-    wanted = [*keep, *targets, *[f"{t}_t" for t in targets], "features"]
-    return stage(vectors.select(*dict.fromkeys(wanted)), "training-input").df, scalings
+    wanted = [*keep, *scalings, *[f"{t}_t" for t in scalings], "features"]
+    return stage(vectors.select(*dict.fromkeys(wanted)), "training-input").df
 
 
 def _score(
@@ -140,7 +142,8 @@ def train_multi_target(
     chosen = PRESETS[preset]
     keep = [c for c in keep if c in df.columns]
     columns = feature_columns(df, targets, ["id"])
-    table, scalings = _training_input(df, targets, columns, keep, missing)
+    scalings = fit_target_scalings(df, targets)
+    table = _training_input(df, scalings, columns, keep, missing)
     models = {t: regressor(chosen, t, rounds, depth, seed).fit(table) for t in targets}
     predictions = _score(table, models, scalings, keep).withColumn("model", F.lit(chosen.family))
     metrics = stage(regression_metrics(predictions, ["model", "target"]), "metrics").df
@@ -181,7 +184,8 @@ def cross_validate(
         folded = shuffled_folds(df, df.columns, n_splits, seed)
         splitter = f"shuffled folds (n_splits={n_splits}, seed={seed})"
     keep = [group, "fold"] if grouped else ["fold"]
-    table, scalings = _training_input(folded, targets, columns, keep, missing)
+    scalings = fit_target_scalings(df, targets)
+    table = _training_input(folded, scalings, columns, keep, missing)
 
     models: dict[str, dict] = {}
     scored = []

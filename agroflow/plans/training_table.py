@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 
 from agroflow import schemas
 from agroflow.operators.encoding import fit_encode
-from agroflow.operators.events import add_event_dates, event_precipitation, event_rows, join_event_features
+from agroflow.operators.events import (
+    add_event_dates,
+    choose_method,
+    event_precipitation,
+    event_rows,
+    join_event_features,
+)
 from agroflow.operators.features import (
     add_engineered_features,
     add_squares,
@@ -39,19 +45,21 @@ def training_table(
     climate: DataFrame,
     event_key: tuple[str, ...] = ("id",),
     planting_year_shift: int = -1,
-    method: str = "cell_day",
+    method: str | None = None,
 ) -> TrainingTable:
     """The training table, its category dictionary and the event precipitation it used.
 
     With the default key the events of an id's first year stand for all its
     years; ``("id", "year")`` computes them year by year. Ratios and products use
     the amounts before they are encoded. The dictionary is fitted on the
-    panel's own columns, before the event join, which loses no row.
+    panel's own columns, before the event join, which loses no row. The method
+    of the event sums follows from the two tables' row counts unless given;
+    ``panel`` and ``climate`` are read more than once and should be stored tables.
     """
     dated = add_event_dates(panel, planting_year_shift)
-    events = stage(
-        event_precipitation(event_rows(dated, event_key), climate, event_key, method=method), "event-precipitation"
-    )
+    chosen = stage(event_rows(dated, event_key), "event-rows")
+    method = method or choose_method(chosen.rows, climate.count())
+    events = stage(event_precipitation(chosen.df, climate, event_key, method=method), "event-precipitation")
     unused = [c for c in schemas.UNUSED_AFTER_PREPARATION if c not in event_key]
     features = add_engineered_features(panel.drop(*unused))
     encoded, dictionary = encode_categories(features)

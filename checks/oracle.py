@@ -229,23 +229,30 @@ given AS (SELECT LIST_REDUCE(LIST_PREPEND([CAST(0 AS BIGINT), 0, 0, 0, 0], ws),
           FROM steps)
 """
 
-# Profile likelihood over a fine grid of powers, refined by a parabola.
-YJ_FIT = """
-grid AS (SELECT CAST(i AS DOUBLE) / 1000 - 2 AS lam FROM RANGE(0, 6001) g(i)),
-vals AS (SELECT soc AS x, COUNT(*) AS n FROM o_targets GROUP BY soc),
-curves AS (
+def _powers(grid: str, prefix: str, step: float) -> str:
+    """Best power of a grid by profile likelihood, refined by a parabola through its neighbours."""
+    return f"""
+{prefix}_curves AS (
   SELECT lam, n, x, CASE WHEN x >= 0 AND lam = 0 THEN LN(1 + x)
     WHEN x >= 0 THEN (POWER(1 + x, lam) - 1) / lam
     WHEN lam = 2 THEN -LN(1 - x) ELSE -(POWER(1 - x, 2 - lam) - 1) / (2 - lam) END AS y
-  FROM vals CROSS JOIN grid),
-means AS (SELECT lam, SUM(n) AS m, SUM(n * y) / SUM(n) AS mu, SUM(n * SIGN(x) * LN(1 + ABS(x))) / SUM(n) AS j
-          FROM curves GROUP BY lam),
-scored AS (SELECT c.lam, -0.5 * LN(SUM(c.n * (c.y - mu) * (c.y - mu)) / ANY_VALUE(m)) + (c.lam - 1) * ANY_VALUE(j) AS ll
-           FROM curves c JOIN means USING (lam) GROUP BY c.lam),
-near AS (SELECT lam, ll, LAG(ll) OVER (ORDER BY lam) AS a, LEAD(ll) OVER (ORDER BY lam) AS b FROM scored),
-best AS (SELECT lam + 0.0005 * (a - b) / (a - 2 * ll + b) AS lam FROM near ORDER BY ll DESC LIMIT 1),
+  FROM vals CROSS JOIN ({grid})),
+{prefix}_means AS (SELECT lam, SUM(n) AS m, SUM(n * y) / SUM(n) AS mu, SUM(n * SIGN(x) * LN(1 + ABS(x))) / SUM(n) AS j
+          FROM {prefix}_curves GROUP BY lam),
+{prefix}_scored AS (
+  SELECT c.lam, -0.5 * LN(SUM(c.n * (c.y - mu) * (c.y - mu)) / ANY_VALUE(m)) + (c.lam - 1) * ANY_VALUE(j) AS ll
+  FROM {prefix}_curves c JOIN {prefix}_means USING (lam) GROUP BY c.lam),
+{prefix}_near AS (SELECT lam, ll, LAG(ll) OVER (ORDER BY lam) AS a, LEAD(ll) OVER (ORDER BY lam) AS b FROM {prefix}_scored),
+{prefix}_best AS (SELECT lam + {step} / 2 * (a - b) / (a - 2 * ll + b) AS lam FROM {prefix}_near ORDER BY ll DESC LIMIT 1)"""
+
+
+# A coarse grid over all powers, then a fine one around its best.
+YJ_FIT = f"""
+vals AS (SELECT soc AS x, COUNT(*) AS n FROM o_targets GROUP BY soc),
+{_powers("SELECT CAST(i AS DOUBLE) / 1000 - 2 AS lam FROM RANGE(0, 6001) g(i)", "coarse", 0.001)},
+{_powers("SELECT lam + CAST(i AS DOUBLE) / 50000 AS lam FROM coarse_best, RANGE(-50, 51) g(i)", "fine", 0.00002)},
 final AS (SELECT lam, n, CASE WHEN x >= 0 THEN (POWER(1 + x, lam) - 1) / lam
-                              ELSE -(POWER(1 - x, 2 - lam) - 1) / (2 - lam) END AS y FROM vals CROSS JOIN best)
+                              ELSE -(POWER(1 - x, 2 - lam) - 1) / (2 - lam) END AS y FROM vals CROSS JOIN fine_best)
 """
 
 _pos = f"(POWER(1 + soc, {FIXED_POWER}) - 1) / {FIXED_POWER}"
@@ -319,7 +326,7 @@ ORACLE: dict[str, str] = {
         "SELECT id, year, n_org_amount, n_org_type, soil, planting_dayofyear FROM fx_outputs o "
         "WHERE year = (SELECT MIN(year) FROM fx_outputs i WHERE i.id = o.id)"),
     "event_window_precip": with_views("SELECT * FROM o_windows"),
-    "event_window_precip_by_event_day": with_views("SELECT * FROM o_windows"),
+    "event_window_precip_by_cell_day": with_views("SELECT * FROM o_windows"),
     "event_window_precip_by_range": with_views("SELECT * FROM o_windows"),
     "event_window_precip_by_year": with_views(event_sums("o_slots_by_year", True)),
     "event_window_empty": with_views(

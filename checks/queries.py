@@ -207,8 +207,8 @@ def event_window_precip(t: Tables) -> DataFrame:
 
 
 @query
-def event_window_precip_by_event_day(t: Tables) -> DataFrame:
-    return events.event_precipitation(events.event_rows(_event_panel(t)), t.climate, method="event_day")
+def event_window_precip_by_cell_day(t: Tables) -> DataFrame:
+    return events.event_precipitation(events.event_rows(_event_panel(t)), t.climate, method="cell_day")
 
 
 @query
@@ -348,9 +348,9 @@ def target_inverse(t: Tables) -> DataFrame:
 
 @query
 def yeo_johnson_fit(t: Tables) -> DataFrame:
-    fitted = targets.fit_yeo_johnson(_targets(t), "soc")
-    summary = _targets(t).agg(F.count("soc").alias("n"))
-    return summary.select(
+    stored = stage(_targets(t).select("soc"), "targets").df
+    fitted = targets.fit_yeo_johnson(stored, "soc")
+    return stored.agg(F.count("soc").alias("n")).select(
         "n",
         F.round(F.lit(fitted.lam), 4).alias("lam"),
         F.round(F.lit(fitted.mean), 3).alias("mean"),

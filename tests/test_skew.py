@@ -107,6 +107,16 @@ def test_encoding_without_broadcast(spark, same):
     same(encode(df, dictionary), encode(df, dictionary, broadcast_bytes=0))
 
 
+def test_staging_of_nothing(spark):
+    nothing = stage(spark.range(10).where("false"), "nothing")
+    assert (nothing.rows, nothing.df.count()) == (0, 0)
+
+
+def test_method_follows_the_counts():
+    assert events.choose_method(event_rows=100, cell_days=700) == "event_day"
+    assert events.choose_method(event_rows=1000, cell_days=700) == "cell_day"
+
+
 def test_ranks_match_a_window(spark, same):
     from pyspark.sql import Window
 
