@@ -3,34 +3,47 @@
 Three physical forms, chosen from measured facts:
 
 * the lookup's measured size is below the limit: broadcast it, the big side does not move;
-* otherwise the keys that hold a large share of the big side are found in one
-  pass, and only those are spread over many salts (and only their lookup rows
-  are repeated);
+* otherwise the keys that hold a large share of the big side are counted, and
+  only those are spread over salts (and only their lookup rows are repeated);
 * no such key: an ordinary shuffled join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroflow import schemas
 from agroflow.sources.workspace import StagedTable, measure
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.01
 
 
-def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of every key that holds at least ``share`` of the rows, and maybe a few more.
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
+    """Hash and share of every key that holds at least ``share`` of the rows.
 
-    One scan of the key columns with bounded state; at most ``1 / share``
-    hashes come back, whatever the data.
+    Two scans of the key columns. The first keeps at most ``1 / share``
+    candidates, whatever the data, and misses none; the second counts them.
     """
     hashed = df.select(F.xxhash64(*on).alias("key_hash"))
     found = hashed.freqItems(["key_hash"], support=share).first()
-    return list(found[0]) if found and found[0] else []
+    if not found or not found[0]:
+        return {}
+    candidate = F.when(F.col("key_hash").isin(list(found[0])), F.col("key_hash"))
+    counts = {r["candidate"]: r["count"] for r in hashed.groupBy(candidate.alias("candidate")).count().collect()}
+    total = sum(counts.values())
+    return {h: n / total for h, n in counts.items() if h is not None and n >= share * total}
+
+
+def _row_columns(df: DataFrame) -> list[str]:
+    """A panel's identifying columns; all columns of a narrower table."""
+    if set(schemas.ROW_IDENTITY) <= set(df.columns):
+        return list(schemas.ROW_IDENTITY)
+    return df.columns
 
 
 def lookup_join(
@@ -46,8 +59,8 @@ def lookup_join(
 
     ``how`` is one of the types that keep the left side whole or filter it:
     inner, left, left_semi, left_anti. ``spread_by`` are columns that tell the
-    rows of one key apart, by default all columns of ``facts``. The columns of
-    ``facts`` come first, in their order.
+    rows of one key apart; the salt is a hash of them, so a repeated task gives
+    each row the same salt. The columns of ``facts`` come first, in their order.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"lookup_join does not do {how!r} joins")
@@ -64,13 +77,15 @@ def lookup_join(
 
     # Hashes agree only between equal types.
     lookup = lookup.withColumns({c: F.col(c).cast(facts.schema[c].dataType) for c in on})
-    hot = frequent_key_hashes(facts, on, hot_share)
+    hot = hot_keys(facts, on, hot_share)
     if not hot:
         return facts.join(lookup, on, how).select(*kept)
 
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64(*on).isin(hot)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or facts.columns)])
+    # As many salts as bring the hottest key down to an average partition.
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(2, math.ceil(max(hot.values()) * partitions))
+    is_hot = F.xxhash64(*on).isin(list(hot))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or _row_columns(facts))])
     salted_facts = facts.withColumn(
         "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     )

@@ -82,6 +82,9 @@ EVENT_WINDOWS = (
 )
 # ---------------------------------------------------------------------------
 
+# Columns that tell the rows of a panel apart, even those of one id and year.
+ROW_IDENTITY = ("id", "year", *TARGETS)
+
 EVENT_SLOTS = tuple(f"{family}_{n}" for n in EVENT_SLOT_NUMBERS for family in EVENT_FAMILIES)
 
 

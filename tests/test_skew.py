@@ -26,10 +26,11 @@ def lookup(spark):
 
 
 def test_hot_keys_are_found(facts):
-    hot = skew.frequent_key_hashes(facts, ["k"], 0.15)
-    wanted = {r["h"] for r in facts.where("k = 7 or k is null").select(F.xxhash64("k").alias("h")).distinct().collect()}
-    assert wanted <= set(hot)
-    assert len(skew.frequent_key_hashes(facts, ["n"], 0.01)) <= 100
+    hot = skew.hot_keys(facts, ["k"], 0.1)
+    counts = facts.groupBy(F.xxhash64("k").alias("h")).count().where("count >= 300").collect()
+    assert hot == {r["h"]: r["count"] / 3000 for r in counts} and len(hot) == 2
+    assert skew.hot_keys(facts, ["n"], 0.01) == {}
+    assert skew.hot_keys(facts.where("false"), ["n"]) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -48,10 +49,17 @@ def test_even_keys_are_not_salted(spark, lookup, plan_of):
     assert "_salt" not in plan_of(skew.lookup_join(even, lookup, ["k"], broadcast_bytes=0))
 
 
-def test_a_hot_key_reaches_every_salt(facts, lookup):
-    hot = skew.frequent_key_hashes(facts, ["k"], 0.2)
-    salted = skew.lookup_join(facts, lookup, ["k"], "left", spread_by=["n"], broadcast_bytes=0)
-    assert salted.count() == facts.count() and hot
+def test_a_hot_key_is_spread_over_partitions(spark, facts, lookup):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        salted = skew.lookup_join(facts, lookup, ["k"], "left", broadcast_bytes=0)
+        assert salted.count() == facts.count()
+        where = salted.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(where) > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_outer_joins_are_refused(facts, lookup):
