@@ -114,9 +114,9 @@ def group_folds(df: DataFrame, group: str = "id", n_splits: int = 5, seed: int =
     Groups go, heaviest first, to the lightest fold. Groups of equal size are
     alike, so the driver only handles the list of distinct sizes (fewer than the
     root of twice the row count) and cuts each size's groups, in seeded hash
-    order, into blocks.
+    order, into blocks. Rows without a group are spread one by one.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     spread = F.xxhash64(F.col(group), F.lit(seed))
     ordered = ranked(sizes.withColumn("_spread", spread), ["_size"], ["_spread", group], "_rank")
 
@@ -132,7 +132,9 @@ def group_folds(df: DataFrame, group: str = "id", n_splits: int = 5, seed: int =
     cuts = df.sparkSession.createDataFrame(blocks, "_size bigint, _from bigint, _to bigint, fold int")
     in_block = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
     folds = lookup_join(ordered, bounded(cuts, len(blocks)), ["_size"]).where(in_block).select(group, "fold")
-    return lookup_join(df, stage(folds, "group-folds"), [group])
+    alone = F.pmod(_row_hash(df.columns, seed), F.lit(n_splits)) + 1
+    folded = lookup_join(df, stage(folds, "group-folds"), [group], "left")
+    return folded.withColumn("fold", F.coalesce("fold", alone).cast("int"))
 
 
 def fold_sizes(df: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,32 +25,36 @@ from agroflow.sources import tables
 from agroflow.sources.workspace import stage
 
 
+FILE_NAMES = {
+    # inputs
+    "climate": "climate_daily.csv",
+    "classes": "climate_classes.csv",
+    "soil": "soil.parquet",
+    "sims": "simulations_{crop}.parquet",
+    "outputs_csv": "outputs_{crop}.csv",
+    "outputs": "outputs_{crop}.parquet",
+    # stage tables
+    "cleaned": "outputs_{crop}_cleaned.parquet",
+    "prec_days": "precipitation_days.csv",
+    "sims_climate": "simulations_{crop}_climate.parquet",
+    "panel": "panel_{crop}.parquet",
+    "prec_events": "event_precipitation_{crop}.parquet",
+    "dictionary": "categories_{crop}.json",
+    "training": "training_{crop}.parquet",
+}
+
+
 @dataclass(frozen=True)
 class DataFolder:
-    """Where the files of one crop lie."""
+    """Where the files of one crop lie; ``names`` replaces file names that differ from the usual ones."""
 
     root: str
     crop: str
-
-    # File names of the workflow.
-    NAMES = {
-        "climate": "climate_10km_2010_2020.csv",
-        "classes": "climate_ai_classified.csv",
-        "soil": "soil_data_with_classes.parquet",
-        "prec_days": "climate_prec_days.csv",
-        "prec_events": "prec_events.parquet",
-        "dictionary": "cat_maps.json",
-        "sims": "simulation_ids_{crop}.parquet",
-        "sims_climate": "simulation_ids_{crop}_with_climate.parquet",
-        "outputs_csv": "ml_ready_{crop}_outputs.csv",
-        "outputs": "ml_ready_{crop}_outputs.parquet",
-        "cleaned": "ml_ready_{crop}_outputs_cleaned.parquet",
-        "panel": "df_{crop}.parquet",
-        "training": "df_{crop}_training.parquet",
-    }
+    names: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, what: str) -> str:
-        return f"{self.root.rstrip('/')}/{self.NAMES[what].format(crop=self.crop)}"
+        name = {**FILE_NAMES, **self.names}[what]
+        return f"{self.root.rstrip('/')}/{name.format(crop=self.crop)}"
 
 
 def prepare(

@@ -80,7 +80,7 @@ SELECT id, year,
        CASE WHEN k % 5 = 0 THEN NULL ELSE CONCAT('system ', CAST(k % 5 AS STRING)) END AS cropping_systems,
        CONCAT('R', CAST(k % 400 AS STRING)) AS crop_rotation,
        CAST(CASE WHEN k % 10 = 0 THEN NULL ELSE k % 4 * 5 END AS DOUBLE) AS manu_depth,
-       'WIWH' AS crops, 'A' AS crop_rotation_1, 'B' AS crop_rotation_2
+       'wheat' AS crops, 'A' AS crop_rotation_1, 'B' AS crop_rotation_2
 FROM (SELECT o_custkey AS id, CAST(YEAR(o_orderdate) AS INT) AS year, o_orderkey AS k,
              o_totalprice, o_orderpriority, o_orderstatus,
              ROW_NUMBER() OVER (PARTITION BY o_custkey, YEAR(o_orderdate) ORDER BY o_orderkey) AS rn

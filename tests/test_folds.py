@@ -50,6 +50,13 @@ def test_group_folds_match_greedy_sizes(spark, sizes):
     assert folded.count() == sum(sizes)
 
 
+def test_rows_without_a_group_stay(spark):
+    df = groups_table(spark, [3] * 20).union(spark.range(50).selectExpr("null", "cast(id as int)"))
+    folded = folds.group_folds(df)
+    assert folded.count() == 110 and folded.where("fold is null").count() == 0
+    assert folded.where("id is null").select("fold").distinct().count() == 5
+
+
 def test_group_folds_do_not_depend_on_partitions(spark, same):
     df = groups_table(spark, [random.Random(3).randint(1, 9) for _ in range(60)])
     same(folds.group_folds(df), folds.group_folds(df.repartition(7, "row")))

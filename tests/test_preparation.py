@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("data"))
-    made = preparation.DataFolder(root, "WIWH")
+    made = preparation.DataFolder(root, "wheat", {"climate": "rain/daily.csv"})
     t = Tables(spark, SMALL)
     tables.write_csv(t.climate, made.path("climate"))
     classes = t.classes.select(
