@@ -54,13 +54,16 @@ def lookup_join(
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equally named keys.
 
     ``how`` is one of the types that keep the left side whole or filter it:
     inner, left, left_semi, left_anti. ``spread_by`` are columns that tell the
     rows of one key apart; the salt is a hash of them, so a repeated task gives
-    each row the same salt. The columns of ``facts`` come first, in their order.
+    each row the same salt. ``keys_from`` is a table with the same key values per
+    row as ``facts`` that is cheaper to scan for hot keys. The columns of
+    ``facts`` come first, in their order.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"lookup_join does not do {how!r} joins")
@@ -77,13 +80,13 @@ def lookup_join(
 
     # Hashes agree only between equal types.
     lookup = lookup.withColumns({c: F.col(c).cast(facts.schema[c].dataType) for c in on})
-    hot = hot_keys(facts, on, hot_share)
+    hot = hot_keys(facts if keys_from is None else keys_from, on, hot_share)
     if not hot:
         return facts.join(lookup, on, how).select(*kept)
 
-    # As many salts as bring the hottest key down to an average partition.
+    # Enough salts to cut the hottest key into quarters of an average partition.
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(2, math.ceil(max(hot.values()) * partitions))
+    salts = max(2, math.ceil(4 * max(hot.values()) * partitions))
     is_hot = F.xxhash64(*on).isin(list(hot))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or _row_columns(facts))])
     salted_facts = facts.withColumn(

@@ -10,8 +10,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from agroflow import schemas
+from agroflow.operators.encoding import fit_encode
 from agroflow.operators.folds import fold_sizes, group_folds, shuffled_folds
 from agroflow.operators.metrics import METRICS, cv_summary, regression_metrics
 from agroflow.operators.targets import TargetScaling, fit_target_scalings, transform_targets
@@ -86,6 +88,12 @@ def feature_columns(df: DataFrame, targets: Sequence[str] = schemas.TARGETS, dro
     return [c for c in df.columns if c not in {*targets, *drop}]
 
 
+def encode_text_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Category codes in place of the feature columns that hold text."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    return fit_encode(df, texts)[0] if texts else df
+
+
 def assemble_features(df: DataFrame, columns: Sequence[str], missing: str = "error") -> DataFrame:
     """Feature vector column; ``missing="keep"`` lets NULLs through as NaN instead of failing."""
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid=missing).transform(df)
@@ -142,6 +150,7 @@ def train_multi_target(
     chosen = PRESETS[preset]
     keep = [c for c in keep if c in df.columns]
     columns = feature_columns(df, targets, ["id"])
+    df = encode_text_features(df, columns)
     scalings = fit_target_scalings(df, targets)
     table = _training_input(df, scalings, columns, keep, missing)
     models = {t: regressor(chosen, t, rounds, depth, seed).fit(table) for t in targets}
@@ -177,6 +186,7 @@ def cross_validate(
     chosen = PRESETS[preset]
     grouped = group is not None and group in df.columns
     columns = feature_columns(df, targets, [group] if grouped else [])
+    df = encode_text_features(df, columns)
     if grouped:
         folded = group_folds(df, group, n_splits, seed)
         splitter = f"group folds (n_splits={n_splits}, group={group})"

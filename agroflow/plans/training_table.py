@@ -63,6 +63,6 @@ def training_table(
     unused = [c for c in schemas.UNUSED_AFTER_PREPARATION if c not in event_key]
     features = add_engineered_features(panel.drop(*unused))
     encoded, dictionary = encode_categories(features)
-    joined = join_event_features(encoded, events, event_key)
+    joined = join_event_features(encoded, events, event_key, keys_from=panel)
     table = add_squares(fill_event_precipitation(joined))
     return TrainingTable(table, dictionary, events.df)

@@ -85,6 +85,12 @@ def test_folds_without_a_group_column(table):
     assert sorted(r["n_val"] for r in cv.sizes.collect()) == [n // 2, n - n // 2]
 
 
+def test_text_features_are_encoded(spark):
+    df = spark.createDataFrame([(i, float(i), "ab"[i % 2] if i % 5 else None) for i in range(40)], "id int, soc double, kind string")
+    result = training.train_multi_target(df, "lossguide", targets=("soc",), rounds=1, depth=2)
+    assert result.predictions.count() == 40
+
+
 def test_missing_features_are_reported(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 3.0)], "id int, a double, b double")
     with pytest.raises(Exception, match="null|NaN|handleInvalid"):
