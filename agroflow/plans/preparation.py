@@ -76,6 +76,11 @@ def prepare(
     return enrich(clean_panel(outputs), sims, cell_year, soil)
 
 
+def _stored_climate(spark: SparkSession, folder: DataFolder) -> DataFrame:
+    """The climate file parsed once; it is read several times, each time for few columns."""
+    return stage(tables.read_climate(spark, folder.path("climate")), "climate").df
+
+
 def run_preparation(
     spark: SparkSession,
     folder: DataFolder,
@@ -89,7 +94,7 @@ def run_preparation(
         tables.csv_to_parquet(spark, folder.path("outputs_csv"), folder.path("outputs"), schemas.OUTPUT_TYPES)
     tables.write_parquet(clean_panel(tables.read_parquet(spark, folder.path("outputs"))), folder.path("cleaned"))
 
-    climate = tables.read_climate(spark, folder.path("climate"))
+    climate = _stored_climate(spark, folder)
     tables.write_csv(precipitation_days(climate), folder.path("prec_days"))
 
     classes = classify_cells(tables.read_climate_classes(spark, folder.path("classes")))
@@ -110,9 +115,8 @@ def run_preparation(
 
 def run_training_table(spark: SparkSession, folder: DataFolder, **options) -> DataFrame:
     """Build the training table of a prepared data folder and write it with its dictionary."""
-    built = training_table(
-        tables.read_parquet(spark, folder.path("panel")), tables.read_climate(spark, folder.path("climate")), **options
-    )
+    panel = tables.read_parquet(spark, folder.path("panel"))
+    built = training_table(panel, _stored_climate(spark, folder), **options)
     tables.write_parquet(built.event_precipitation, folder.path("prec_events"))
     write_dictionary(built.dictionary, folder.path("dictionary"))
     tables.write_parquet(built.table, folder.path("training"))
