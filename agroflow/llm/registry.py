@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agroflow.llm.packing import op2_best_fit_packing
+from agroflow.llm.secrets import op5_secret_linking
 from agroflow.llm.simhash import op9_simhash_golay
+from agroflow.llm.sketches import op6_scaled_sketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_secret_linking": op5_secret_linking,
+    "op6_scaled_sketch": op6_scaled_sketch,
     "op9_simhash_golay": op9_simhash_golay,
 }
 
