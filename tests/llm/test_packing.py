@@ -11,13 +11,22 @@ from agroflow.llm import packing
 PATH = public_tokenizers.path(packing.TOKENIZER)
 
 
-def test_word_by_word_equals_whole_texts():
+RANKS = public_tokenizers.path(packing.RANKS)
+
+
+def test_fast_encoder_equals_the_tokenizer():
     rng = random.Random(1)
-    alphabet = ["a", "b", "é", " ", " ", "\n", "  ", "\t", "'s", "'ll", "1", "23", ".", "<|endoftext|>", " ", "日本", "_", "\r\n", "#", "I'm"]
+    alphabet = ["a", "b", "é", " ", " ", "\n", "  ", "\t", "'s", "'ll", "1", "23", ".", "<|endoftext|>", " ", "日本", "_", "\r\n", "#", "I'm", "\x85", "\u2028"]
     items = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(3000)] + ["", " ", "a ", " a"]
+    plain_characters = [*range(0x250), *range(0x2010, 0x203B), 0x20AC]
+    for c in map(chr, plain_characters):
+        items += [c, f"a{c}a", f" {c} ", f"1{c}{c}1", f".{c}.", f"'{c}", f"{c}'s", f"\n{c}\n", f"a {c}a", f"a{c} a"]
     plain = Tokenizer.from_file(PATH)
-    wanted = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in items]
-    assert list(packing.WordTokenizer(PATH).encode_all(items)) == wanted
+    fast = packing.TokenEncoder(PATH, RANKS)
+    slow = packing.TokenEncoder(PATH, None)
+    for text in items:
+        wanted = np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert fast.encode(text) == wanted and slow.encode(text) == wanted
 
 
 def check_layout(rows, capacity):
