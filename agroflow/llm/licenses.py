@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroflow.llm.common import read_table, texts
+from agroflow.llm.common import read_table, texts, words_of
 
 #: Postings of a template: so many of its rarest words.
 RARE_WORDS = 4
@@ -45,18 +45,6 @@ def template(label: str, text: str, *mandatory: str, is_base: bool = False) -> T
     return Template(label, words, tuple(phrases), is_base)
 
 
-_WORD_BYTES = bytes.maketrans(
-    bytes(range(128)),
-    bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(128)),
-)
-
-
-def words_of(text: str) -> list[bytes]:
-    """The words of a text: runs of ASCII letters (lower-cased), digits and all other characters above ASCII."""
-    # Only spaces separate: what else Python takes for white space is above ASCII or was replaced.
-    return text.encode().translate(_WORD_BYTES).split()
-
-
 def base_templates() -> list[Template]:
     # Base phrases and their labels.
     phrases = {

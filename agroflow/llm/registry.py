@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agroflow.llm.decontamination import op8_seeded_alignment
 from agroflow.llm.licenses import op7_license_index
 from agroflow.llm.packing import op2_best_fit_packing
 from agroflow.llm.secrets import op5_secret_linking
 from agroflow.llm.simhash import op9_simhash_golay
 from agroflow.llm.sketches import op6_scaled_sketch
+from agroflow.llm.toxicity import op4_toxicity_channel
 from agroflow.llm.urls import op10_url_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_toxicity_channel": op4_toxicity_channel,
     "op5_secret_linking": op5_secret_linking,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_license_index": op7_license_index,
+    "op8_seeded_alignment": op8_seeded_alignment,
     "op9_simhash_golay": op9_simhash_golay,
     "op10_url_words": op10_url_words,
 }
