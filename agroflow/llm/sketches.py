@@ -64,18 +64,18 @@ def as_text(hashes: Column) -> Column:
 
 
 def successors(rows: DataFrame) -> DataFrame:
-    """Each different row (doc_id, text_hash) with the row after it in descending order of doc_id, then hash.
+    """Each different row (id, missing, text_hash) with the row after it in descending order of id, then hash.
 
-    Columns: text_hash, doc_id, next_id, next_hash, half (half the row's characters) and copies. The last row
+    Columns: id, missing, text_hash, half, next_id, next_hash and copies. The last row
     is followed by the first. Repeated rows follow each other, so they give up to two lines: one for the
-    copies before a copy of themselves, one for the last. Rows without a doc_id come last. The rows are sorted
+    copies before a copy of themselves, one for the last. Rows whose id is missing come last. The rows are sorted
     over the cluster once; only one line for each sorted partition meets in a single task.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash")]
-    counted = rows.groupBy("doc_id", "text_hash", "half").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.col("missing"), F.col("id").desc(), F.col("text_hash")]
+    counted = rows.groupBy("id", "missing", "text_hash", "half").agg(F.count(F.lit(1)).alias("n"))
     placed = stage(counted.orderBy(*order).withColumn("place", F.monotonically_increasing_id()), "row-order").df
     placed = placed.withColumn("part", F.shiftright("place", _ROW_BITS))
-    key = F.struct("doc_id", "text_hash")
+    key = F.struct("id", "text_hash")
     within = Window.partitionBy("part").orderBy("place")
     heads = placed.groupBy("part").agg(F.min_by(key, "place").alias("head"))
     parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -83,10 +83,10 @@ def successors(rows: DataFrame) -> DataFrame:
         "part", F.coalesce(F.lead("head").over(Window.orderBy("part")), F.first("head").over(parts)).alias("after")
     )
     following = placed.withColumn("next", F.lead(key).over(within)).join(after, "part").withColumn("next", F.coalesce("next", "after"))
-    last = following.select("doc_id", "text_hash", "half", "next", F.lit(1).cast("long").alias("copies"))
-    repeated = following.filter("n > 1").select("doc_id", "text_hash", "half", key.alias("next"), (F.col("n") - 1).alias("copies"))
+    last = following.select("id", "missing", "text_hash", "half", "next", F.lit(1).cast("long").alias("copies"))
+    repeated = following.filter("n > 1").select("id", "missing", "text_hash", "half", key.alias("next"), (F.col("n") - 1).alias("copies"))
     return last.unionByName(repeated).select(
-        "doc_id", "text_hash", "half", "copies", F.col("next.doc_id").alias("next_id"), F.col("next.text_hash").alias("next_hash")
+        "id", "missing", "text_hash", "half", "copies", F.col("next.id").alias("next_id"), F.col("next.text_hash").alias("next_hash")
     )
 
 
@@ -97,20 +97,22 @@ def edited_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, scale_bits:
     descending order of doc_id. Null and empty texts have empty fingerprints. Repeated rows come out as often
     as they go in; an empty table gives no rows.
     """
-    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    chain = stage(successors(rows.select("doc_id", "text_hash", F.expr("length(text) div 2").alias("half"))), "row-chain").df
-    whole = (
-        rows.withColumn("sketch", sketch(F.col("text"), words, scale_bits))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.first("text").alias("text"), F.first("sketch").alias("sketch"))
+    # A row's key is never null, so that all joins share the partitioning of one exchange.
+    missing = F.col("doc_id").isNull()
+    rows = texts(docs).select(
+        "text", F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.when(missing, F.xxhash64("text", F.lit("no id"))).otherwise(F.xxhash64("text")).alias("text_hash"), missing.alias("missing"),
     )
-    null_safe = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    starts = chain.withColumnsRenamed({"doc_id": "of_id", "text_hash": "of_hash"}).join(
-        whole, null_safe("next_id", "doc_id") & (F.col("next_hash") == F.col("text_hash"))
-    ).select("of_id", "of_hash", "copies", F.expr("substring(text, 1, cast(half as int))").alias("start"), F.col("sketch").alias("next_sketch"))
-    n = F.length("text")
-    edited = whole.join(starts, null_safe("doc_id", "of_id") & (F.col("text_hash") == F.col("of_hash"))).select(
-        "doc_id", "sketch", "next_sketch", "copies", n.cast("long").alias("n_chars"),
+    chain = stage(successors(rows.select("id", "missing", "text_hash", F.expr("length(text) div 2").alias("half"))), "row-chain").df
+    whole = rows.groupBy("id", "text_hash").agg(F.first("text").alias("text"))
+    following = chain.withColumnsRenamed({"id": "of_id", "text_hash": "of_hash", "next_id": "id", "next_hash": "text_hash"})
+    starts = following.join(whole, ["id", "text_hash"]).select(
+        F.col("of_id").alias("id"), F.col("of_hash").alias("text_hash"), "missing", "copies",
+        F.expr("substring(text, 1, cast(half as int))").alias("start"), sketch(F.col("text"), words, scale_bits).alias("next_sketch"),
+    )
+    edited = whole.join(starts, ["id", "text_hash"]).select(
+        F.when(~F.col("missing"), F.col("id")).alias("doc_id"), sketch(F.col("text"), words, scale_bits).alias("sketch"),
+        "next_sketch", "copies", F.length("text").cast("long").alias("n_chars"),
         F.concat(F.expr("substring(text, 1, length(text) - cast(length(text) div 2 as int))"), "start").alias("edited"),
     )
     compared = edited.withColumn("edited_sketch", sketch(F.col("edited"), words, scale_bits))
