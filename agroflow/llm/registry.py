@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from agroflow.llm.decontamination import op8_seeded_alignment
 from agroflow.llm.licenses import op7_license_index
 from agroflow.llm.packing import op2_best_fit_packing
+from agroflow.llm.repeats import op3_lyndon_repeats
 from agroflow.llm.secrets import op5_secret_linking
 from agroflow.llm.simhash import op9_simhash_golay
 from agroflow.llm.sketches import op6_scaled_sketch
@@ -17,6 +18,7 @@ from agroflow.llm.urls import op10_url_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_lyndon_repeats": op3_lyndon_repeats,
     "op4_toxicity_channel": op4_toxicity_channel,
     "op5_secret_linking": op5_secret_linking,
     "op6_scaled_sketch": op6_scaled_sketch,
