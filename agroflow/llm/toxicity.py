@@ -47,7 +47,8 @@ _CODE = np.zeros(1 << 16, np.int64)
 _CODE[[ord(c) for c in LETTERS]] = np.arange(1, SIZE)
 _CODE_OF = {c: i + 1 for i, c in enumerate(LETTERS)}
 
-_LETTER = "[^\\W\\d_]"
+# Letters, without the few number signs that Python counts among word characters in Latin-1.
+_LETTER = "[^\\W\\d_²³¹¼½¾]"
 _SIGN = "[" + re.escape("".join(SIGNS)) + "]"
 _MIXED = re.compile(f"{_SIGN}{_LETTER}|{_LETTER}[0-9]")
 _TOKEN = re.compile(f"(?:{_LETTER}|{_SIGN})+")
@@ -56,6 +57,54 @@ _REPEATED = re.compile(rf"({_LETTER})\1\1")
 _WORD = re.compile(f"{_LETTER}+")
 
 
+def _classes(letter: bytes, digit: bytes, sign: bytes, separator: bytes) -> bytes:
+    """A Latin-1 translation table to classes of characters; all others become spaces."""
+    table = bytearray(b" " * 256)
+    for c in range(256):
+        if chr(c).isalpha():
+            table[c] = letter[0] if letter else c
+        elif chr(c) in SIGNS:
+            table[c] = (digit if chr(c).isdigit() else sign)[0]
+        elif chr(c) in SEPARATORS:
+            table[c] = separator[0]
+    return bytes(table)
+
+
+_KINDS = _classes(b"l", b"d", b"s", b" ")
+_SPACING = _classes(b"l", b"l", b"l", b".")
+_WORDS = _classes(b"", b" ", b" ", b" ")
+_IS_LETTER = np.array([chr(c).isalpha() for c in range(256)])
+
+
+def may_be_disguised(lowered: str) -> bool:
+    """False only if no span of the text can look disguised; a quick test for texts in Latin-1."""
+    try:
+        raw = lowered.encode("latin-1")
+    except UnicodeEncodeError:
+        return True
+    kinds = raw.translate(_KINDS)
+    if b"sl" in kinds or b"dl" in kinds or b"ld" in kinds or b"l.l.l.l" in raw.translate(_SPACING):
+        return True
+    codes = np.frombuffer(raw, np.uint8)
+    thrice = (codes[1:-1] == codes[:-2]) & (codes[1:-1] == codes[2:])
+    return bool(_IS_LETTER[codes[1:-1][thrice]].any())
+
+
+def words_of(restored: str) -> set[bytes]:
+    """The different words of a text, runs of letters; in Latin-1 if that holds them."""
+    try:
+        return set(restored.encode("latin-1").translate(_WORDS).split())
+    except UnicodeEncodeError:
+        pass
+    found = set()
+    for word in _WORD.findall(restored):
+        try:
+            found.add(word.encode("latin-1"))
+        except UnicodeEncodeError:
+            found.add(word.encode())
+    return found
+
+
 def _trigrams(items: list[str]) -> np.ndarray:
     joined = "\n\n".join(["", *items, ""]).lower()
     codes = _CODE[np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), np.uint16)]
@@ -138,22 +187,25 @@ class Decoder:
 
     def restore(self, text: str) -> str:
         """The text in lower case with every disguised span decoded."""
-        text = _APART.sub(lambda m: self._remembered(m[0]), text.lower())
+        text = text.lower()
+        if not may_be_disguised(text):
+            return text
+        text = _APART.sub(lambda m: self._remembered(m[0]), text)
         for disguise, whole in ((_MIXED, _TOKEN), (_REPEATED, _WORD)):
             if disguise.search(text):
                 text = whole.sub(lambda m: self._remembered(m[0]) if disguise.search(m[0]) else m[0], text)
         return text
 
 
-def features(word: str) -> list[str]:
-    return [word + "$", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
+def features(word: bytes) -> list[bytes]:
+    return [word + b"$", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_rows: int = FIT_ROWS) -> dict[str, float]:
+def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_rows: int = FIT_ROWS) -> dict[bytes, float]:
     """The share of toxic rows for each telling feature, from labelled rows that are not held out.
 
     A label is the largest of a doc_id's labels; null labels do not count. With more than ``fit_rows`` labelled
@@ -179,41 +231,39 @@ def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_row
                 c.clear()
             columns = zip(*rows) if rows else ((), (), ())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()))], ["feature", "toxic", "n"]
+                [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()))], ["feature", "toxic", "n"]
             )
 
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
                 found = set()
-                for word in set(_WORD.findall(decoder.restore(text.as_py()))):
+                for word in words_of(decoder.restore(text.as_py())):
                     found.update(features(word))
                 counts[label].update(found)
                 if len(counts[0]) + len(counts[1]) > REMEMBERED:
                     yield flush()
         yield flush()
 
-    seen = texts(docs).join(marked, "doc_id").select("text", "toxic").mapInArrow(run, "feature string, toxic long, n long")
+    # At most about fit_rows rows of two numbers.
+    chosen = texts(docs).join(F.broadcast(marked), "doc_id").select("text", "toxic")
+    seen = chosen.mapInArrow(run, "feature binary, toxic long, n long")
     share = (F.col("toxic") + PRIOR_ROWS * prior) / (F.col("n") + PRIOR_ROWS)
     counted = seen.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     telling = counted.filter("toxic >= 2").select("feature", share.alias("share")).filter(F.col("share") >= FAINT)
-    return dict(map(tuple, telling.collect()))
+    return {bytes(r["feature"]): r["share"] for r in telling.collect()}
 
 
 class Scorer:
-    def __init__(self, shares: dict[str, float]):
+    def __init__(self, shares: dict[bytes, float]):
         self._shares = shares
-        self._words: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        if word not in self._words:
-            if len(self._words) > REMEMBERED:
-                self._words.clear()
-            self._words[word] = max((self._shares.get(f, 0.0) for f in features(word)), default=0.0)
-        return self._words[word]
+        # A telling word begins like one of its features.
+        self._heads = {f.removesuffix(b"$")[: BEGINNINGS[0]] for f in shares}
 
     def score(self, restored: str) -> float:
         """0 without any telling word; strong words combine as independent causes."""
-        shares = [s for s in map(self.word, set(_WORD.findall(restored))) if s]
+        head, heads, get = BEGINNINGS[0], self._heads, self._shares.get
+        telling = [w for w in words_of(restored) if w[:head] in heads]
+        shares = [max(get(f, 0.0) for f in features(w)) for w in telling]
         clean = math.prod(1 - (s - STRONG) / (1 - STRONG) for s in shares if s > STRONG)
         return 0.1 * max(shares, default=0.0) + 0.9 * (1 - clean)
 

@@ -44,6 +44,17 @@ def test_disguised_words_are_restored(decoder):
     assert decoder.restore("plain text*** stays, 42 too###") == "plain text*** stays, 42 too###"
 
 
+def test_quick_test_misses_no_disguise(decoder):
+    rng = random.Random(7)
+    bits = ["a", "b", "é", "1", "$", "!", " ", " ", ".", "-", "_", "²", "ß", "aa", "the", "\n", "0", "œ", "#"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(14)))
+        if not toxicity.may_be_disguised(text):
+            assert not toxicity._APART.search(text) and not toxicity._MIXED.search(text) and not toxicity._REPEATED.search(text)
+        words = {w.encode("latin-1", "ignore") for w in toxicity._WORD.findall(text) if "œ" not in w}
+        assert words <= toxicity.words_of(text)
+
+
 def corpus(n=600):
     rng = random.Random(2)
     clean = [w for w in WORDS if w not in ("idiot", "moron", "stupid")]
