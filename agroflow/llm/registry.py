@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agroflow.llm.decontamination import op8_seeded_alignment
+from agroflow.llm.language import op1_language_fusion
 from agroflow.llm.licenses import op7_license_index
 from agroflow.llm.packing import op2_best_fit_packing
 from agroflow.llm.repeats import op3_lyndon_repeats
@@ -17,6 +18,7 @@ from agroflow.llm.toxicity import op4_toxicity_channel
 from agroflow.llm.urls import op10_url_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_fusion": op1_language_fusion,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_lyndon_repeats": op3_lyndon_repeats,
     "op4_toxicity_channel": op4_toxicity_channel,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from agroflow.llm.common import read_table, texts
 from agroflow.llm.components import component_labels
+from agroflow.operators.skew import BROADCAST_BYTES, lookup_join
 from agroflow.sources.workspace import stage
 
 BITS = 64
@@ -165,6 +166,107 @@ def _refined(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "key long, sub int, fp long")
 
 
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """Bits set in over half of 128-bit hashes, given as rows of 16 bytes."""
+    counts = np.zeros(128, np.int64)
+    for first in range(0, len(hashes), 4096):
+        counts += np.unpackbits(hashes[first : first + 4096], axis=1).sum(0, dtype=np.int64)
+    return 2 * counts > len(hashes)
+
+
+def near_copy_prints(text: str, words: int) -> tuple[int, int, int, int, int]:
+    """(a, b, c, d, size): a and b hold the four 23-bit segments of the fingerprint of a text's different words,
+    c and d the 128 bits of that of its shingles of ``words`` words; size is the number of different words."""
+    tokens = text.encode().lower().split()
+    different = set(tokens)
+    digest = xxhash.xxh3_128_digest
+    rows = lambda digests: np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 16)
+    segment = _majority(rows(map(digest, different)))[: 4 * 23].reshape(4, 23) @ (1 << np.arange(23))
+    shingles = (b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1) if tokens else 0))
+    c, d = np.packbits(_majority(rows(map(digest, shingles)))).view(np.int64).tolist()
+    return int(segment[0] | segment[1] << 23), int(segment[2] | segment[3] << 23), c, d, len(different)
+
+
+def _near_copy_keys(prints: DataFrame, size_ratio: float, size_slack: float) -> DataFrame:
+    """Rows (key, a, b, c, d) under which near copies meet: the codewords of two segments and the size class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                a, b, c, d, size = (part.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+                segment = [a & 0x7FFFFF, a >> 23, b & 0x7FFFFF, b >> 23]
+                near = [codeword_indices(x) for x in segment]
+                at_size = np.log1p(size) / np.log(size_ratio)
+                slack = np.log(1 + size_slack) / np.log(size_ratio)
+                low = np.floor(at_size - slack / 2).astype(np.int64)
+                high = np.floor(at_size + slack / 2).astype(np.int64)
+                keys, rows = [], []
+                for number, (i, j) in enumerate(combinations(range(4), 2)):
+                    rows_i, index_i = near[i]
+                    rows_j, index_j = near[j]
+                    # Each codeword of one segment with each of the other.
+                    n_j = np.bincount(rows_j, minlength=len(a))
+                    first_j = np.cumsum(n_j) - n_j
+                    times = n_j[rows_i]
+                    at = np.repeat(np.arange(len(rows_i)), times)
+                    other = first_j[rows_i[at]] + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                    order = np.argsort(rows_j, kind="stable")
+                    row = rows_i[at]
+                    key = (np.int64(number) << 24) | (index_i[at] << 12) | index_j[order[other]]
+                    for classes, wanted in ((low, np.ones(len(row), bool)), (high, high[row] != low[row])):
+                        keys.append(key[wanted] << 12 | classes[row[wanted]] & 0xFFF)
+                        rows.append(row[wanted])
+                key, row = np.concatenate(keys), np.concatenate(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x[row]) for x in (a, b, c, d))], ["key", "a", "b", "c", "d"])
+
+    return prints.mapInArrow(run, "key long, a long, b long, c long, d long")
+
+
+def _near_copy_links(keyed: DataFrame, word_bits: int, shingle_bits: int) -> DataFrame:
+    """Links (u, v) between fingerprints, given as their hashes ``node``, that span the near ones of each key; the
+    partitions are sorted by key."""
+
+    def stars(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, node: np.ndarray) -> list[tuple[int, int]]:
+        found, left = [], np.arange(len(a))
+        while len(left) > 1:
+            frontier, left = [left[0]], left[1:]
+            while frontier and len(left):
+                i = frontier.pop()
+                near = np.bitwise_count(a[left] ^ a[i]) + np.bitwise_count(b[left] ^ b[i]) <= word_bits
+                shingles = np.bitwise_count((c[left] ^ c[i]).view(np.uint64)) + np.bitwise_count((d[left] ^ d[i]).view(np.uint64))
+                near &= shingles <= shingle_bits
+                if near.any():
+                    found += [(int(node[i]), int(node[j])) for j in left[near]]
+                    frontier.extend(left[near])
+                    left = left[~near]
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if kept is not None:
+                columns = [np.r_[k, c] for k, c in zip(kept, columns)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1])) if len(columns[0]) else 0
+            kept = [c[cut:] for c in columns]
+            yield from linked(*(c[:cut] for c in columns))
+        if kept is not None:
+            yield from linked(*kept)
+
+    def linked(key: np.ndarray, *of: np.ndarray) -> Iterator[pa.RecordBatch]:
+        edges = np.flatnonzero(np.diff(key)) + 1
+        starts, ends = np.r_[0, edges], np.r_[edges, len(key)]
+        several = ends - starts > 1
+        found = []
+        for i, j in zip(starts[several].tolist(), ends[several].tolist()):
+            found += stars(*(x[i:j] for x in of))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], ["u", "v"])
+
+    return keyed.mapInArrow(run, "u long, v long")
+
+
 def _stars(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A star of links for each connected set of distinct fingerprints; its center is the first one reached."""
     left = np.unique(prints)
@@ -254,5 +356,63 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     )
 
 
+#: Near copies: differing bits of the 92 word bits and of the 128 bits of the shingles of five words, and how
+#: much the numbers of different words may differ. At a shingle similarity of 0.8, about 6 and 19 bits differ.
+NEAR_WORDS, NEAR_WORD_BITS, NEAR_SHINGLE_BITS = 5, 12, 30
+SIZE_RATIO, SIZE_SLACK = 1.3, 0.1
+
+
+def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, word_bits: int = NEAR_WORD_BITS, shingle_bits: int = NEAR_SHINGLE_BITS) -> DataFrame:
+    """(doc_id, text_hash, first_id, first_hash): each different row with the first row of its group of near copies.
+
+    Near copies at a similarity of 0.8 differ in more bits than Golay keys of one segment bear, so the keys
+    combine two of four segments. Word sets change less than shingles do and give the keys; a second
+    fingerprint over shingles of five words must agree, too. All pairs with up to 8 differing word bits meet,
+    and nearly all up to ``word_bits``. Groups are the connected sets of links; the first row has the least doc_id
+    (nulls last), then the least hash. Texts equal but for case and white space always share a group.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = list(zip(*(near_copy_prints(text.as_py(), words) for text in batch.column(2)))) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in out)], ["doc_id", "text_hash", "a", "b", "c", "d", "size"]
+            )
+
+    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    prints = stage(rows.mapInArrow(run, "doc_id long, text_hash long, a long, b long, c long, d long, size long"), "word-prints").df
+    # A class is what both fingerprints agree on.
+    key = ["a", "b", "c", "d"]
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
+    classes = stage(prints.groupBy(*key).agg(F.min(order).alias("first"), F.min("size").alias("size")), "print-classes").df
+    node = F.xxhash64(*key)
+    keyed = _near_copy_keys(classes.select(*key, "size"), SIZE_RATIO, SIZE_SLACK)
+    placed = keyed.repartition("key").sortWithinPartitions("key").withColumn("node", node)
+    labels = component_labels(_near_copy_links(placed, word_bits, shingle_bits), "u", "v")
+    labelled = classes.withColumn("node", node).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    firsts = labelled.groupBy("label").agg(F.min("first").alias("first"))
+    by_class = stage(labelled.drop("first").join(firsts, "label").select(*key, "first"), "near-copy-classes").df
+    return prints.join(by_class, key).select("doc_id", "text_hash", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+
+
+def keep_first_copies(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs`` without near copies of an earlier row: one row of each group stays, with all its columns."""
+    groups = near_copy_groups(docs)
+    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
+    kept = stage(
+        firsts.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
+        .select(F.col("doc_id").isNull().alias("_missing"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"), "_n"),
+        "first-copies",
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.withColumns({
+        "_missing": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": F.xxhash64(text)
+    })
+    met = lookup_join(rows, kept, ["_missing", "_id", "_hash"], spread_by=["_id", "_hash"], broadcast_bytes=broadcast_bytes)
+    # Rows that occur more than once with the same doc_id and text.
+    repeated = met.filter("_n > 1").dropDuplicates(["_missing", "_id", "_hash"])
+    return met.filter("_n = 1").unionByName(repeated).select(*docs.columns)
+
+
 def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"))

@@ -103,3 +103,42 @@ def test_empty_and_missing_ids(spark):
     df = spark.createDataFrame([(None, "a b c d", None, None), (7, "a b c d", None, None), (None, "z z z", None, None)], SCHEMA)
     got = simhash.near_duplicates(df).select("doc_id", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, 7), (7, 7), (None, None)], key=str)
+
+
+def shingles(text, n=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
+def test_near_copies_are_found_and_others_are_kept(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, wanted = [], {}
+    for i in range(150):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([60, 150, 400]))]
+        rows.append((i, " ".join(base)))
+        wanted[i] = i
+        for k in range(rng.randrange(4)):
+            copy = list(base)
+            for _ in range(max(1, len(base) // 60)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            text = " ".join(copy)
+            a, b = shingles(rows[-1 - k][1]), shingles(text)
+            if len(a & b) / len(a | b) >= 0.8:
+                wanted[1000 + 10 * i + k] = i
+            rows.append((1000 + 10 * i + k, text))
+    found = {r.doc_id: r.first_id for r in simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == i for i in range(150))
+    copies = [i for i in wanted if i >= 1000]
+    assert sum(found[i] == wanted[i] for i in copies) >= 0.97 * len(copies)
+    assert all(found[i] in (i, (i - 1000) // 10) or found[i] // 10 == i // 10 for i in found if i >= 1000)
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(5, "a b c d e f"), (3, "A b  c d e f"), (3, "A b  c d e f"), (9, None), (8, ""), (None, "x y z"), (None, "x y z"), (7, "other words here")]
+    df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "doc_id long, text string, fp long")
+    for limit in (0, 1 << 20):
+        kept = simhash.keep_first_copies(df, broadcast_bytes=limit)
+        assert kept.columns == df.columns
+        assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 8, None, 7], key=str)
+    assert simhash.keep_first_copies(df.limit(0)).count() == 0
