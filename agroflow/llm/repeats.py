@@ -123,9 +123,9 @@ def _cut_contexts(texts_with_places: DataFrame, length: int, anchor: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
+            for text, wanted in zip(batch.column(0), batch.column(1)):
                 raw, out = text.as_py().encode(), []
-                for w in wanted:
+                for w in wanted.as_py():
                     low, high = _context(w["place"], len(raw), length, anchor)
                     out.append((w["anchor_hash"], w["context_hash"], w["place"] - low, raw[low:high]))
                 yield pa.RecordBatch.from_arrays(
@@ -285,11 +285,10 @@ def covered(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, block:
     contexts = stage(live.groupBy("anchor_hash", "context_hash").agg(F.count(F.lit(1)).alias("n"), first.alias("at")), "anchor-contexts").df
     several = contexts.groupBy("anchor_hash").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1")
     mixed = lookup_join(contexts, stage(several, "mixed-anchors"), ["anchor_hash"], spread_by=["context_hash"])
-    wanted = stage(
-        mixed.groupBy("at.id", "at.text_hash").agg(F.collect_list(F.struct("at.place", "anchor_hash", "context_hash")).alias("wanted")),
-        "wanted-contexts",
-    )
-    cut = _cut_contexts(lookup_join(rows, wanted, ["id", "text_hash"], spread_by=["id", "text_hash"]), length, anchor)
+    listed = F.collect_list(F.struct("at.place", "anchor_hash", "context_hash")).alias("wanted")
+    wanted = mixed.groupBy("at.id", "at.text_hash").agg(listed)
+    # Both tables grow with the corpus, so neither is broadcast.
+    cut = _cut_contexts(rows.join(wanted, ["id", "text_hash"]), length, anchor)
     sized = stage(mixed.groupBy("anchor_hash").agg(F.max("contexts").alias("contexts")).filter(F.col("contexts") > crowded).drop("contexts"), "crowded-anchors")
     usual = lookup_join(cut, sized, ["anchor_hash"], how="left_anti", spread_by=["context_hash"]) if sized.rows else cut
     compared = _compared(usual.repartition("anchor_hash").sortWithinPartitions("anchor_hash", "context_hash"), length, anchor, block)
@@ -301,16 +300,16 @@ def covered(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, block:
     )
     # A context that occurs twice is covered throughout, whatever the comparison found.
     partial = compared.join(whole.select("anchor_hash", "context_hash"), ["anchor_hash", "context_hash"], "left_anti")
-    known = stage(partial.unionByName(whole), "repeat-spans")
-    hits = lookup_join(live, known, ["anchor_hash", "context_hash"], spread_by=["id", "place"])
+    known = stage(partial.unionByName(whole), "repeat-spans").df
+    # Adaptive execution splits the partitions of contexts with very many copies.
+    hits = live.join(known, ["anchor_hash", "context_hash"])
 
     def bytes_covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch.column(2).to_pylist()
             out = []
-            for n, hit in zip(sizes, batch.column(3).to_pylist()):
+            for n, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
                 parts = []
-                for h in hit:
+                for h in hit.as_py():
                     place = h["place"]
                     if h["spans"] is None:
                         parts.append(_context(place, n, length, anchor))
