@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from agroflow.operators.ranking import ranked
 from agroflow.operators.rows import require_columns
 from agroflow.operators.skew import BROADCAST_BYTES, lookup_join
-from agroflow.sources.workspace import bounded, stage
+from agroflow.sources.workspace import bounded, fresh_path, stage
 
 DICTIONARY_SCHEMA = "column string, code int, value string, dtype string"
 MISSING_CODE = -1
-LISTED_VALUES = 20
+#: Unseen values quoted in the error, which names the table of all of them.
+SAMPLED_VALUES = 20
 
 
 def _as_text(column: str, dtype: str):
@@ -102,10 +103,18 @@ def fit_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFr
 
 
 def apply_encoding(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Encode new data strictly: a missing column or an unseen value is an error."""
-    offending = unknown_categories(df, dictionary).limit(LISTED_VALUES + 1).collect()
-    if offending:
-        listed = [f"{r['column']}={r['value']!r}" for r in offending[:LISTED_VALUES]]
-        more = ", and more" if len(offending) > LISTED_VALUES else ""
-        raise ValueError(f"categories not seen when the dictionary was fitted: {', '.join(listed)}{more}")
+    """Encode new data strictly: a missing column or an unseen value is an error.
+
+    All unseen values are written to the shared folder, and the error says where.
+    """
+    path = fresh_path(df.sparkSession, "unknown-categories")
+    write_dictionary(unknown_categories(df, dictionary), path)
+    offending = df.sparkSession.read.schema("column string, value string").json(path)
+    totals = {r["column"]: r["count"] for r in offending.groupBy("column").count().collect()}
+    if totals:
+        sample = [f"{r['column']}={r['value']!r}" for r in offending.orderBy("column", "value").take(SAMPLED_VALUES)]
+        raise ValueError(
+            f"categories not seen when the dictionary was fitted: {totals} by column, such as {', '.join(sample)}; "
+            f"all of them are in {path}"
+        )
     return encode(df, dictionary)

@@ -30,10 +30,10 @@ def add_event_dates(df: DataFrame, year_shift: int = -1) -> DataFrame:
 
 
 def event_rows(df: DataFrame, key: Sequence[str] = ("id",)) -> DataFrame:
-    """The row that stands for each key: the first by year."""
+    """The row that stands for each key: the first by year, then by cell and by the dates themselves."""
     columns = [*key, "year", "climate_id", *map(schemas.date_column, schemas.EVENT_SLOTS)]
     narrow = df.select(*dict.fromkeys(columns))
-    return first_per_key(narrow, key, ["year", "climate_id"])
+    return first_per_key(narrow, key, [c for c in narrow.columns if c not in key])
 
 
 def _measured_days(climate: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from agroflow.operators.ranking import ranked
 from agroflow.operators.skew import lookup_join
-from agroflow.sources.workspace import bounded, stage
+from agroflow.sources.workspace import bounded, fresh_path, stage
 
+#: Rows of the fold plan that the driver holds before it writes them.
+BLOCK_ROWS = 50_000
 _HASH_BITS = 63
 _DIGIT_BITS = 16
 
@@ -66,11 +68,20 @@ def _hash_bounds(hashed: DataFrame, counts: Sequence[int]) -> list[int]:
 def shuffled_folds(df: DataFrame, keys: Sequence[str], n_splits: int = 5, seed: int = 42) -> DataFrame:
     """Shuffled folds of exactly even size; the first folds take the remainder.
 
-    Rows are ordered by a seeded hash of their unique key and cut at exact
-    counts, found from histograms; no row moves. Rows with equal keys stay together.
+    Rows are ordered by a seeded hash of their key and cut at exact counts, found
+    from histograms; no row moves. Rows with equal keys are told apart by their
+    rank among each other, so they spread over the folds like all others.
     """
-    hashed = df.select(_row_hash(keys, seed).alias("h"))
-    total = hashed.count()
+    hashes = stage(df.select(_row_hash(keys, seed).alias("h")), "row-hashes")
+    hashed, total = hashes.df, hashes.rows
+    repeated = stage(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated-hashes")
+    if repeated.rows:
+        marked = df.withColumn("_h", _row_hash(keys, seed))
+        again = lookup_join(marked, repeated.change(lambda x: x.withColumnRenamed("h", "_h")), ["_h"], "left_semi", keys_from=hashed.withColumnRenamed("h", "_h"))
+        alone = lookup_join(marked, repeated.change(lambda x: x.withColumnRenamed("h", "_h")), ["_h"], "left_anti", keys_from=hashed.withColumnRenamed("h", "_h"))
+        both = alone.withColumn("_nth", F.lit(0).cast("long")).unionByName(ranked(again, ["_h"], ["_h"], "_nth"))
+        numbered = stage(both, "numbered-rows").df
+        return shuffled_folds(numbered, ["_h", "_nth"], n_splits, seed).drop("_h", "_nth")
     sizes = [total // n_splits + (i < total % n_splits) for i in range(n_splits)]
     ends = [sum(sizes[: i + 1]) for i in range(n_splits - 1)]
     ends = [e for e in ends if 0 < e < total]
@@ -112,26 +123,44 @@ def group_folds(df: DataFrame, group: str = "id", n_splits: int = 5, seed: int =
     """Folds balanced by rows in which all rows of a group share a fold.
 
     Groups go, heaviest first, to the lightest fold. Groups of equal size are
-    alike, so the driver only handles the list of distinct sizes (fewer than the
-    root of twice the row count) and cuts each size's groups, in seeded hash
-    order, into blocks. Rows without a group are spread one by one.
+    alike, so the driver only goes through the distinct sizes, in portions, and
+    cuts each size's groups, in seeded hash order, into blocks that it writes to
+    the shared folder. Rows without a group are spread one by one. Fewer groups
+    than folds are an error.
     """
     sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     spread = F.xxhash64(F.col(group), F.lit(seed))
     ordered = ranked(sizes.withColumn("_spread", spread), ["_size"], ["_spread", group], "_rank")
 
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "fold-blocks")
+    schema = "_size bigint, _from bigint, _to bigint, fold int"
     loads = [0] * n_splits
-    blocks = []
-    for r in ordered.groupBy("_size").count().orderBy(F.desc("_size")).collect():
+    blocks: list[tuple] = []
+    n_groups = n_blocks = 0
+
+    def write() -> None:
+        spark.createDataFrame(blocks, schema).coalesce(1).write.mode("append").parquet(path)
+        blocks.clear()
+
+    # The sizes come in portions, heaviest first; the driver keeps the loads alone.
+    for r in ordered.groupBy("_size").count().orderBy(F.desc("_size")).toLocalIterator():
         start = 0
+        n_groups += r["count"]
         for fold, n in enumerate(share_equal_groups(loads, r["_size"], r["count"])):
             if n:
                 blocks.append((r["_size"], start, start + n, fold + 1))
+                n_blocks += 1
                 loads[fold] += n * r["_size"]
                 start += n
-    cuts = df.sparkSession.createDataFrame(blocks, "_size bigint, _from bigint, _to bigint, fold int")
+        if len(blocks) >= BLOCK_ROWS:
+            write()
+    if n_groups < n_splits:
+        raise ValueError(f"{n_splits} folds need as many groups; there are {n_groups}")
+    if blocks:
+        write()
+    cuts = bounded(spark.read.schema(schema).parquet(path), n_blocks)
     in_block = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
-    folds = lookup_join(ordered, bounded(cuts, len(blocks)), ["_size"]).where(in_block).select(group, "fold")
+    folds = lookup_join(ordered, cuts, ["_size"]).where(in_block).select(group, "fold")
     alone = F.pmod(_row_hash(df.columns, seed), F.lit(n_splits)) + 1
     folded = lookup_join(df, stage(folds, "group-folds"), [group], "left")
     return folded.withColumn("fold", F.coalesce("fold", alone).cast("int"))

@@ -13,18 +13,25 @@ FOLD_MEAN = "OOF"
 
 
 def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
-    """RMSE, MAE and R2 of ``y_pred`` against ``y`` per group, in one pass."""
-    error = F.col("y_pred") - F.col("y")
+    """RMSE, MAE and R2 of ``y_pred`` against ``y`` per group, in one pass.
+
+    All come from the ``n`` rows that have both values; ``n_missing`` counts the others.
+    """
+    y, predicted = (F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in ("y", "y_pred"))
+    both = y.isNotNull() & predicted.isNotNull()
+    error = F.when(both, predicted - y)
     sums = predictions.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(both).alias("n"),
+        F.count_if(~both).alias("n_missing"),
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
-        F.var_pop("y").alias("variance"),
+        F.var_pop(F.when(both, y)).alias("variance"),
     )
     constant = F.when(F.col("mse") == 0, 1.0).otherwise(0.0)
     return sums.select(
         *by,
         "n",
+        "n_missing",
         F.sqrt("mse").alias("rmse"),
         "mae",
         F.when(F.col("variance") == 0, constant).otherwise(1 - F.col("mse") / F.col("variance")).alias("r2"),

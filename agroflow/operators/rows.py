@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agroflow.sources.workspace import StagedTable
 
@@ -42,9 +43,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     """The first row of each key in the given order.
 
     The rank filter is applied before the shuffle as well, so a key with very
-    many rows leaves at most one row per input task.
+    many rows leaves at most one row per input task. Rows that are equal in
+    ``order_by`` go by all other columns, so the choice never follows arrival.
     """
-    window = Window.partitionBy(*keys).orderBy(*order_by)
+    named = {c for c in order_by if isinstance(c, str)} | set(keys)
+    sortable = [f.name for f in df.schema.fields if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    window = Window.partitionBy(*keys).orderBy(*order_by, *[F.col(f"`{c}`") for c in sortable])
     return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
 
 

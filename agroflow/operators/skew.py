@@ -11,16 +11,22 @@ Three physical forms, chosen from measured facts:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroflow import schemas
 from agroflow.sources.workspace import StagedTable, measure
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.01
+HOT_SHARE, LEAST_HOT_SHARE = 0.01, 1e-4
+
+
+def default_hot_share(spark: SparkSession) -> float:
+    """A key is hot if it fills two average shuffle partitions, from one in a hundred down to one in ten thousand rows."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_HOT_SHARE, min(HOT_SHARE, 2 / partitions))
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
@@ -53,8 +59,8 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
-    keys_from: DataFrame | None = None,
+    hot_share: float | None = None,
+    keys_from: DataFrame | Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equally named keys.
 
@@ -62,7 +68,7 @@ def lookup_join(
     inner, left, left_semi, left_anti. ``spread_by`` are columns that tell the
     rows of one key apart; the salt is a hash of them, so a repeated task gives
     each row the same salt. ``keys_from`` is a table with the same key values per
-    row as ``facts`` that is cheaper to scan for hot keys. The columns of
+    row as ``facts`` that is cheaper to scan for hot keys, or a function that makes it when it is needed. The columns of
     ``facts`` come first, in their order.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
@@ -80,7 +86,8 @@ def lookup_join(
 
     # Hashes agree only between equal types.
     lookup = lookup.withColumns({c: F.col(c).cast(facts.schema[c].dataType) for c in on})
-    hot = hot_keys(facts if keys_from is None else keys_from, on, hot_share)
+    counted = facts if keys_from is None else keys_from() if callable(keys_from) else keys_from
+    hot = hot_keys(counted, on, hot_share or default_hot_share(facts.sparkSession))
     if not hot:
         return facts.join(lookup, on, how).select(*kept)
 

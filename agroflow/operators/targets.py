@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from agroflow import schemas
 from agroflow.functions.measures import yeo_johnson, yeo_johnson_inverse
+from agroflow.sources.workspace import stage
 
 GRID_POINTS = 25
 GRID_LOW, GRID_HIGH = -2.0, 4.0
@@ -38,29 +39,31 @@ class TargetScaling:
 
 
 def _log_likelihoods(df: DataFrame, column: str, grid: list[float]) -> list[float]:
-    """Profile log-likelihood per row of every candidate power, all in one pass over the column."""
-    x = F.col(column).cast("double")
-    rows = df.where(x.isNotNull()).select(x.alias("x"), F.explode(F.array(*map(F.lit, grid))).alias("lam"))
-    stats = (
-        rows.groupBy("lam")
-        .agg(
-            F.var_pop(yeo_johnson(F.col("x"), F.col("lam"))).alias("variance"),
-            F.avg(F.signum("x") * F.log1p(F.abs("x"))).alias("jacobian"),
-        )
-        .collect()
-    )
-    found = {
-        r["lam"]: -0.5 * math.log(r["variance"]) + (r["lam"] - 1) * r["jacobian"] if r["variance"] > 0 else -math.inf
-        for r in stats
-    }
-    return [found.get(lam, -math.inf) for lam in grid]
+    """Profile log-likelihood per row of every candidate power, all in one aggregate over the column."""
+    x = F.col(column)
+    variances = [F.var_pop(yeo_johnson(x, F.lit(lam))).alias(f"variance_{i}") for i, lam in enumerate(grid)]
+    stats = df.agg(F.avg(F.signum(x) * F.log1p(F.abs(x))).alias("jacobian"), *variances).first()
+
+    def score(i: int, lam: float) -> float:
+        variance = stats[f"variance_{i}"]
+        return -0.5 * math.log(variance) + (lam - 1) * stats["jacobian"] if variance and variance > 0 else -math.inf
+
+    return [score(i, lam) for i, lam in enumerate(grid)]
 
 
 def fit_yeo_johnson(df: DataFrame, column: str) -> TargetScaling:
     """Maximum-likelihood power by grid refinement, then mean and population deviation.
 
-    A few passes over one column; each returns one row per candidate.
+    A few passes over one column, written once for them; each returns one row.
+    NaN counts as missing. A constant or empty column is left as it is; a column
+    that is neither must have a power within reach, or the fit is an error.
     """
+    x = F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None))
+    df = stage(df.select(x.alias("x")).where("x is not null"), "yeo-johnson").df
+    column = "x"
+    ends = df.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
+    if ends["low"] == ends["high"]:
+        return TargetScaling("yeo-johnson", 1.0, ends["low"] or 0.0, 1.0)
     low, high = GRID_LOW, GRID_HIGH
     best = 1.0
     refinements = shifts = 0
@@ -69,11 +72,12 @@ def fit_yeo_johnson(df: DataFrame, column: str) -> TargetScaling:
         grid = [low + i * step for i in range(GRID_POINTS)]
         scores = _log_likelihoods(df, column, grid)
         top = max(range(GRID_POINTS), key=scores.__getitem__)
-        if scores[top] == -math.inf:
-            best = 1.0  # constant or empty column: nothing to fit
-            break
+        if not math.isfinite(scores[top]):
+            raise ValueError("no power gives this column a finite likelihood")
         best = grid[top]
-        if top in (0, GRID_POINTS - 1) and shifts < MAX_SHIFTS:
+        if top in (0, GRID_POINTS - 1):
+            if shifts == MAX_SHIFTS:
+                raise ValueError(f"the likelihood still rises at the power {best:.3g}")
             half = (high - low) / 2
             low, high = best - half, best + half
             shifts += 1
@@ -86,7 +90,7 @@ def fit_yeo_johnson(df: DataFrame, column: str) -> TargetScaling:
         refinements += 1
         low, high = best - step, best + step
 
-    moments = df.select(yeo_johnson(F.col(column).cast("double"), F.lit(best)).alias("y")).agg(
+    moments = df.select(yeo_johnson(F.col(column), F.lit(best)).alias("y")).agg(
         F.avg("y").alias("mean"), F.stddev_pop("y").alias("std")
     )
     row = moments.first()
@@ -101,4 +105,4 @@ def fit_target_scalings(df: DataFrame, targets=schemas.TARGETS) -> dict[str, Tar
 
 def transform_targets(df: DataFrame, scalings: dict[str, TargetScaling]) -> DataFrame:
     """Add ``<target>_t`` columns."""
-    return df.withColumns({f"{t}_t": s.apply(F.col(t).cast("double")) for t, s in scalings.items()})
+    return df.withColumns({f"{t}_t": s.apply(F.nanvl(F.col(t).cast("double"), F.lit(None))) for t, s in scalings.items()})

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType
 
 from agroflow import schemas
 from agroflow.operators.encoding import fit_encode
 from agroflow.operators.folds import fold_sizes, group_folds, shuffled_folds
 from agroflow.operators.metrics import METRICS, cv_summary, regression_metrics
 from agroflow.operators.targets import TargetScaling, fit_target_scalings, transform_targets
-from agroflow.sources.run_log import append_runs, run_records
+from agroflow.sources.run_log import append_runs, new_token, run_folder, run_records
 from agroflow.sources.workspace import shared_folder, stage
 
 
@@ -31,16 +31,22 @@ class BoostingPreset:
     row_share: float = 1.0
     column_share: str = "all"
     bins: int = 256
+    nominal: bool = False
 
 
 # Settings of the three model families that MLlib's boosted trees have, too.
 PRESETS = {
     "depthwise": BoostingPreset("depthwise", 10_000, 9, 0.013556, 48, 0.8, "0.6", 256),
-    "leafwise": BoostingPreset("leafwise", 5_000, 8, 0.01, 20, 0.8, "0.8", 256),
-    "lossguide": BoostingPreset("lossguide", 2_000, 6, 0.013556, bins=64),
+    "leafwise": BoostingPreset("leafwise", 5_000, 8, 0.01, 20, 0.8, "0.8", 256, nominal=True),
+    "lossguide": BoostingPreset("lossguide", 2_000, 6, 0.013556, bins=64, nominal=True),
 }
 
 
+# Fixed value: rounds without a better error before cross-validation stops.
+PATIENCE = 200
+MISSING_FLAG = "_missing"
+
+
 @dataclass(frozen=True)
 class TrainingResult:
     models: dict
@@ -63,11 +69,9 @@ def regressor(
     rounds: int | None = None,
     depth: int | None = None,
     seed: int = 42,
-    validation_column: str | None = None,
-    tolerance: float = 1e-5,
 ) -> GBTRegressor:
-    """One target's learner. ``validation_column`` marks rows that decide when to stop."""
-    gbt = GBTRegressor(
+    """One target's learner."""
+    return GBTRegressor(
         featuresCol="features",
         labelCol=f"{target}_t",
         predictionCol=f"{target}_pred_t",
@@ -79,19 +83,23 @@ def regressor(
         featureSubsetStrategy=preset.column_share,
         maxBins=preset.bins,
         seed=seed,
-        validationTol=tolerance,
     )
-    return gbt.setValidationIndicatorCol(validation_column) if validation_column else gbt
 
 
 def feature_columns(df: DataFrame, targets: Sequence[str] = schemas.TARGETS, drop: Sequence[str] = ("id",)) -> list[str]:
     return [c for c in df.columns if c not in {*targets, *drop}]
 
 
-def encode_text_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Category codes in place of the feature columns that hold text."""
+def encode_text_features(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Category codes in place of the feature columns that hold text, and the names of these columns."""
     texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
-    return fit_encode(df, texts)[0] if texts else df
+    return (fit_encode(df, texts)[0] if texts else df), texts
+
+
+def _category_columns(df: DataFrame, columns: Sequence[str], texts: Sequence[str]) -> list[str]:
+    """Encoded columns: text ones and, in a prepared table, the category columns that already hold codes."""
+    coded = [c for c in (*schemas.LABEL_COLUMNS, *schemas.ORDINAL_COLUMNS) if c in columns and isinstance(df.schema[c].dataType, IntegerType)]
+    return list(dict.fromkeys([*texts, *coded]))
 
 
 def assemble_features(df: DataFrame, columns: Sequence[str], missing: str = "error") -> DataFrame:
@@ -99,6 +107,94 @@ def assemble_features(df: DataFrame, columns: Sequence[str], missing: str = "err
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid=missing).transform(df)
 
 
+@dataclass(frozen=True)
+class Imputation:
+    """What stands in for a missing value of each feature that has any, and the flags that say so."""
+
+    means: Mapping[str, float]
+
+    def flags(self) -> list[str]:
+        return [f"{c}{MISSING_FLAG}" for c in self.means]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Missing values filled, and a 0/1 column beside each of these features."""
+        absent = {c: F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double")) for c in self.means}
+        flags = {f"{c}{MISSING_FLAG}": absent[c].cast("int") for c in self.means}
+        filled = {c: F.when(absent[c], F.lit(m)).otherwise(F.col(f"`{c}`").cast("double")) for c, m in self.means.items()}
+        return df.withColumns(flags).withColumns(filled) if self.means else df
+
+
+def fit_imputation(df: DataFrame, columns: Sequence[str]) -> Imputation:
+    """Means of the features that have missing values, in one pass; a feature without any value gets 0."""
+    value = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns}
+    found = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(value[c]).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.avg(value[c]).alias(f"mean_{i}") for i, c in enumerate(columns)],
+    ).first()
+    gaps = {c: found[f"mean_{i}"] or 0.0 for i, c in enumerate(columns) if found[f"n_{i}"] < found["rows"]}
+    return Imputation(gaps)
+
+
+def mark_nominal(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """Tell the learner which columns hold category codes: those with at most ``bins`` codes.
+
+    Codes start at -1 for a missing value; a learner counts categories from 0, so they move up by one.
+    A column with more codes stays a number.
+    """
+    if not columns:
+        return df
+    tops = df.agg(*[F.max(f"`{c}`").alias(c) for c in columns]).first()
+    for c in columns:
+        codes = (tops[c] if tops[c] is not None else -1) + 2
+        if codes <= bins:
+            attribute = {"ml_attr": {"type": "nominal", "name": c, "vals": [str(i - 1) for i in range(codes)]}}
+            df = df.withColumn(c, (F.col(f"`{c}`") + 1).cast("double")).withMetadata(c, attribute)
+    return df
+
+
+def stopping_round(errors: DataFrame, patience: int, by: Sequence[str] = ()) -> DataFrame:
+    """The best round of each error curve (``by``, round, error) and the round at which training would stop.
+
+    Training stops at the first round that is ``patience`` rounds past the best so far; the best up to there
+    counts, the earliest of equals. A curve that never stops has its last round as ``stopped_at``.
+    """
+    # A curve has as many rows as rounds.
+    so_far = Window.partitionBy(*by).orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
+    best = errors.withColumn("best", F.min(F.struct("error", "round")).over(so_far))
+    waits = best.withColumn("over", F.col("round") - F.col("best.round") >= patience)
+    stop = waits.groupBy(*by).agg(
+        F.coalesce(F.min(F.when(F.col("over"), F.col("round"))), F.max("round")).alias("stopped_at"),
+        F.collect_list(F.struct("round", F.col("best.round").alias("best_round"))).alias("rounds"),
+    )
+    at_stop = F.filter("rounds", lambda r: r["round"] == F.col("stopped_at"))[0]
+    return stop.select(*by, at_stop["best_round"].alias("best_round"), "stopped_at")
+
+
+def fit_model(
+    train: DataFrame,
+    preset: BoostingPreset,
+    target: str,
+    rounds: int | None = None,
+    depth: int | None = None,
+    seed: int = 42,
+    held_out: DataFrame | None = None,
+    patience: int | None = None,
+) -> GBTRegressionModel:
+    """One target's model; with ``patience``, cut back to the best round on the held-out rows.
+
+    The error curve comes from one model of all rounds. Boosting with the same seed gives the same first
+    trees, so a second fit of fewer rounds is that model cut short.
+    """
+    model = regressor(preset, target, rounds, depth, seed).fit(train)
+    if not patience or held_out is None:
+        return model
+    curve = list(enumerate(model.evaluateEachIteration(held_out, "squared"), start=1))
+    errors = train.sparkSession.createDataFrame(curve, "round int, error double")
+    best = stopping_round(errors, patience).first()["best_round"]
+    return model if best == len(curve) else regressor(preset, target, best, depth, seed).fit(train)
+
+
 def _training_input(
     df: DataFrame,
     scalings: Mapping[str, TargetScaling],
@@ -110,6 +206,9 @@ def _training_input(
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    if missing == "impute":
+        imputation = fit_imputation(df, columns)
+        df, columns, missing = imputation.apply(df), [*columns, *imputation.flags()], "error"
     vectors = assemble_features(transform_targets(df, scalings), columns, missing)
     wanted = [*keep, *scalings, *[f"{t}_t" for t in scalings], "features"]
     return stage(vectors.select(*dict.fromkeys(wanted)), "training-input").df
@@ -141,24 +240,30 @@ def train_multi_target(
     rounds: int | None = None,
     depth: int | None = None,
     seed: int = 42,
-    missing: str = "error",
+    missing: str = "impute",
     keep: Sequence[str] = ("id",),
     log_dir: str | None = None,
     experiment: str | None = None,
 ) -> TrainingResult:
-    """One boosted-tree model per target, scored on its own training rows."""
+    """One boosted-tree model per target, scored on its own training rows.
+
+    A feature with missing values is filled with its mean and gets a flag beside it. Text features are encoded;
+    presets that know categories take codes as such. A target that cannot be scored on some row is an error.
+    """
     chosen = PRESETS[preset]
     keep = [c for c in keep if c in df.columns]
     columns = feature_columns(df, targets, ["id"])
-    df = encode_text_features(df, columns)
+    df, texts = encode_text_features(df, columns)
+    df = mark_nominal(df, _category_columns(df, columns, texts) if chosen.nominal else [], chosen.bins)
     scalings = fit_target_scalings(df, targets)
     table = _training_input(df, scalings, columns, keep, missing)
-    models = {t: regressor(chosen, t, rounds, depth, seed).fit(table) for t in targets}
+    models = {t: fit_model(table, chosen, t, rounds, depth, seed) for t in targets}
     predictions = _score(table, models, scalings, keep).withColumn("model", F.lit(chosen.family))
     metrics = stage(regression_metrics(predictions, ["model", "target"]), "metrics").df
+    _require_complete(metrics)
     if log_dir:
         _log(metrics.withColumn("run_name", F.lit(f"{chosen.family}_train_full")), {f"{chosen.family}_train_full": models},
-             scalings, columns, chosen.family, log_dir, experiment or f"multi_target_{chosen.family}")
+             scalings, columns, _parameters(chosen, rounds, depth, seed), chosen.family, log_dir, experiment or f"multi_target_{chosen.family}")
     return TrainingResult(models, scalings, predictions, metrics)
 
 
@@ -171,8 +276,8 @@ def cross_validate(
     rounds: int | None = None,
     depth: int | None = None,
     seed: int = 42,
-    early_stopping: bool = False,
-    missing: str = "error",
+    patience: int | None = PATIENCE,
+    missing: str = "impute",
     fit_scaling_on_train: bool = False,
     log_dir: str | None = None,
     experiment: str = "multi_target_cv",
@@ -181,12 +286,14 @@ def cross_validate(
 
     Rows of a group share a fold; without the group column the folds are
     shuffled rows. Targets are scaled on all rows, or per fold on its training
-    rows with ``fit_scaling_on_train``.
+    rows with ``fit_scaling_on_train``. A fold's model is cut back to its best
+    round on the held-out rows once ``patience`` rounds brought nothing better.
     """
     chosen = PRESETS[preset]
     grouped = group is not None and group in df.columns
     columns = feature_columns(df, targets, [group] if grouped else [])
-    df = encode_text_features(df, columns)
+    df, texts = encode_text_features(df, columns)
+    df = mark_nominal(df, _category_columns(df, columns, texts) if chosen.nominal else [], chosen.bins)
     if grouped:
         folded = group_folds(df, group, n_splits, seed)
         splitter = f"group folds (n_splits={n_splits}, group={group})"
@@ -205,36 +312,52 @@ def cross_validate(
         if fit_scaling_on_train:
             fold_scalings = fit_target_scalings(table.where(~held_out), targets)
             rows = transform_targets(table, fold_scalings)
-        train = rows.withColumn("held_out", held_out) if early_stopping else rows.where(~held_out)
-        marker = "held_out" if early_stopping else None
-        fitted = {t: regressor(chosen, t, rounds, depth, seed, marker).fit(train) for t in targets}
+        train, test = rows.where(~held_out), rows.where(held_out)
+        fitted = {t: fit_model(train, chosen, t, rounds, depth, seed, test, patience) for t in targets}
         models[f"{chosen.family}_cv_fold{fold}"] = fitted
-        scored.append(_score(rows.where(held_out), fitted, fold_scalings, keep))
+        scored.append(_score(test, fitted, fold_scalings, keep))
     predictions = reduce(DataFrame.unionByName, scored).withColumn("model", F.lit(chosen.family))
     metrics = stage(regression_metrics(predictions, ["model", "target", "fold"]), "cv-metrics").df
+    _require_complete(metrics)
     if log_dir:
         named = metrics.withColumn("run_name", F.concat(F.lit(f"{chosen.family}_cv_fold"), "fold"))
-        _log(named, models, scalings, columns, chosen.family, log_dir, experiment)
+        parameters = {**_parameters(chosen, rounds, depth, seed), "patience": patience, "n_splits": n_splits}
+        _log(named, models, scalings, columns, parameters, chosen.family, log_dir, experiment)
     return CrossValidation(
         models, scalings, predictions, metrics, cv_summary(metrics), fold_sizes(table), n_splits, splitter
     )
 
 
-def _log(metrics, models, scalings, columns, family, log_dir, experiment) -> None:
-    """Save every model and append one record per run."""
+def _require_complete(metrics: DataFrame) -> None:
+    """Every row must have been scored; few rows, one for each model, target and fold."""
+    gaps = {r["target"]: r["n_missing"] for r in metrics.where("n_missing > 0").collect()}
+    if gaps:
+        raise ValueError(f"rows without a target value or a prediction: {gaps}")
+
+
+def _parameters(preset: BoostingPreset, rounds: int | None, depth: int | None, seed: int) -> dict[str, object]:
+    return {**asdict(preset), "rounds": rounds or preset.rounds, "depth": depth or preset.depth, "seed": seed}
+
+
+def _log(metrics, models, scalings, columns, parameters, family, log_dir, experiment) -> None:
+    """Save every model in its run's own folder and append one record per run."""
     root = f"{log_dir.rstrip('/')}/{experiment}"
     model_class = f"{GBTRegressionModel.__module__}.{GBTRegressionModel.__name__}"
+    token = new_token()
     for run_name, fitted in models.items():
         for target, model in fitted.items():
-            model.write().overwrite().save(f"{root}/{run_name}/models/{target}")
-    append_runs(run_records(metrics, family, list(columns), root, scalings, model_class), experiment, log_dir)
+            model.save(f"{run_folder(root, token, run_name)}/models/{target}")
+    append_runs(run_records(metrics, family, list(columns), root, scalings, model_class, parameters, token), experiment, log_dir)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Predictions as Parquet, one folder per model and target."""
-    predictions.select("model", "target", "y", "y_pred").write.mode("overwrite").partitionBy("model", "target").parquet(
-        path
-    )
+    """Predictions as Parquet, one folder per model, fold (if they have one) and target.
+
+    Only the folders that ``predictions`` has rows for are replaced; those of other models stay.
+    """
+    folders = [c for c in ("model", "fold", "target") if c in predictions.columns]
+    writer = predictions.select(*folders, "y", "y_pred").write.mode("overwrite").partitionBy(*folders)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_cv_summary(cv: CrossValidation, path: str) -> None:

@@ -110,7 +110,7 @@ EVENT_PRECIPITATION = tuple(
     window_column(label, slot) for slot in EVENT_SLOTS for label, _, _ in EVENT_WINDOWS
 )
 
-# Types of the text sources, by header name.
+# Types of the text sources, by header name.
 CLIMATE_TYPES = {"id": "bigint", "date": "date", "tavg": "double", "prec": "double"}
 CLASS_TYPES = {
     "id": "bigint",
@@ -142,11 +142,13 @@ def _output_types() -> dict[str, str]:
 
 OUTPUT_TYPES = _output_types()
 
+# Names of a run record's fields.
 METRIC_STRUCT = "struct<rmse: double, mae: double, r2: double>"
 RUN_LOG_SCHEMA = (
     "run_id string, timestamp string, run_name string, model_family_name string, "
     "feature_names array<string>, "
     "models map<string, struct<artifact_path: string, class: string>>, "
     "transformers map<string, struct<kind: string, lambda: double, mean: double, std: double>>, "
-    f"metrics map<string, {METRIC_STRUCT}>, artifacts_dir string, experiment_name string"
+    f"metrics map<string, {METRIC_STRUCT}>, artifacts_dir string, experiment_name string, "
+    "parameters map<string, string>"
 )

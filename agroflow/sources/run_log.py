@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroflow import schemas
@@ -15,6 +17,20 @@ def _log_path(base_dir: str) -> str:
     return f"{base_dir.rstrip('/')}/experiments"
 
 
+def new_token() -> str:
+    """A token for one call of a job; with a run's name it gives the run's id."""
+    return uuid4().hex
+
+
+def run_id(token: str, run_name: str) -> str:
+    return hashlib.md5(f"{token}:{run_name}".encode()).hexdigest()
+
+
+def run_folder(artifacts_dir: str, token: str, run_name: str) -> str:
+    """A run's own folder: its name and the first part of its id."""
+    return f"{artifacts_dir.rstrip('/')}/{run_name.replace(' ', '_')}_{run_id(token, run_name)[:8]}"
+
+
 def run_records(
     metrics: DataFrame,
     family: str,
@@ -22,13 +38,20 @@ def run_records(
     artifacts_dir: str,
     scalings: Mapping[str, object] | None = None,
     model_class: str = "",
+    parameters: Mapping[str, object] | None = None,
+    token: str | None = None,
 ) -> DataFrame:
     """Run records from metric rows (run_name, target, rmse, mae, r2).
 
-    The maps of a record have one entry per target.
+    The maps of a record have one entry per target; ``parameters`` are those of
+    the learner. The id of a run is fixed by ``token`` and its name, so it does
+    not change when the records are evaluated again.
     """
+    identity = F.md5(F.concat(F.lit(f"{token or new_token()}:"), F.col("run_name")))
     entry = F.struct("target", F.struct("rmse", "mae", "r2"))
-    folder = F.concat(F.lit(f"{artifacts_dir.rstrip('/')}/"), F.translate("run_name", " ", "_"))
+    folder = F.concat(
+        F.lit(f"{artifacts_dir.rstrip('/')}/"), F.translate("run_name", " ", "_"), F.lit("_"), F.substring(identity, 1, 8)
+    )
     model = F.struct("target", F.struct(
         F.concat(folder, F.lit("/models/"), F.col("target")).alias("artifact_path"),
         F.lit(model_class).alias("class"),
@@ -48,7 +71,7 @@ def run_records(
             ))
         ])
     return runs.select(
-        F.replace(F.uuid(), F.lit("-"), F.lit("")).alias("run_id"),
+        identity.alias("run_id"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         "run_name",
         F.lit(family).alias("model_family_name"),
@@ -57,9 +80,16 @@ def run_records(
         transformers.alias("transformers"),
         "metrics",
         folder.alias("artifacts_dir"),
+        _text_map(parameters or {}).alias("parameters"),
     )
 
 
+def _text_map(values: Mapping[str, object]) -> Column:
+    """Names and values as a map of text."""
+    pairs = [F.lit(str(x)) for name in sorted(values) for x in (name, values[name])]
+    return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string, string>")
+
+
 def append_runs(records: DataFrame, experiment: str, base_dir: str) -> None:
     """Add records to the log; earlier runs stay."""
     (
@@ -90,6 +120,11 @@ def flatten_runs(runs: DataFrame) -> DataFrame:
     )
 
 
+def parameter_rows(runs: DataFrame) -> DataFrame:
+    """The log as one row per run and parameter of its learner."""
+    return runs.select("run_id", "experiment_name", "run_name", F.explode("parameters").alias("parameter", "value"))
+
+
 def metric_rows(runs: DataFrame) -> DataFrame:
     """The log as one row per run and named metric, ``<target>_<metric>``."""
     flat = flatten_runs(runs)

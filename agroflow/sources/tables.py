@@ -15,23 +15,67 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(f"`{c}`"), F.lit(None)) for c in floats}) if floats else df
 
 
-def read_csv(spark: SparkSession, path: str, types: dict[str, str], other: str = "string") -> DataFrame:
-    """Header CSV with declared types by column name: no inference pass over the data.
+#: Types tried in this order for columns without a declared one.
+INFERRED_TYPES = ("bigint", "double", "date", "timestamp", "boolean")
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
-    Columns not in ``types`` are read as ``other``.
-    """
-    names = spark.read.option("header", True).csv(path).columns
-    ddl = ", ".join(f"`{name}` {types.get(name, other)}" for name in names)
-    reader = spark.read.schema(ddl).option("header", True).option("enforceSchema", False)
-    return nan_to_null(reader.csv(path))
+
+class MalformedValues(ValueError):
+    """A text source has values that are not of their column's type."""
 
 
-def read_climate(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.CLIMATE_TYPES)
+def _parsed(column: str, kind: str) -> Column:
+    """The text as a value of the type, NULL if it is not one."""
+    text = F.trim(F.col(f"`{column}`"))
+    if kind in _WHOLE:
+        # Whole numbers are also written with a decimal point where a column has gaps.
+        number = F.when(text.rlike(r"^[+-]?[0-9]+\.0*$"), F.substring_index(text, ".", 1)).otherwise(text)
+        return number.try_cast(kind)
+    if kind == "date":
+        return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ].*)?$"), text.try_cast("date"))
+    if kind == "timestamp":
+        return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), text.try_cast("timestamp"))
+    return text.try_cast(kind)
 
 
-def read_climate_classes(spark: SparkSession, path: str) -> DataFrame:
-    df = read_csv(spark, path, schemas.CLASS_TYPES)
+def read_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+    """Header CSV with declared types by column name; the others get the narrowest type that all their values fit.
+
+    One pass over the text counts the values that are not of their declared type, and raises
+    :class:`MalformedValues` with the counts if there are any, and tries the types of the other columns.
+    Empty fields are NULL; a column without any value is text.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    ddl = ", ".join(f"`{name}` string" for name in names)
+    text = spark.read.schema(ddl).option("header", True).option("enforceSchema", False).csv(path)
+    tried = {(n, k) for n in names for k in ([types[n]] if n in types else INFERRED_TYPES) if k != "string"}
+    order = sorted(tried)
+    bad = [
+        F.count_if(F.col(f"`{n}`").isNotNull() & _parsed(n, k).isNull()).alias(f"bad_{i}") for i, (n, k) in enumerate(order)
+    ]
+    present = [F.count(F.col(f"`{n}`")).alias(f"present_{i}") for i, n in enumerate(names)]
+    counts = text.agg(F.count(F.lit(1)).alias("rows"), *bad, *present).first()
+    failed = {pair: counts[f"bad_{i}"] for i, pair in enumerate(order)}
+    wrong = {f"{n} ({k})": failed[n, k] for n, k in order if n in types and failed[n, k]}
+    if wrong:
+        raise MalformedValues(f"values of another type in {path}, by column: {wrong}")
+    chosen = dict(types)
+    for i, n in enumerate(names):
+        if n not in types:
+            fits = [k for k in INFERRED_TYPES if counts[f"present_{i}"] and not failed[n, k]]
+            chosen[n] = fits[0] if fits else "string"
+    typed = text.select(*[
+        (F.col(f"`{n}`") if chosen[n] == "string" else _parsed(n, chosen[n])).alias(n) for n in names
+    ])
+    return nan_to_null(typed)
+
+
+def read_climate(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    return read_csv(spark, path, {**schemas.CLIMATE_TYPES, "id": id_type})
+
+
+def read_climate_classes(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    df = read_csv(spark, path, {**schemas.CLASS_TYPES, "id": id_type})
     return df.withColumnsRenamed({name: name.lower().replace(" ", "_") for name in schemas.CLASS_TYPES})
 
 
@@ -70,6 +114,6 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, types: dict[str, str] | None = None) -> None:
-    """Convert a header CSV to Parquet."""
+    """Convert a header CSV to Parquet; columns without a declared type keep the one their values have."""
     df = read_csv(spark, source, types or schemas.OUTPUT_TYPES)
     write_parquet(df, target)

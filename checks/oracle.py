@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from agroflow import schemas
-from checks.queries import CODED, FIXED_POWER, SLOT_AMOUNTS, SLOT_DAYS
 from checks.views import EDGE_YEARS, VIEWS, sql_view
 
-SLOTS = schemas.EVENT_SLOTS
-EVENT_COLUMNS = schemas.EVENT_PRECIPITATION
+# Names and lists of the data model, spelled out here so that the package's own lists are checked, too.
+SLOTS = ("manu_1", "fert_1", "manu_2", "fert_2", "manu_3", "fert_3")
+SLOT_DAYS = [f"{s[:4]}_daytoplanting_{s[5]}" for s in SLOTS]
+SLOT_AMOUNTS = ["manu_amount_1", "manu_amount_2", "manu_amount_3", "fert_amount_1", "fert_amount_2", "fert_amount_3"]
+EVENT_COLUMNS = [f"{label}_{s}" for s in SLOTS for label in ("total_precipitation_7_before", "total_precipitation_3_after")]
+CODED = ["soil", "climate", "cropping_systems", "crop_rotation", "n_synth_type", "n_org_type", "n_org_replication",
+         "n_synth_replication", "irrigation", "manu_depth", "n_org_amount", "n_synthamount"]
+TARGETS = ("n2o", "no3", "yield", "soc")
+FIXED_POWER = 0.7
 CELLS = {"winter": {"growing_season": (10, 11, 12, 1, 2, 3, 4, 5, 6, 7), "autumn": (10, 11), "winter": (12, 1, 2),
                     "spring": (3, 4, 5)},
          "spring": {"growing_season": (3, 4, 5, 6, 7, 8), "spring": (3, 4, 5), "summer": (6, 7, 8)}}
@@ -85,11 +90,11 @@ FROM o_filled
 
 
 def event_day(slot: str) -> str:
-    offset = schemas.offset_column(slot)
+    offset = f"{slot[:4]}_daytoplanting_{slot[5]}"
     return f"CAST(MAKE_DATE(year - 1, 1, 1) + CAST(planting_dayofyear - 1 + FLOOR({offset}) AS INT) AS DATE)"
 
 
-def event_rows(panel: str, per_year: bool = False) -> str:
+def event_rows(panel: str, per_year: bool = False, order: str = "year, climate_id") -> str:
     """Dated event slots of each key's first row."""
     parts = " UNION ALL ".join(
         f"SELECT id, year, climate_id, '{s}' AS slot, {event_day(s)} AS event_date FROM firsts" for s in SLOTS
@@ -97,7 +102,7 @@ def event_rows(panel: str, per_year: bool = False) -> str:
     keys = "id, year" if per_year else "id"
     return (
         f"SELECT * FROM (WITH firsts AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} "
-        f"ORDER BY year, climate_id) AS nth FROM {panel}) WHERE nth = 1) {parts})"
+        f"ORDER BY {order}) AS nth FROM {panel}) WHERE nth = 1) {parts})"
     )
 
 
@@ -143,7 +148,7 @@ def codes(source: dict[str, str]) -> str:
     )
 
 
-SQUARES = list(schemas.SQUARED_COLUMNS)
+SQUARES = ["fert_amount_1", "fert_amount_2", "fert_amount_3", "manu_amount_1", "manu_amount_2", "manu_amount_3", "total_nitrogen"]
 TRAINING_COLUMNS = {
     "id": "p.id", "year": "p.year",
     **{t: f"COALESCE(p.{t}, 0)" for t in ("n2o", "no3", "soc")},
@@ -171,7 +176,9 @@ DERIVED = {
     "o_accepted": FILTER_SQL,
     "o_filled": backfill("o_accepted"),
     "o_clean": CLEAN_SQL,
-    "o_panel": "SELECT *, id % 10 AS climate_id FROM fx_outputs",
+    "o_panel": "SELECT *, (id // 100 + id % 100 * 31) % (SELECT COUNT(*) FROM supplier) AS climate_id FROM fx_outputs",
+    "o_tied_panel": "SELECT * REPLACE (id // 100 AS id), id // 100 % 7 AS climate_id FROM fx_outputs",
+    "o_tied_slots": event_rows("o_tied_panel", order="year, climate_id, " + listed(f"{event_day(s)} ASC NULLS FIRST" for s in SLOTS)),
     "o_slots": event_rows("o_panel"),
     "o_slots_by_year": event_rows("o_panel", True),
     "o_windows": event_sums("o_slots"),
@@ -223,7 +230,7 @@ def rounded(columns, digits: int = 6) -> str:
 # each size going to the first of the lightest.
 _gains = listed(f"a[{i}] + CASE WHEN LIST_POSITION(a, LIST_MIN(a)) = {i} THEN x[1] ELSE 0 END" for i in range(1, 6))
 GREEDY = f"""
-sized AS (SELECT COUNT(*) AS w FROM fx_outputs GROUP BY id),
+sized AS (SELECT COUNT(*) AS w FROM {{rows}} GROUP BY id),
 steps AS (SELECT LIST([CAST(w AS BIGINT)] ORDER BY w DESC) AS ws FROM sized),
 given AS (SELECT LIST_REDUCE(LIST_PREPEND([CAST(0 AS BIGINT), 0, 0, 0, 0], ws), LAMBDA a, x : [{_gains}]) AS loads
           FROM steps)
@@ -257,7 +264,7 @@ final AS (SELECT lam, n, CASE WHEN x >= 0 THEN (POWER(1 + x, lam) - 1) / lam
 
 _pos = f"(POWER(1 + soc, {FIXED_POWER}) - 1) / {FIXED_POWER}"
 _neg = f"-(POWER(1 - soc, 2 - {FIXED_POWER}) - 1) / (2 - {FIXED_POWER})"
-DATES = {s: schemas.date_column(s) for s in SLOTS}
+DATES = {s: f"{s[:4]}_date_{s[5]}" for s in SLOTS}
 DATE_TEXT = listed(f"CAST({event_day(s)} AS VARCHAR) AS {c}" for s, c in DATES.items())
 CLEAN_REST = [c for c in (*KEPT, "n_org_type", "n_synth_type", "n2o", "no3", "soc", "total_nitrogen")]
 ENRICH_REST = [*CLEAN_REST, "event_id", "climate_id", "site_id", "setup_id", "harvest_year", "class", *SEASON_COLUMNS,
@@ -277,7 +284,7 @@ SELECT target, CAST(fold AS VARCHAR) AS fold, ROUND(rmse, 6) AS rmse, ROUND(mae,
 UNION ALL
 SELECT target, 'OOF', ROUND(AVG(rmse), 6), ROUND(AVG(mae), 6), ROUND(AVG(r2), 6) FROM o_metrics GROUP BY target
 """
-_features = [c for c in TRAINING_COLUMNS if c not in ("id", *schemas.TARGETS)]
+_features = [c for c in TRAINING_COLUMNS if c not in ("id", *TARGETS)]
 
 ORACLE: dict[str, str] = {
     "scan_climate_normalised": with_views("SELECT id, CAST(date AS VARCHAR) AS date, prec, tavg FROM fx_climate"),
@@ -286,6 +293,16 @@ ORACLE: dict[str, str] = {
     "sorted_limit": with_views(
         "SELECT id, year, n_org_amount, n_synthamount FROM fx_outputs ORDER BY id, year LIMIT 1000"),
     "csv_to_parquet_roundtrip": with_views("SELECT * FROM fx_outputs"),
+    "split_parquet_roundtrip": with_views("SELECT id, year, soil, n_org_amount FROM fx_outputs"),
+    "csv_climate_scan": with_views("SELECT 'A' || id AS id, CAST(date AS VARCHAR) AS date, prec, tavg FROM fx_climate"),
+    "csv_class_scan": with_views("SELECT id, aridity_index FROM fx_classes"),
+    "csv_inferred_types": with_views(
+        "SELECT id, year, planting_dayofyear, id * 7 % 1000 AS lot, CAST(id % 8 AS DOUBLE) / 4 AS share, "
+        "CAST(CAST(DATE '2001-01-31' + CAST(id % 400 AS INT) AS DATE) AS VARCHAR) AS seen_on, id % 2 = 0 AS even, "
+        "CASE WHEN id % 5 = 0 THEN 'x9' ELSE CAST(id % 5 AS VARCHAR) END AS mixed FROM fx_outputs"),
+    "join_with_overlap": with_views(
+        "SELECT a.id, a.year, a.n_org_amount AS n_org_amount_x, a.soil, b.n_synthamount AS n_org_amount_y, b.climate "
+        "FROM fx_outputs a JOIN fx_outputs b ON a.id = b.id AND a.year = b.year"),
     "calendar_parts": with_views(
         "SELECT id, CAST(date AS VARCHAR) AS date, CAST(YEAR(date) AS INT) AS year, CAST(MONTH(date) AS INT) AS month, "
         "CAST(DAYOFYEAR(date) AS INT) AS doy FROM fx_climate"),
@@ -329,6 +346,7 @@ ORACLE: dict[str, str] = {
     "event_window_precip_by_cell_day": with_views("SELECT * FROM o_windows"),
     "event_window_precip_by_range": with_views("SELECT * FROM o_windows"),
     "event_window_precip_by_year": with_views(event_sums("o_slots_by_year", True)),
+    "event_window_precip_ties": with_views(event_sums("o_tied_slots")),
     "event_window_empty": with_views(
         f"SELECT DISTINCT id, {listed(f'CAST(NULL AS DOUBLE) AS {c}' for c in EVENT_COLUMNS)} FROM fx_outputs"),
     "event_features_joined": with_views(
@@ -366,7 +384,7 @@ ORACLE: dict[str, str] = {
         "ROUND(SQRT(SUM(n * y * y) / SUM(n) - POWER(SUM(n * y) / SUM(n), 2)), 3) AS std FROM final", YJ_FIT),
     "group_kfold": with_views(
         "SELECT CAST(f AS INT) AS fold, loads[f] AS n_val, CAST(1 AS BIGINT) AS folds_per_group "
-        "FROM given CROSS JOIN RANGE(1, 6) r(f)", GREEDY),
+        "FROM given CROSS JOIN RANGE(1, 6) r(f)", GREEDY.format(rows="fx_outputs")),
     "group_kfold_hash": with_views(
         "SELECT COUNT(*) AS n, CAST(1 AS BIGINT) AS folds_per_group, CAST(1 AS INT) AS first_fold, "
         "CAST(5 AS INT) AS last_fold FROM fx_outputs"),
@@ -374,10 +392,38 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(f AS INT) AS fold, n - n // 5 - CASE WHEN f <= n % 5 THEN 1 ELSE 0 END AS n_train, "
         "n // 5 + CASE WHEN f <= n % 5 THEN 1 ELSE 0 END AS n_val "
         "FROM (SELECT COUNT(*) AS n FROM fx_outputs) CROSS JOIN RANGE(1, 6) r(f)"),
+    "kfold_duplicates": with_views(
+        "SELECT CAST(f AS INT) AS fold, n - n // 5 - CASE WHEN f <= n % 5 THEN 1 ELSE 0 END AS n_train, "
+        "n // 5 + CASE WHEN f <= n % 5 THEN 1 ELSE 0 END AS n_val "
+        "FROM (SELECT COUNT(*) AS n FROM fx_outputs) CROSS JOIN RANGE(1, 6) r(f)"),
     "fold_sizes": with_views(
         "SELECT CAST(id % 5 + 1 AS INT) AS fold, (SELECT COUNT(*) FROM fx_outputs) - COUNT(*) AS n_train, "
         "COUNT(*) AS n_val FROM fx_outputs GROUP BY 1"),
-    "regression_metrics": with_views(f"SELECT target, fold, n, {rounded(['rmse', 'mae', 'r2'])} FROM o_metrics"),
+    "regression_metrics": with_views(f"SELECT target, fold, n, CAST(0 AS BIGINT) AS n_missing, {rounded(['rmse', 'mae', 'r2'])} FROM o_metrics"),
+    "metrics_with_missing": with_views(
+        "SELECT target, fold, COUNT(*) FILTER (known) AS n, COUNT(*) FILTER (NOT known) AS n_missing, "
+        "ROUND(SQRT(AVG(e * e) FILTER (known)), 6) AS rmse, ROUND(AVG(ABS(e)) FILTER (known), 6) AS mae, "
+        "ROUND(1 - SUM(e * e) FILTER (known) / (COUNT(*) FILTER (known) * VAR_POP(y) FILTER (known)), 6) AS r2 "
+        "FROM (SELECT *, y_pred - y AS e, y % 7 <> 0 AND y % 11 <> 0 AS known FROM fx_predictions) GROUP BY target, fold"),
+    "stopping_rounds": """
+WITH curves AS (
+  SELECT l_suppkey, l_quantity AS error,
+         ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity) AS round FROM lineitem),
+lows AS (SELECT *, MIN(error) OVER (PARTITION BY l_suppkey ORDER BY round) AS low FROM curves),
+news AS (SELECT *, MAX(CASE WHEN error = low AND (prior IS NULL OR error < prior) THEN round END) OVER (PARTITION BY l_suppkey ORDER BY round) AS best
+         FROM (SELECT *, LAG(low) OVER (PARTITION BY l_suppkey ORDER BY round) AS prior FROM lows)),
+stops AS (SELECT l_suppkey, COALESCE(MIN(CASE WHEN round - best >= 9 THEN round END), MAX(round)) AS stopped_at FROM news GROUP BY l_suppkey)
+SELECT n.l_suppkey, CAST(n.best AS INT) AS best_round, CAST(stopped_at AS INT) AS stopped_at
+FROM news n JOIN stops s ON s.l_suppkey = n.l_suppkey AND n.round = s.stopped_at""",
+    "cv_summary_file": with_views(
+        "SELECT CAST(5 AS INT) AS n_splits, target, CAST(COUNT(*) AS INT) AS n_folds, "
+        + listed(f"ROUND({f}({m}), 6) AS {p}_{m}" for p, f in (("mean", "AVG"), ("std", "STDDEV_POP")) for m in ("rmse", "mae", "r2"))
+        + " FROM o_metrics GROUP BY target"),
+    "run_log_parameters": with_views(
+        "SELECT DISTINCT 'trees_cv_fold' || fold AS run_name, p.parameter, p.value FROM fx_predictions, "
+        "(VALUES ('depth', '4'), ('step_size', '0.5')) p(parameter, value)"),
+    "predictions_two_models": with_views(
+        "SELECT m.model, fold, target, y, y_pred FROM fx_predictions, (VALUES ('first'), ('second')) m(model)"),
     "cv_summary": with_views(
         "SELECT target, COUNT(*) AS n_folds, "
         + listed(f"ROUND(AVG({m}), 6) AS mean_{m}, ROUND(STDDEV_POP({m}), 6) AS std_{m}" for m in ("rmse", "mae", "r2"))
@@ -386,6 +432,12 @@ ORACLE: dict[str, str] = {
     "cv_report_from_log": with_views(REPORT),
     "run_log_flatten": with_views(f"SELECT target, fold, {rounded(['rmse', 'mae', 'r2'])} FROM o_metrics"),
     "predictions_table": with_views("SELECT 'depthwise_v1' AS model, target, y, y_pred FROM fx_predictions"),
+    "train_multi_target": with_views(
+        "SELECT t.target, COUNT(*) AS n, COUNT(*) AS n_finite FROM o_training, "
+        "(VALUES ('n2o'), ('no3'), ('yield'), ('soc')) t(target) GROUP BY t.target"),
+    "cv_train": with_views(
+        "SELECT t.target, CAST(f AS INT) AS fold, loads[f] AS n, loads[f] AS n_finite FROM given CROSS JOIN RANGE(1, 6) r(f), "
+        "(VALUES ('n2o'), ('no3'), ('yield'), ('soc')) t(target)", GREEDY.format(rows="o_training")),
     "assemble_features": with_views(
         f"SELECT id, year, CAST({len(_features)} AS INT) AS width, "
         f"ROUND({' + '.join(f'COALESCE({c}, -1)' for c in _features)}, 3) AS total FROM o_training"),

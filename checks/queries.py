@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,50 @@ def csv_to_parquet_roundtrip(t: Tables) -> DataFrame:
     return tables.read_parquet(t.spark, target).withColumnsRenamed(PLAIN_NAMES)
 
 
+@query
+def split_parquet_roundtrip(t: Tables) -> DataFrame:
+    target = fresh_path(t.spark, "split")
+    tables.write_parquet(t.outputs.select("id", "year", "soil", "n_org_amount"), target, max_records_per_file=1000)
+    return tables.read_parquet(t.spark, target)
+
+
+@query
+def csv_climate_scan(t: Tables) -> DataFrame:
+    """Daily climate as text, with identifiers that are no numbers."""
+    source = fresh_path(t.spark, "climate-csv")
+    tables.write_csv(t.climate.withColumn("id", F.concat(F.lit("A"), F.col("id"))), source)
+    return tables.read_climate(t.spark, source, id_type="string").select("id", "date", "prec", "tavg")
+
+
+@query
+def csv_class_scan(t: Tables) -> DataFrame:
+    source = fresh_path(t.spark, "classes-csv")
+    tables.write_csv(t.classes.select("id", F.col("aridity_index").alias("Aridity index")), source)
+    return tables.read_climate_classes(t.spark, source)
+
+
+@query
+def csv_inferred_types(t: Tables) -> DataFrame:
+    """Columns that no declaration names keep the type of their values."""
+    source, target = fresh_path(t.spark, "outputs-csv"), fresh_path(t.spark, "outputs-parquet")
+    extra = t.outputs.select(
+        "id", "year", "planting_dayofyear", (F.col("id") * 7 % 1000).alias("lot"), (F.col("id") % 8 / 4).alias("share"),
+        F.date_add(F.lit("2001-01-31").cast("date"), (F.col("id") % 400).cast("int")).alias("seen_on"), (F.col("id") % 2 == 0).alias("even"),
+        F.when(F.col("id") % 5 == 0, "x9").otherwise((F.col("id") % 5).cast("string")).alias("mixed"),
+    )
+    tables.write_csv(extra, source)
+    tables.csv_to_parquet(t.spark, source, target)
+    return tables.read_parquet(t.spark, target)
+
+
+@query
+def join_with_overlap(t: Tables) -> DataFrame:
+    left = t.outputs.select("id", "year", "n_org_amount", "soil")
+    right = t.outputs.select("id", "year", F.col("n_synthamount").alias("n_org_amount"), "climate")
+    left, right = rows.suffix_overlap(left, right, ["id", "year"])
+    return left.join(right, ["id", "year"])
+
+
 @query
 def calendar_parts(t: Tables) -> DataFrame:
     return climate.calendar_parts(t.climate.select("id", "date"))
@@ -186,8 +230,9 @@ def id_count_histogram(t: Tables) -> DataFrame:
 
 
 def _event_panel(t: Tables) -> DataFrame:
-    dated = t.outputs.withColumn("climate_id", F.col("id") % 10)
-    return events.add_event_dates(dated)
+    cells = t.base("supplier").count()
+    cell = (F.expr("id div 100") + F.col("id") % 100 * 31) % cells
+    return events.add_event_dates(t.outputs.withColumn("climate_id", cell))
 
 
 @query
@@ -222,6 +267,13 @@ def event_window_precip_by_year(t: Tables) -> DataFrame:
     return events.event_precipitation(events.event_rows(_event_panel(t), key), t.climate, key)
 
 
+@query
+def event_window_precip_ties(t: Tables) -> DataFrame:
+    """Several rows of one id and year: the dates decide."""
+    together = _event_panel(t).withColumn("id", F.expr("id div 100")).withColumn("climate_id", F.col("id") % 7)
+    return events.event_precipitation(events.event_rows(together), t.climate)
+
+
 @query
 def event_window_empty(t: Tables) -> DataFrame:
     elsewhere = t.climate.withColumn("id", -1 - F.col("id"))
@@ -384,6 +436,12 @@ def kfold(t: Tables) -> DataFrame:
     return folds.fold_sizes(folded)
 
 
+@query
+def kfold_duplicates(t: Tables) -> DataFrame:
+    """Only three different keys, yet even folds."""
+    return folds.fold_sizes(folds.shuffled_folds(t.outputs.select((F.col("id") % 3).alias("key")), ["key"]))
+
+
 @query
 def fold_sizes(t: Tables) -> DataFrame:
     return folds.fold_sizes(t.outputs.select("id", (F.col("id") % 5 + 1).cast("int").alias("fold")))
@@ -398,6 +456,21 @@ def regression_metrics(t: Tables) -> DataFrame:
     return _rounded(_fold_metrics(t), metrics.METRICS)
 
 
+@query
+def metrics_with_missing(t: Tables) -> DataFrame:
+    some = t.predictions.withColumn("y_pred", F.when(F.col("y") % 7 != 0, F.col("y_pred")))
+    some = some.withColumn("y", F.when(F.col("y") % 11 == 0, float("nan")).otherwise(F.col("y")))
+    return _rounded(metrics.regression_metrics(some, ["target", "fold"]), metrics.METRICS)
+
+
+@query
+def stopping_rounds(t: Tables) -> DataFrame:
+    """The patience rule over one error curve per supplier."""
+    position = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
+    curves = t.base("lineitem").select("l_suppkey", position.alias("round"), F.col("l_quantity").cast("double").alias("error"))
+    return training.stopping_round(curves, 9, ["l_suppkey"])
+
+
 @query
 def cv_summary(t: Tables) -> DataFrame:
     summary = metrics.cv_summary(_fold_metrics(t))
@@ -427,6 +500,37 @@ def cv_report_from_log(t: Tables) -> DataFrame:
     return _rounded(report.report(t.spark, path, "cv"), metrics.METRICS)
 
 
+@query
+def cv_summary_file(t: Tables) -> DataFrame:
+    path, per_fold = fresh_path(t.spark, "cv-summary"), stage(_fold_metrics(t), "fold-metrics").df
+    sizes = folds.fold_sizes(t.predictions)
+    cv = training.CrossValidation({}, {}, t.predictions, per_fold, metrics.cv_summary(per_fold), sizes, 5, "given folds")
+    training.write_cv_summary(cv, path)
+    one = f"struct<{', '.join(f'{m}: double' for m in metrics.METRICS)}>"
+    result = f"struct<fold_metrics: array<struct<fold: int, rmse: double>>, mean_metrics: {one}, std_metrics: {one}>"
+    saved = t.spark.read.schema(f"n_splits int, cv_results map<string, {result}>").json(path)
+    flat = saved.select("n_splits", F.explode("cv_results").alias("target", "of"))
+    means = [F.round(f"of.{part}_metrics.{m}", 6).alias(f"{part}_{m}") for part in ("mean", "std") for m in metrics.METRICS]
+    return flat.select("n_splits", "target", F.size("of.fold_metrics").alias("n_folds"), *means)
+
+
+@query
+def run_log_parameters(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "runs")
+    named = _fold_metrics(t).withColumn("run_name", F.concat(F.lit("trees_cv_fold"), F.col("fold")))
+    records = run_log.run_records(named, "depthwise", ["a"], path, parameters={"depth": 4, "step_size": 0.5})
+    run_log.append_runs(records, "cv", path)
+    return run_log.parameter_rows(run_log.read_runs(t.spark, path)).select("run_name", "parameter", "value")
+
+
+@query
+def predictions_two_models(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "predictions")
+    for model in ("first", "second"):
+        training.write_predictions(t.predictions.withColumn("model", F.lit(model)), path)
+    return t.spark.read.parquet(path).select("model", "fold", "target", "y", "y_pred")
+
+
 @query
 def predictions_table(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "predictions")
@@ -436,6 +540,7 @@ def predictions_table(t: Tables) -> DataFrame:
 
 # --- training --------------------------------------------------------------
 
+# The queries' own rounds and depth; the presets have far more.
 ROUNDS, DEPTH = 3, 4
 
 
@@ -455,12 +560,20 @@ def assemble_features(t: Tables) -> DataFrame:
     )
 
 
+def _scored(predictions: DataFrame, by: list[str]) -> DataFrame:
+    finite = F.count_if(F.col("y_pred").isNotNull() & ~F.isnan("y_pred") & (F.abs("y_pred") < float("inf")))
+    return predictions.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), finite.alias("n_finite"))
+
+
 @query
 def train_multi_target(t: Tables) -> DataFrame:
-    fitted = training.train_multi_target(_training_rows(t), rounds=ROUNDS, depth=DEPTH)
-    return fitted.metrics
+    """Rows scored by each target's model; the models see missing features."""
+    table = stage(_training_table(t), "training-table").df
+    return _scored(training.train_multi_target(table, rounds=ROUNDS, depth=DEPTH).predictions, ["target"])
 
 
 @query
 def cv_train(t: Tables) -> DataFrame:
-    return training.cross_validate(_training_rows(t), rounds=ROUNDS, depth=DEPTH).summary
+    """Rows scored on each target's folds."""
+    table = stage(_training_table(t), "training-table").df
+    return _scored(training.cross_validate(table, rounds=ROUNDS, depth=DEPTH).predictions, ["target", "fold"])

@@ -35,16 +35,26 @@ SELECT s_suppkey AS id,
 FROM {supplier}
 """
 
+# A customer's orders of a year are so many simulations; number 0 has no outputs.
+NUMBERED = """
+SELECT o_custkey, YEAR(o_orderdate) AS year, o_orderkey, o_totalprice, o_orderpriority, o_orderstatus,
+       ROW_NUMBER() OVER (PARTITION BY o_custkey, YEAR(o_orderdate) ORDER BY o_orderkey) AS rn
+FROM {orders}
+"""
+
 SIMS = """
-SELECT c_custkey AS event_id,
-       CASE WHEN c_custkey % 50 = 49 THEN CAST(999999 AS BIGINT) ELSE c_custkey % 10 END AS climate_id,
-       c_custkey % 20 AS site_id, c_custkey % 7 AS setup_id, c_name AS folder
-FROM {customer}
+SELECT c_custkey * 100 + rn AS event_id,
+       CASE WHEN c_custkey % 50 = 49 THEN CAST(999999 AS BIGINT)
+            ELSE (c_custkey + rn * 31) % (SELECT COUNT(*) FROM {supplier}) END AS climate_id,
+       (c_custkey * 17 + rn) % (SELECT COUNT(*) FROM {part}) AS site_id, c_custkey % 7 AS setup_id, c_name AS folder
+FROM {customer} JOIN (SELECT o_custkey, CAST(rn AS BIGINT) AS rn FROM (""" + NUMBERED + """) n GROUP BY o_custkey, rn
+                      UNION ALL SELECT c_custkey AS o_custkey, CAST(0 AS BIGINT) AS rn FROM {customer}) q
+  ON c_custkey = o_custkey
 """
 
 SOIL = """
 SELECT p_partkey AS site_id, CAST(p_size AS DOUBLE) AS clay, p_brand AS JB_Classes
-FROM {part} WHERE p_partkey < 18
+FROM {part} WHERE p_partkey % 18 <> 17
 """
 
 OUTPUTS = """
@@ -81,11 +91,9 @@ SELECT id, year,
        CONCAT('R', CAST(k % 400 AS STRING)) AS crop_rotation,
        CAST(CASE WHEN k % 10 = 0 THEN NULL ELSE k % 4 * 5 END AS DOUBLE) AS manu_depth,
        'wheat' AS crops, 'A' AS crop_rotation_1, 'B' AS crop_rotation_2
-FROM (SELECT o_custkey AS id, CAST(YEAR(o_orderdate) AS INT) AS year, o_orderkey AS k,
-             o_totalprice, o_orderpriority, o_orderstatus,
-             ROW_NUMBER() OVER (PARTITION BY o_custkey, YEAR(o_orderdate) ORDER BY o_orderkey) AS rn
-      FROM {orders}) q
-WHERE rn = 1
+FROM (SELECT o_custkey * 100 + rn AS id, CAST(year AS INT) AS year, o_orderkey AS k,
+             o_totalprice, o_orderpriority, o_orderstatus
+      FROM (""" + NUMBERED + """) n) q
 """
 
 PREDICTIONS = """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from agroflow.operators.metrics import cv_report
 from agroflow.plans import report, training
-from agroflow.sources.run_log import flatten_runs, metric_rows, read_runs
+from agroflow.sources.run_log import flatten_runs, metric_rows, parameter_rows, read_runs
 from checks.queries import _training_rows
 from checks.views import Tables
 
@@ -71,10 +71,75 @@ def test_cross_validation(spark, table, tmp_path, same):
     assert saved["n_splits"] == 2 and len(saved["splits_info"]) == 2 and len(saved["cv_results"]["soc"]["fold_metrics"]) == 2
 
 
-def test_validation_rows_stop_training(table):
-    cv = training.cross_validate(table, n_splits=2, targets=("soc",), early_stopping=True, rounds=3, depth=2)
-    assert all(m["soc"].getNumTrees >= 1 for m in cv.models.values())
-    assert cv.predictions.count() == table.count()
+def test_patience_cuts_the_model(spark):
+    # A signal that one tree of depth 1 learns: further rounds only fit noise of the training rows.
+    df = spark.range(300).select(
+        (F.col("id") % 30).alias("id"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000 + 5 * (F.col("id") % 2)).alias("soc"),
+        (F.col("id") % 2).cast("double").alias("signal"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(97)).cast("double").alias("noise"),
+    )
+    kwargs = dict(n_splits=2, targets=("soc",), rounds=12, depth=5)
+    whole = training.cross_validate(df, "lossguide", patience=None, **kwargs)
+    cut = training.cross_validate(df, "lossguide", patience=2, **kwargs)
+    assert all(m["soc"].getNumTrees == 12 for m in whole.models.values())
+    assert any(m["soc"].getNumTrees < 12 for m in cut.models.values())
+    better = {r["fold"]: r["rmse"] for r in cut.metrics.collect()}
+    assert all(better[r["fold"]] <= r["rmse"] + 1e-9 for r in whole.metrics.collect())
+
+
+@pytest.mark.parametrize("errors, patience, best, stopped", [
+    ([5, 4, 3, 3, 4, 2], 2, 3, 5), ([5, 4, 3, 3, 4, 2], 3, 6, 6), ([1], 5, 1, 1), ([1, 1, 1, 1, 0], 3, 1, 4), ([3, 2, 1], 1, 3, 3),
+])
+def test_stopping_round(spark, errors, patience, best, stopped):
+    curve = spark.createDataFrame([("a", i, float(e)) for i, e in enumerate(errors, start=1)], "curve string, round int, error double")
+    got = training.stopping_round(curve, patience, ["curve"]).first()
+    assert (got["best_round"], got["stopped_at"]) == (best, stopped)
+
+
+def test_missing_features_are_imputed_and_flagged(spark):
+    rows = [(i, float(i % 7), None if i % 3 == 0 else float(i % 5), float("nan") if i % 4 == 0 else 1.0, None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, soc double, a double, b double, empty double")
+    imputation = training.fit_imputation(df, ["a", "b", "empty"])
+    known = [r[2] for r in rows if r[2] is not None]
+    assert imputation.means == {"a": pytest.approx(sum(known) / len(known)), "b": 1.0, "empty": 0.0}
+    filled = imputation.apply(df)
+    assert filled.where("a is null or isnan(b) or empty is null").count() == 0
+    assert filled.where("a_missing = 1").count() == 20 and filled.where("empty_missing = 1").count() == 60
+    result = training.train_multi_target(df, "depthwise", targets=("soc",), rounds=1, depth=2)
+    assert result.predictions.count() == 60
+
+
+def test_category_codes_are_nominal(spark):
+    df = spark.createDataFrame([(i, float(i % 3), i % 4 - 1, i) for i in range(90)], "id int, soc double, soil int, climate int")
+    marked = training.mark_nominal(df, ["soil", "climate"], 64)
+    assert marked.schema["soil"].metadata["ml_attr"]["vals"] == ["-1", "0", "1", "2"]
+    assert "ml_attr" not in marked.schema["climate"].metadata
+    assert {r.soil for r in marked.select("soil").distinct().collect()} == {0.0, 1.0, 2.0, 3.0}
+    fitted = training.train_multi_target(df, "lossguide", targets=("soc",), rounds=1, depth=3).models["soc"]
+    assert fitted.trees[0].toDebugString.count(" in {") > 0
+
+
+def test_two_runs_keep_their_models_and_parameters(spark, tmp_path):
+    df = spark.createDataFrame([(i, float(i % 9), float(i % 4)) for i in range(40)], "id int, soc double, a double")
+    log = str(tmp_path)
+    for rounds in (1, 3):
+        training.train_multi_target(df, "lossguide", targets=("soc",), rounds=rounds, depth=2, log_dir=log)
+    trees = {r["parameters"]["rounds"]: GBTRegressionModel.load(r["models"]["soc"]["artifact_path"]).getNumTrees for r in read_runs(spark, log).collect()}
+    assert trees == {"1": 1, "3": 3}
+    assert parameter_rows(read_runs(spark, log)).where("parameter = 'depth' and value = '2'").count() == 2
+
+
+def test_predictions_of_other_models_stay(spark, tmp_path):
+    made = spark.createDataFrame([("m1", 1, "soc", 1.0, 2.0), ("m1", 2, "soc", 1.0, 2.0)], "model string, fold int, target string, y double, y_pred double")
+    path = str(tmp_path / "predictions")
+    training.write_predictions(made, path)
+    training.write_predictions(made.where("fold = 1").replace("m1", "m2"), path)
+    assert {tuple(r) for r in spark.read.parquet(path).select("model", "fold").collect()} == {("m1", 1), ("m1", 2), ("m2", 1)}
+
+
+def test_rows_that_cannot_be_scored_are_an_error(spark):
+    metrics = spark.createDataFrame([("soc", 1)], "target string, n_missing long")
+    with pytest.raises(ValueError, match="soc"):
+        training._require_complete(metrics)
 
 
 def test_folds_without_a_group_column(table):
