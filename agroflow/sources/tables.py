@@ -32,7 +32,8 @@ def _parsed(column: str, kind: str) -> Column:
         number = F.when(text.rlike(r"^[+-]?[0-9]+\.0*$"), F.substring_index(text, ".", 1)).otherwise(text)
         return number.try_cast(kind)
     if kind == "date":
-        return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ].*)?$"), text.try_cast("date"))
+        # Midnight may be spelled out.
+        return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ]00:00(:00(\.0+)?)?)?$"), text.try_cast("date"))
     if kind == "timestamp":
         return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), text.try_cast("timestamp"))
     return text.try_cast(kind)

@@ -132,3 +132,23 @@ def test_ranks_match_a_window(spark, same):
     got = ranking.ranked(df, ["g"], ["x"])
     window = Window.partitionBy("g").orderBy("x")
     same(got, df.withColumn("rank", (F.row_number().over(window) - 1).cast("bigint")))
+
+
+def test_enrichment_off_broadcast_counts_keys_on_a_narrow_table(spark, tmp_path):
+    from agroflow.operators.enrichment import enrich
+    from agroflow.sources.workspace import stage
+
+    spark.range(400).selectExpr("id % 40 as id", "cast(2000 + id div 40 as int) as year", "id * 1.5 as load").write.parquet(f"{tmp_path}/panel")
+    panel = spark.read.parquet(f"{tmp_path}/panel")
+    sims = spark.range(40).selectExpr("id as event_id", "id % 3 as climate_id", "id % 4 as site_id", "'f' as folder")
+    cells = stage(spark.range(30).selectExpr("id % 3 as climate_id", "cast(2000 + id div 3 as int) as harvest_year", "id as rain"), "cells")
+    soil = stage(spark.range(4).selectExpr("id as site_id", "id as clay"), "soil")
+    context = spark.sparkContext
+    counts = {}
+    for limit in (0, 1 << 20):
+        context.setJobGroup(f"enrich-{limit}", "test")
+        joined = enrich(panel, sims, cells, soil, broadcast_bytes=limit)
+        counts[limit] = len(context.statusTracker().getJobIdsForGroup(f"enrich-{limit}"))
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert joined.count() == 400
+    assert counts[0] <= 24 and counts[1 << 20] <= 4

@@ -109,7 +109,7 @@ def test_missing_features_are_imputed_and_flagged(spark):
 
 
 def test_category_codes_are_nominal(spark):
-    df = spark.createDataFrame([(i, float(i % 3), i % 4 - 1, i) for i in range(90)], "id int, soc double, soil int, climate int")
+    df = spark.createDataFrame([(i, float(i % 4 % 2), i % 4 - 1, i * 37 % 90) for i in range(90)], "id int, soc double, soil int, climate int")
     marked = training.mark_nominal(df, ["soil", "climate"], 64)
     assert marked.schema["soil"].metadata["ml_attr"]["vals"] == ["-1", "0", "1", "2"]
     assert "ml_attr" not in marked.schema["climate"].metadata
