@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agroflow.llm import oracles
 from agroflow.llm.decontamination import op8_seeded_alignment
 from agroflow.llm.language import op1_language_fusion
 from agroflow.llm.licenses import op7_license_index
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_words": op10_url_words,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_secret_linking": oracles.SECRETS}

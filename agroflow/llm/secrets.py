@@ -27,7 +27,7 @@ HEX = r"[0-9a-f]{24,}"
 IDENT = r"""(?i:access_?key_?id|access_?key|client_?id|account|username|user|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 #: A long run of letters and digits that no label introduces.
 OPAQUE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-ENDPOINT = r"""(?i:https?|ftp|postgres|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+|(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}"""
+ENDPOINT = r"""(?i:https?|ftp|postgres|mysql|mongodb|redis|amqp|s3)://[^\x09-\x0D\x20"'<>]+|(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}"""
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "ident", "weak", "endpoint")

@@ -83,3 +83,18 @@ def test_no_python_in_the_plan(spark, plan_of):
 
 def test_empty_table(spark):
     assert secrets.span_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_sql_gives_the_same_rows(spark, tmp_path):
+    import duckdb
+
+    from agroflow.llm.oracles import SECRETS
+
+    rng = random.Random(9)
+    rows = [(i, sample(rng)) for i in range(300)] + [(301, None), (302, ""), (3, rows_text := sample(rng)), (3, rows_text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    theirs = con.execute(SECRETS).fetchall()
+    assert sorted(theirs) == sorted(map(tuple, secrets.span_digests(df).collect()))
