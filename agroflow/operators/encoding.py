@@ -84,14 +84,15 @@ def unknown_categories(df: DataFrame, dictionary: DataFrame) -> DataFrame:
 def encode(df: DataFrame, dictionary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace the dictionary's columns by their codes; the dictionary must know every value."""
     columns = _dictionary_columns(dictionary)
-    names = df.columns
+    names, source = df.columns, df
     for column, (dtype, entries, text) in sorted(columns.items()):
         codes = dictionary.where(F.col("column") == column).select(
             F.col("value").cast(dtype).alias(column), F.col("code").alias(f"_code_{column}")
         )
         sized = bounded(codes, entries)
         sized = replace(sized, bytes=sized.bytes + text)
-        df = lookup_join(df, sized, [column], "left", broadcast_bytes=broadcast_bytes)
+        # Hot values are counted on the table as it came, not on the joins so far.
+        df = lookup_join(df, sized, [column], "left", broadcast_bytes=broadcast_bytes, keys_from=source)
     coded = {c: F.coalesce(f"_code_{c}", F.lit(MISSING_CODE)).cast("int") for c in columns}
     return df.select(*[coded[c].alias(c) if c in coded else F.col(f"`{c}`") for c in names])
 

@@ -50,8 +50,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The application's own folder in the shared one; all its staged tables lie there."""
+    return f"{shared_folder(spark)}/agroflow-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def close(spark: SparkSession) -> None:
+    """Remove all tables that this application has staged; results that still read them must be written first."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def size_aggregates(schema: T.StructType) -> tuple[list, int]:
