@@ -30,7 +30,7 @@ LENGTH, ANCHOR, BLOCK = 400, 128, 32
 SLICE = 1 << 20
 #: Contexts whose blocks share one suffix array, and the contexts of one anchor that a task takes at most;
 #: windows of more crowded anchors are counted over the cluster.
-BATCH_CONTEXTS, CROWDED = 3000, 50_000
+BATCH_CONTEXTS, CROWDED = 1500, 50_000
 
 _BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFFFFFFFF00000000)
@@ -95,7 +95,7 @@ def anchor_table(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     """(id, text_hash, place, anchor_hash, context_hash) for every anchor of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, 500) for b in batches for first in range(0, b.num_rows, 500)):
             columns = [[], [], [], [], []]
             for id_, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = text.as_py().encode()
@@ -143,11 +143,11 @@ def _window_hashes(behind: np.ndarray, parts: list[bytes], length: int, anchor:
     start of the window, from 0 on."""
     left, width = length - anchor, 2 * length - anchor
     hashes = np.zeros((len(parts), left + 1), np.uint64)
-    for first in range(0, len(parts), 1000):
-        block = np.zeros((min(1000, len(parts) - first), width), np.uint8)
-        for row, (b, raw) in enumerate(zip(behind[first : first + 1000].tolist(), parts[first : first + 1000])):
+    for first in range(0, len(parts), 256):
+        block = np.zeros((min(256, len(parts) - first), width), np.uint8)
+        for row, (b, raw) in enumerate(zip(behind[first : first + 256].tolist(), parts[first : first + 256])):
             block[row, left - b : left - b + len(raw)] = np.frombuffer(raw, np.uint8)
-        hashes[first : first + 1000] = rolling_hashes(block, length)[:, ::-1]
+        hashes[first : first + 256] = rolling_hashes(block, length)[:, ::-1]
     ahead = np.fromiter(map(len, parts), np.int64, len(parts)) - behind
     distance = np.arange(left + 1)
     return hashes, (distance <= behind[:, None]) & (length - distance <= ahead[:, None])
@@ -175,9 +175,9 @@ def repeated_windows(group: np.ndarray, behind: np.ndarray, parts: list[bytes],
     at = starts[owner] + behind[owner] + number * block
     content = np.zeros(len(owner), np.uint64)
     power = _powers(SLICE)[0][:block]
-    for first in range(0, len(owner), 1 << 16):
-        cells = joined[at[first : first + (1 << 16), None] + np.arange(block)]
-        content[first : first + (1 << 16)] = _mixed(((cells.astype(np.uint64) + np.uint64(1)) * power).sum(1, dtype=np.uint64))
+    for first in range(0, len(owner), 1 << 13):
+        cells = joined[at[first : first + (1 << 13), None] + np.arange(block)]
+        content[first : first + (1 << 13)] = _mixed(((cells.astype(np.uint64) + np.uint64(1)) * power).sum(1, dtype=np.uint64))
     where = (group[owner].astype(np.uint64) << np.uint64(8)) + (number + 128).astype(np.uint64)
     _, symbols = np.unique(_mixed(_mixed(where) + content), return_inverse=True)
     symbols = symbols.tolist()
@@ -305,7 +305,7 @@ def covered(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, block:
     hits = live.join(known, ["anchor_hash", "context_hash"])
 
     def bytes_covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, 500) for b in batches for first in range(0, b.num_rows, 500)):
             out = []
             for n, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
                 parts = []
