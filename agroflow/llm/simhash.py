@@ -370,7 +370,7 @@ NEAR_WORDS, NEAR_WORD_BITS, NEAR_SHINGLE_BITS = 5, 12, 30
 #: The same among the 36 shingle bits that travel with the keys: a first, looser test.
 NEAR_PACKED_BITS = 12
 _SEGMENT = 23
-SIZE_RATIO, SIZE_SLACK = 1.3, 0.1
+SIZE_RATIO, SIZE_SLACK = 1.5, 0.1
 
 
 def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, word_bits: int = NEAR_WORD_BITS, shingle_bits: int = NEAR_SHINGLE_BITS) -> DataFrame:
