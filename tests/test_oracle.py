@@ -7,7 +7,6 @@ from checks.oracle import ORACLE
 from checks.queries import REGISTRY
 
 SMALL = "/root/testdata/sf0.001"
-SLOW = {"cv_train", "train_multi_target"}  # covered by test_training
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +15,9 @@ def connection():
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(REGISTRY)
-    assert set(REGISTRY) - set(ORACLE) == SLOW
+    assert set(ORACLE) == set(REGISTRY)
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SLOW))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, SMALL, name) == ""
