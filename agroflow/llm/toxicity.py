@@ -2,8 +2,9 @@
 
 A noisy-channel decoder reads spans that look disguised (digits and signs among letters, letters set apart,
 letters repeated) as a lattice of intended letters and takes the likeliest path under a character trigram
-model of the whole corpus. The score combines the strongest words: each word counts with the share of toxic
-documents among the labelled ones that have it, or one of its beginnings.
+model of the whole corpus. The evidence of a text is its most telling word: a word counts with a careful estimate
+of the share of toxic documents among the labelled ones that have it, or one of its beginnings. How likely a text
+with so much evidence is toxic is read off the labelled texts, each judged without its own label.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ THRESHOLD = 0.7
 FIT_ROWS = 100_000
 #: Lengths of the word beginnings that are scored beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-#: Strength of the prior; shares below FAINT are left out, those above STRONG add up.
-PRIOR_ROWS, FAINT, STRONG = 3.0, 0.25, 0.4
+#: Rows that the base rate weighs, deviations taken off a share, and the mean share that a telling word needs.
+PRIOR_ROWS, CAUTION, FAINT = 1.0, 0.5, 0.25
+#: Steps of evidence in which the labelled texts are counted.
+BINS = 2000
 #: Spans and words that a task remembers; a bound on memory, it changes no result.
 REMEMBERED = 200_000
 #: Characters counted in one step, of the same kind.
@@ -205,8 +208,54 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_rows: int = FIT_ROWS) -> dict[bytes, float]:
-    """The share of toxic rows for each telling feature, from labelled rows that are not held out.
+def words_evidence(words: set[bytes], counts: dict[bytes, tuple[int, int]], heads: set[bytes], prior: float, own: int | None = None) -> float:
+    """The largest careful share of a telling feature, 0 without one. ``own`` is the label of a text that the
+    counts hold, which is taken out of them."""
+    best = 0.0
+    for word in words:
+        if word[: BEGINNINGS[0]] in heads:
+            for feature in features(word):
+                toxic, n = counts.get(feature, (0, 0))
+                if own is not None:
+                    toxic, n = toxic - own, n - 1
+                if toxic > 0:
+                    share = (toxic + PRIOR_ROWS * prior) / (n + PRIOR_ROWS)
+                    best = max(best, share - CAUTION * math.sqrt(share * (1 - share) / (n + PRIOR_ROWS + 1)))
+    return best
+
+
+def isotonic(toxic: np.ndarray, n: np.ndarray) -> tuple[list[float], list[float]]:
+    """Corners (evidence, share of toxic) of the rising curve that fits the counts of each step best."""
+    blocks: list[list[float]] = []
+    for i in np.flatnonzero(n):
+        blocks.append([toxic[i], n[i], i, i])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            t, m, _, last = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + t, blocks[-1][1] + m, blocks[-1][2], last]
+    places = [(x + 0.5) / len(n) for block in blocks for x in block[2:]]
+    return places, [block[0] / block[1] for block in blocks for _ in range(2)]
+
+
+class Scorer:
+    """Scores of restored texts from counts (toxic, all) of labelled texts by feature and a calibration curve."""
+
+    def __init__(self, counts: dict[bytes, tuple[int, int]], prior: float):
+        self.counts, self.prior = counts, prior
+        # A telling word begins like one of its features.
+        self.heads = {f.removesuffix(b"$")[: BEGINNINGS[0]] for f in counts}
+        self.curve: tuple[list[float], list[float]] = ([0.0], [0.0])
+
+    def evidence(self, restored: str, own: int | None = None) -> float:
+        return words_evidence(words_of(restored), self.counts, self.heads, self.prior, own)
+
+    def score(self, restored: str) -> float:
+        """The calibrated share of toxic texts; a thousandth of the evidence itself keeps ties apart."""
+        found = self.evidence(restored)
+        return 0.999 * float(np.interp(found, *self.curve)) + 0.001 * found
+
+
+def learn(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_rows: int = FIT_ROWS) -> Scorer:
+    """A scorer from the labelled rows that are not held out.
 
     A label is the largest of a doc_id's labels; null labels do not count. With more than ``fit_rows`` labelled
     rows, a hash of doc_id chooses about as many, which bounds what is learned and sent to the tasks.
@@ -217,12 +266,12 @@ def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_row
     )
     n, toxic = marked.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not toxic:
-        return {}
+        return Scorer({}, 0.0)
     if n > fit_rows:
         marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
     prior = toxic / n
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
@@ -246,37 +295,39 @@ def learned_shares(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_row
 
     # At most about fit_rows rows of two numbers.
     chosen = texts(docs).join(F.broadcast(marked), "doc_id").select("text", "toxic")
-    seen = chosen.mapInArrow(run, "feature binary, toxic long, n long")
+    seen = chosen.mapInArrow(count, "feature binary, toxic long, n long")
     share = (F.col("toxic") + PRIOR_ROWS * prior) / (F.col("n") + PRIOR_ROWS)
     counted = seen.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    telling = counted.filter("toxic >= 2").select("feature", share.alias("share")).filter(F.col("share") >= FAINT)
-    return {bytes(r["feature"]): r["share"] for r in telling.collect()}
+    telling = counted.filter("toxic >= 2").filter(share >= FAINT)
+    scorer = Scorer({bytes(r["feature"]): (r["toxic"], r["n"]) for r in telling.collect()}, prior)
 
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = np.zeros((2, BINS), np.int64)
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                found = scorer.evidence(decoder.restore(text.as_py()), own=label)
+                steps[label, min(BINS - 1, max(0, int(found * BINS)))] += 1
+        used = np.flatnonzero(steps.sum(0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used.astype(np.int32), steps[1, used], steps.sum(0)[used])], ["step", "toxic", "n"])
 
-class Scorer:
-    def __init__(self, shares: dict[bytes, float]):
-        self._shares = shares
-        # A telling word begins like one of its features.
-        self._heads = {f.removesuffix(b"$")[: BEGINNINGS[0]] for f in shares}
-
-    def score(self, restored: str) -> float:
-        """0 without any telling word; strong words combine as independent causes."""
-        head, heads, get = BEGINNINGS[0], self._heads, self._shares.get
-        telling = [w for w in words_of(restored) if w[:head] in heads]
-        shares = [max(get(f, 0.0) for f in features(w)) for w in telling]
-        clean = math.prod(1 - (s - STRONG) / (1 - STRONG) for s in shares if s > STRONG)
-        return 0.1 * max(shares, default=0.0) + 0.9 * (1 - clean)
+    toxic_at, n_at = np.zeros(BINS), np.zeros(BINS)
+    judged = chosen.mapInArrow(judge, "step int, toxic long, n long").groupBy("step").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    for r in judged.collect():
+        toxic_at[r["step"]], n_at[r["step"]] = r["toxic"], r["n"]
+    if n_at.any():
+        scorer.curve = isotonic(toxic_at, n_at)
+    return scorer
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, held_out, score, predicted.
 
     Only ``labels`` (doc_id, toxic) of rows that are not held out are learned from, and only texts are scored.
-    Null and empty texts, and all texts if no label is toxic, have score 0. Repeated rows come out as often as
+    Null and empty texts score like all without a telling word; without a toxic label every score is 0. Repeated rows come out as often as
     they go in; a row without a doc_id is scored, but never held out or learned from.
     """
     decoder = Decoder(trigram_counts(docs))
-    scorer = Scorer(learned_shares(docs, labels, decoder, fit_rows))
+    scorer = learn(docs, labels, decoder, fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,7 +343,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
     decoder = Decoder(trigram_counts(docs))
-    scorer = Scorer(learned_shares(docs, labels, decoder, fit_rows))
+    scorer = learn(docs, labels, decoder, fit_rows)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

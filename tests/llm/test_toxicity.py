@@ -55,6 +55,31 @@ def test_quick_test_misses_no_disguise(decoder):
         assert words <= toxicity.words_of(text)
 
 
+def test_curve_is_the_best_rising_one():
+    rng = random.Random(3)
+    for _ in range(50):
+        n = np.array([rng.randrange(4) for _ in range(8)], float)
+        toxic = np.array([rng.randrange(int(k) + 1) for k in n], float)
+        if not n.any():
+            continue
+        places, shares = toxicity.isotonic(toxic, n)
+        assert places == sorted(places) and shares == sorted(shares)
+        used = np.flatnonzero(n)
+        fitted = np.interp((used + 0.5) / 8, places, shares)
+        # Least squares over all rising curves, by min-max of means.
+        mean = lambda i, j: toxic[used[i : j + 1]].sum() / n[used[i : j + 1]].sum()
+        k = len(used)
+        wanted = [max(min(mean(i, j) for j in range(at, k)) for i in range(at + 1)) for at in range(k)]
+        assert np.allclose(fitted, wanted)
+
+
+def test_own_label_is_left_out():
+    counts = {b"idiot$": (3, 3)}
+    heads = {b"idio"}
+    assert toxicity.words_evidence({b"idiot"}, counts, heads, 0.1) > toxicity.words_evidence({b"idiot"}, counts, heads, 0.1, own=1) > 0
+    assert toxicity.words_evidence({b"other"}, counts, heads, 0.1) == 0
+
+
 def corpus(n=600):
     rng = random.Random(2)
     clean = [w for w in WORDS if w not in ("idiot", "moron", "stupid")]
@@ -81,7 +106,7 @@ def test_held_out_accuracy(spark):
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
     test = [r for r in got if r.held_out and r.doc_id in known]
     assert np.mean([r.predicted == known[r.doc_id] for r in test]) > 0.97
-    assert {r.score for r in got if r.doc_id in (9000, 9001)} == {0.0}
+    assert len(blank := {r.score for r in got if r.doc_id in (9000, 9001)}) == 1 and max(blank) < 0.3
     kept = toxicity.reject_toxic(docs, truth)
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
 
