@@ -9,12 +9,13 @@ place in the plan by its rank among the pieces of its length.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +45,9 @@ class TokenEncoder:
     """
 
     def __init__(self, path: str, ranks_path: str | None):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._path = path
+        with open(path, encoding="utf-8") as file:
+            self._special = [t["content"] for t in json.load(file)["added_tokens"]]
         self._fast = None
         if ranks_path:
             import tiktoken
@@ -56,6 +56,13 @@ class TokenEncoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def _tokenizer(self):
+        """Loaded for the first text that needs it; most tasks do without its memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
+
     def encode(self, text: str) -> bytes:
         if self._fast is None or any(s in text for s in self._special) or _OTHER.search(text):
             ids = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -195,10 +195,23 @@ class Decoder:
             return text
         text = _APART.sub(lambda m: self._remembered(m[0]), text)
         for disguise, whole in ((_MIXED, _TOKEN), (_REPEATED, _WORD)):
-            if disguise.search(text):
-                text = whole.sub(lambda m: self._remembered(m[0]) if disguise.search(m[0]) else m[0], text)
+            text = self._replaced(text, disguise, whole)
         return text
 
+    def _replaced(self, text: str, disguise: re.Pattern, whole: re.Pattern) -> str:
+        """Every run of ``whole`` characters that holds a disguise, decoded."""
+        out, at = [], 0
+        for match in disguise.finditer(text):
+            start = match.start()
+            if start < at:
+                continue
+            while start > at and whole.match(text[start - 1]):
+                start -= 1
+            end = whole.match(text, start).end()
+            out += [text[at:start], self._remembered(text[start:end])]
+            at = end
+        return "".join([*out, text[at:]])
+
 
 def features(word: bytes) -> list[bytes]:
     return [word + b"$", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
@@ -208,7 +221,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def words_evidence(words: set[bytes], counts: dict[bytes, tuple[int, int]], heads: set[bytes], prior: float, own: int | None = None) -> float:
+def careful_share(toxic: int, n: int, prior: float) -> float:
+    share = (toxic + PRIOR_ROWS * prior) / (n + PRIOR_ROWS)
+    return share - CAUTION * math.sqrt(share * (1 - share) / (n + PRIOR_ROWS + 1))
+
+
+def words_evidence(words: set[bytes], counts: dict[bytes, tuple[int, int]], heads: Collection[bytes], prior: float, own: int | None = None) -> float:
     """The largest careful share of a telling feature, 0 without one. ``own`` is the label of a text that the
     counts hold, which is taken out of them."""
     best = 0.0
@@ -219,8 +237,7 @@ def words_evidence(words: set[bytes], counts: dict[bytes, tuple[int, int]], head
                 if own is not None:
                     toxic, n = toxic - own, n - 1
                 if toxic > 0:
-                    share = (toxic + PRIOR_ROWS * prior) / (n + PRIOR_ROWS)
-                    best = max(best, share - CAUTION * math.sqrt(share * (1 - share) / (n + PRIOR_ROWS + 1)))
+                    best = max(best, careful_share(toxic, n, prior))
     return best
 
 
@@ -241,12 +258,33 @@ class Scorer:
 
     def __init__(self, counts: dict[bytes, tuple[int, int]], prior: float):
         self.counts, self.prior = counts, prior
-        # A telling word begins like one of its features.
-        self.heads = {f.removesuffix(b"$")[: BEGINNINGS[0]] for f in counts}
+        self._set_shares({f: careful_share(toxic, n, prior) for f, (toxic, n) in counts.items()})
         self.curve: tuple[list[float], list[float]] = ([0.0], [0.0])
 
+    def _set_shares(self, shares: dict[bytes, float]) -> None:
+        self.shares = shares
+        # A telling word begins like one of its features; with the largest share of these.
+        self.heads: dict[bytes, float] = {}
+        for f, share in shares.items():
+            head = f.removesuffix(b"$")[: BEGINNINGS[0]]
+            self.heads[head] = max(share, self.heads.get(head, 0.0))
+
+    def calibrate(self, curve: tuple[list[float], list[float]]) -> None:
+        """Take the curve, and drop the counts and all features that leave a text at its lowest score."""
+        self.curve = curve
+        flat = max(x for x, y in zip(*curve) if y == curve[1][0])
+        self._set_shares({f: share for f, share in self.shares.items() if share > flat})
+        self.counts = {}
+
     def evidence(self, restored: str, own: int | None = None) -> float:
-        return words_evidence(words_of(restored), self.counts, self.heads, self.prior, own)
+        words = words_of(restored)
+        if own is not None:
+            return words_evidence(words, self.counts, self.heads, self.prior, own)
+        best, most, share = 0.0, self.heads.get, self.shares.get
+        for word in words:
+            if most(word[: BEGINNINGS[0]], 0.0) > best:
+                best = max(best, *(share(f, 0.0) for f in features(word)))
+        return best
 
     def score(self, restored: str) -> float:
         """The calibrated share of toxic texts; a thousandth of the evidence itself keeps ties apart."""
@@ -315,7 +353,7 @@ def learn(docs: DataFrame, labels: DataFrame, decoder: Decoder, fit_rows: int =
     for r in judged.collect():
         toxic_at[r["step"]], n_at[r["step"]] = r["toxic"], r["n"]
     if n_at.any():
-        scorer.curve = isotonic(toxic_at, n_at)
+        scorer.calibrate(isotonic(toxic_at, n_at))
     return scorer
 
 
