@@ -194,13 +194,13 @@ def near_copy_prints(text: str, words: int) -> tuple[int, int, int, int, int]:
 
 
 def _near_copy_keys(prints: DataFrame, size_ratio: float, size_slack: float) -> DataFrame:
-    """Rows (key, a, b) under which near copies meet: the codewords of two segments and the size class."""
+    """Rows (key, a, b, c, d) under which near copies meet: the codewords of two segments and the size class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                a, b, size = (part.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+                a, b, c, d, size = (part.column(k).to_numpy(zero_copy_only=False) for k in range(5))
                 segment = [x >> shift & (1 << _SEGMENT) - 1 for x in (a, b) for shift in (0, _SEGMENT)]
                 near = [codeword_indices(x) for x in segment]
                 at_size = np.log1p(size) / np.log(size_ratio)
@@ -224,28 +224,29 @@ def _near_copy_keys(prints: DataFrame, size_ratio: float, size_slack: float) ->
                         keys.append(key[wanted] << 12 | classes[row[wanted]] & 0xFFF)
                         rows.append(row[wanted])
                 key, row = np.concatenate(keys), np.concatenate(rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(a[row]), pa.array(b[row])], ["key", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x[row]) for x in (a, b, c, d))], ["key", "a", "b", "c", "d"])
 
-    return prints.mapInArrow(run, "key long, a long, b long")
+    return prints.mapInArrow(run, "key long, a long, b long, c long, d long")
 
 
-def _near_copy_links(keyed: DataFrame, word_bits: int, packed_bits: int) -> DataFrame:
-    """Links (a, b, a2, b2) between fingerprints that span the near ones of each key; the partitions are sorted by
-    key and fingerprint, so that the links of different keys prefer the same centers."""
+def _near_copy_links(keyed: DataFrame, word_bits: int, shingle_bits: int) -> DataFrame:
+    """Links (a, b, c, d, a2, b2, c2, d2) between fingerprints that span the near ones of each key; the partitions are
+    sorted by key and fingerprint, so that the links of different keys prefer the same centers."""
     low = np.int64((1 << 2 * _SEGMENT) - 1)
 
-    def stars(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def stars(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> list[tuple[int, ...]]:
         found, left = [], np.arange(len(a))
+        row = lambda i: (int(a[i]), int(b[i]), int(c[i]), int(d[i]))
         while len(left) > 1:
             frontier, left = deque([left[0]]), left[1:]
             while frontier and len(left):
                 i = frontier.popleft()
-                x, y = a[left] ^ a[i], b[left] ^ b[i]
-                near = np.bitwise_count(x & low) + np.bitwise_count(y & low) <= word_bits
-                above = np.bitwise_count((x & ~low).view(np.uint64)) + np.bitwise_count((y & ~low).view(np.uint64))
-                near &= above <= packed_bits
+                near = np.bitwise_count((a[left] ^ a[i]) & low) + np.bitwise_count((b[left] ^ b[i]) & low) <= word_bits
+                # Whatever leaves the search must be a link for good.
+                shingles = np.bitwise_count((c[left] ^ c[i]).view(np.uint64)) + np.bitwise_count((d[left] ^ d[i]).view(np.uint64))
+                near &= shingles <= shingle_bits
                 if near.any():
-                    found += [(int(a[i]), int(b[i]), int(a[j]), int(b[j])) for j in left[near]]
+                    found += [row(i) + row(j) for j in left[near]]
                     frontier.extend(left[near])
                     left = left[~near]
         return found
@@ -270,9 +271,9 @@ def _near_copy_links(keyed: DataFrame, word_bits: int, packed_bits: int) -> Data
         for i, j in zip(starts[several].tolist(), ends[several].tolist()):
             found += stars(*(x[i:j] for x in of))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], ["a", "b", "a2", "b2"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], _LINK)
 
-    return keyed.mapInArrow(run, "a long, b long, a2 long, b2 long")
+    return keyed.mapInArrow(run, ", ".join(f"{c} long" for c in _LINK))
 
 
 def _stars(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -367,9 +368,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
 #: Near copies: differing bits of the 92 word bits and of the 128 bits of the shingles of five words, and how
 #: much the numbers of different words may differ. At a shingle similarity of 0.8, about 6 and 19 bits differ.
 NEAR_WORDS, NEAR_WORD_BITS, NEAR_SHINGLE_BITS = 5, 12, 30
-#: The same among the 36 shingle bits that travel with the keys: a first, looser test.
-NEAR_PACKED_BITS = 12
 _SEGMENT = 23
+_LINK = ["a", "b", "c", "d", "a2", "b2", "c2", "d2"]
 SIZE_RATIO, SIZE_SLACK = 1.5, 0.1
 
 
@@ -392,20 +392,15 @@ def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, word_bits: int =
 
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     prints = stage(rows.mapInArrow(run, "doc_id long, text_hash long, a long, b long, c long, d long, size long"), "word-prints").df
-    # A class is what the bits that travel agree on.
-    key = ["a", "b"]
+    # A class is what both fingerprints agree on.
+    key = ["a", "b", "c", "d"]
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
-    merged = prints.groupBy(*key).agg(F.min(order).alias("first"), F.min("size").alias("size"), F.min(F.struct("c", "d")).alias("shingles"))
-    classes = stage(merged, "print-classes").df
+    classes = stage(prints.groupBy(*key).agg(F.min(order).alias("first"), F.min("size").alias("size")), "print-classes").df
     node = F.xxhash64(*key)
     keyed = _near_copy_keys(classes.select(*key, "size"), SIZE_RATIO, SIZE_SLACK)
     placed = keyed.repartition("key").sortWithinPartitions("key", *key)
-    met = stage(_near_copy_links(placed, word_bits, NEAR_PACKED_BITS).distinct(), "near-words").df
-    left = classes.select(*key, "shingles")
-    right = classes.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("shingles").alias("shingles2"))
-    differing = sum((F.bit_count(F.col(f"shingles.{x}").bitwiseXOR(F.col(f"shingles2.{x}"))) for x in "cd"), F.lit(0))
-    near = met.join(left, key).join(right, ["a2", "b2"]).filter(differing <= shingle_bits)
-    labels = component_labels(near.select(node.alias("u"), F.xxhash64("a2", "b2").alias("v")), "u", "v")
+    near = _near_copy_links(placed, word_bits, shingle_bits)
+    labels = component_labels(near.select(node.alias("u"), F.xxhash64(*_LINK[4:]).alias("v")), "u", "v")
     labelled = classes.withColumn("node", node).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first"))
     by_class = stage(labelled.drop("first").join(firsts, "label").select(*key, "first"), "near-copy-classes").df

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -134,6 +135,24 @@ def test_near_copies_are_found_and_others_are_kept(spark):
     assert all(found[i] in (i, (i - 1000) // 10) or found[i] // 10 == i // 10 for i in found if i >= 1000)
 
 
+class Batches:
+    """Stands for a table of Arrow batches, so that a step is tested without Spark."""
+
+    def __init__(self, *batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return [row for batch in run(iter(self.batches)) for row in batch.to_pylist()]
+
+
+def test_a_distant_center_costs_no_link():
+    """The first row of a key agrees with two others in all words' bits and in few shingles' bits; these two are equal but for one bit."""
+    columns = {"key": [7, 7, 7], "a": [0, 0, 0], "b": [0, 0, 1], "c": [0, -1, -1], "d": [0, 0, 0]}
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], list(columns))
+    found = simhash._near_copy_links(Batches(batch), simhash.NEAR_WORD_BITS, simhash.NEAR_SHINGLE_BITS)
+    assert [{(r["c"], r["b"]), (r["c2"], r["b2"])} for r in found] == [{(-1, 0), (-1, 1)}]
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d e f"), (3, "A b  c d e f"), (3, "A b  c d e f"), (9, None), (8, ""), (None, "x y z"), (None, "x y z"), (7, "other words here")]
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "doc_id long, text string, fp long")
