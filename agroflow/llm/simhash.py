@@ -167,86 +167,64 @@ def _refined(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "key long, sub int, fp long")
 
 
-def _majority(hashes: np.ndarray) -> np.ndarray:
-    """Bits set in over half of 128-bit hashes, given as rows of 16 bytes."""
-    counts = np.zeros(128, np.int64)
-    for first in range(0, len(hashes), 4096):
-        counts += np.unpackbits(hashes[first : first + 4096], axis=1).sum(0, dtype=np.int64)
-    return 2 * counts > len(hashes)
+@lru_cache(maxsize=1)
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    """What a shingle's hash is combined with for each value of a sketch."""
+    rng = np.random.default_rng(SEED)
+    flips, factors = rng.integers(0, 1 << 32, (2, SKETCH), np.uint32)
+    return flips, factors | np.uint32(1)
 
 
-def near_copy_prints(text: str, words: int) -> tuple[int, int, int, int, int]:
-    """(a, b, c, d, size): a and b hold the four 23-bit segments of the fingerprint of a text's different words and
-    above them 36 bits of that of its shingles of ``words`` words, whose 128 bits are c and d; size is the number
-    of different words."""
+def near_copy_print(text: str, words: int) -> tuple[int, bytes]:
+    """(node, sketch): a hash of the set of a text's shingles of ``words`` words, and a byte of each of its MinHash
+    values. Two sketches agree in as large a share of bytes as the sets do, but for 1/256 of the others."""
     tokens = text.encode().lower().split()
-    different = set(tokens)
-    digest = xxhash.xxh3_128_digest
-    rows = lambda digests: np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 16)
-    of_words = _majority(rows(map(digest, different)))[: 4 * _SEGMENT]
-    shingles = (b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1) if tokens else 0))
-    of_shingles = _majority(rows(map(digest, shingles)))
-    half, more = 2 * _SEGMENT, 64 - 2 * _SEGMENT
-    packed = np.concatenate((of_words[:half], of_shingles[:more], of_words[half:], of_shingles[more : 2 * more]))
-    a, b = np.packbits(packed, bitorder="little").view(np.int64).tolist()
-    c, d = np.packbits(of_shingles).view(np.int64).tolist()
-    return a, b, c, d, len(different)
-
-
-def _near_copy_keys(prints: DataFrame, size_ratio: float, size_slack: float) -> DataFrame:
-    """Rows (key, a, b, c, d) under which near copies meet: the codewords of two segments and the size class."""
+    shingles = {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1) if tokens else 0)}
+    hashes = np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, shingles), np.uint64, len(shingles)))
+    flips, factors = _mixers()
+    least = np.full(SKETCH, (1 << 32) - 1, np.uint32)
+    for first in range(0, len(hashes), 64):
+        block = hashes[first : first + 64, np.newaxis].astype(np.uint32)
+        np.minimum(least, ((block ^ flips) * factors).min(axis=0), out=least)
+    node = xxhash.xxh3_64_intdigest(hashes.tobytes())
+    return node - (node >> 63 << 64), least.astype(np.uint8).tobytes()
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    """The sketches of a batch as rows of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def _near_copy_keys(classes: DataFrame) -> DataFrame:
+    """Rows (key, node) under which near copies meet: the number of a band and its bytes of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
-                a, b, c, d, size = (part.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-                segment = [x >> shift & (1 << _SEGMENT) - 1 for x in (a, b) for shift in (0, _SEGMENT)]
-                near = [codeword_indices(x) for x in segment]
-                at_size = np.log1p(size) / np.log(size_ratio)
-                slack = np.log(1 + size_slack) / np.log(size_ratio)
-                low = np.floor(at_size - slack / 2).astype(np.int64)
-                high = np.floor(at_size + slack / 2).astype(np.int64)
-                keys, rows = [], []
-                for number, (i, j) in enumerate(combinations(range(4), 2)):
-                    rows_i, index_i = near[i]
-                    rows_j, index_j = near[j]
-                    # Each codeword of one segment with each of the other.
-                    n_j = np.bincount(rows_j, minlength=len(a))
-                    first_j = np.cumsum(n_j) - n_j
-                    times = n_j[rows_i]
-                    at = np.repeat(np.arange(len(rows_i)), times)
-                    other = first_j[rows_i[at]] + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-                    order = np.argsort(rows_j, kind="stable")
-                    row = rows_i[at]
-                    key = (np.int64(number) << 24) | (index_i[at] << 12) | index_j[order[other]]
-                    for classes, wanted in ((low, np.ones(len(row), bool)), (high, high[row] != low[row])):
-                        keys.append(key[wanted] << 12 | classes[row[wanted]] & 0xFFF)
-                        rows.append(row[wanted])
-                key, row = np.concatenate(keys), np.concatenate(rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x[row]) for x in (a, b, c, d))], ["key", "a", "b", "c", "d"])
-
-    return prints.mapInArrow(run, "key long, a long, b long, c long, d long")
-
-
-def _near_copy_links(keyed: DataFrame, word_bits: int, shingle_bits: int) -> DataFrame:
-    """Links (a, b, c, d, a2, b2, c2, d2) between fingerprints that span the near ones of each key; the partitions are
-    sorted by key and fingerprint, so that the links of different keys prefer the same centers."""
-    low = np.int64((1 << 2 * _SEGMENT) - 1)
-
-    def stars(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> list[tuple[int, ...]]:
-        found, left = [], np.arange(len(a))
-        row = lambda i: (int(a[i]), int(b[i]), int(c[i]), int(d[i]))
+            bands = np.zeros((batch.num_rows, BANDS, 8), np.uint8)
+            bands[:, :, :BAND_BYTES] = _sketches(batch.column(1))[:, : BANDS * BAND_BYTES].reshape(-1, BANDS, BAND_BYTES)
+            keys = bands.view("<i8")[:, :, 0] | np.arange(BANDS) << 8 * BAND_BYTES
+            node = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, BANDS))], ["key", "node"])
+
+    return classes.select("node", "sketch").mapInArrow(run, "key long, node long")
+
+
+def _near_copy_links(keyed: DataFrame, similarity: float) -> DataFrame:
+    """Links (u, v) between nodes that span the near copies of each key; the rows (key, node, sketch) lie sorted by
+    key and node."""
+    # Bytes of different values agree by chance once in 256.
+    equal_bytes = SKETCH * (similarity + (1 - similarity) / 256)
+
+    def stars(node: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
+        found, left = [], np.arange(len(node))
         while len(left) > 1:
             frontier, left = deque([left[0]]), left[1:]
             while frontier and len(left):
                 i = frontier.popleft()
-                near = np.bitwise_count((a[left] ^ a[i]) & low) + np.bitwise_count((b[left] ^ b[i]) & low) <= word_bits
                 # Whatever leaves the search must be a link for good.
-                shingles = np.bitwise_count((c[left] ^ c[i]).view(np.uint64)) + np.bitwise_count((d[left] ^ d[i]).view(np.uint64))
-                near &= shingles <= shingle_bits
+                near = np.count_nonzero(sketch[left] == sketch[i], axis=1) >= equal_bytes
                 if near.any():
-                    found += [row(i) + row(j) for j in left[near]]
+                    found += [(int(node[i]), int(node[j])) for j in left[near]]
                     frontier.extend(left[near])
                     left = left[~near]
         return found
@@ -254,10 +232,13 @@ def _near_copy_links(keyed: DataFrame, word_bits: int, shingle_bits: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), _sketches(batch.column(2))]
             if kept is not None:
-                columns = [np.r_[k, c] for k, c in zip(kept, columns)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1])) if len(columns[0]) else 0
+                columns = [np.concatenate(x) for x in zip(kept, columns)]
+            # The last key may go on in the next batch; keys are in Spark's order of longs.
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
             kept = [c[cut:] for c in columns]
             yield from linked(*(c[:cut] for c in columns))
         if kept is not None:
@@ -271,9 +252,9 @@ def _near_copy_links(keyed: DataFrame, word_bits: int, shingle_bits: int) -> Dat
         for i, j in zip(starts[several].tolist(), ends[several].tolist()):
             found += stars(*(x[i:j] for x in of))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], _LINK)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], ["u", "v"])
 
-    return keyed.mapInArrow(run, ", ".join(f"{c} long" for c in _LINK))
+    return keyed.mapInArrow(run, "u long, v long")
 
 
 def _stars(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -365,46 +346,46 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     )
 
 
-#: Near copies: differing bits of the 92 word bits and of the 128 bits of the shingles of five words, and how
-#: much the numbers of different words may differ. At a shingle similarity of 0.8, about 6 and 19 bits differ.
-NEAR_WORDS, NEAR_WORD_BITS, NEAR_SHINGLE_BITS = 5, 12, 30
-_SEGMENT = 23
-_LINK = ["a", "b", "c", "d", "a2", "b2", "c2", "d2"]
-SIZE_RATIO, SIZE_SLACK = 1.5, 0.1
+#: Near copies: words of a shingle, and the similarity of two shingle sets that makes a link.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.6
+#: MinHash values of a sketch; at a similarity of 0.8 the share that agrees has a standard error of 0.018.
+SKETCH = 512
+#: Two sets at 0.8 meet in a band with a probability of 0.9993.
+BANDS, BAND_BYTES = 24, 6
 
 
-def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, word_bits: int = NEAR_WORD_BITS, shingle_bits: int = NEAR_SHINGLE_BITS) -> DataFrame:
+def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, first_id, first_hash): each different row with the first row of its group of near copies.
 
-    Near copies at a similarity of 0.8 differ in more bits than Golay keys of one segment bear, so the keys
-    combine two of four segments. Word sets change less than shingles do and give the keys; a second
-    fingerprint over shingles of five words must agree, too. All pairs with up to 8 differing word bits meet,
-    and nearly all up to ``word_bits``. Groups are the connected sets of links; the first row has the least doc_id
-    (nulls last), then the least hash. Texts equal but for case and white space always share a group.
+    Two rows are near copies if the shares of their sets of shingles (shared over all) are ``similarity`` or more, as
+    their sketches tell. Rows are compared if they agree in a band of the sketch. Groups are the connected sets of links;
+    the first row has the least doc_id (nulls last), then the least hash. Texts equal but for case and white space
+    always share a group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(zip(*(near_copy_prints(text.as_py(), words) for text in batch.column(2)))) or [[]] * 5
+            node, sketch = list(zip(*(near_copy_print(text.as_py(), words) for text in batch.column(2)))) or [[], []]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in out)], ["doc_id", "text_hash", "a", "b", "c", "d", "size"]
+                [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(sketch, pa.binary())], ["doc_id", "text_hash", "node", "sketch"]
             )
 
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    prints = stage(rows.mapInArrow(run, "doc_id long, text_hash long, a long, b long, c long, d long, size long"), "word-prints").df
-    # A class is what both fingerprints agree on.
-    key = ["a", "b", "c", "d"]
+    prints = stage(rows.mapInArrow(run, "doc_id long, text_hash long, node long, sketch binary"), "near-prints").df
+    # A class is one set of shingles.
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
-    classes = stage(prints.groupBy(*key).agg(F.min(order).alias("first"), F.min("size").alias("size")), "print-classes").df
-    node = F.xxhash64(*key)
-    keyed = _near_copy_keys(classes.select(*key, "size"), SIZE_RATIO, SIZE_SLACK)
-    placed = keyed.repartition("key").sortWithinPartitions("key", *key)
-    near = _near_copy_links(placed, word_bits, shingle_bits)
-    labels = component_labels(near.select(node.alias("u"), F.xxhash64(*_LINK[4:]).alias("v")), "u", "v")
-    labelled = classes.withColumn("node", node).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classes = stage(prints.groupBy("node").agg(F.min(order).alias("first"), F.min("sketch").alias("sketch")), "print-classes").df
+    keyed = _near_copy_keys(classes)
+    shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-keys")
+    met = lookup_join(keyed, shared, ["key"], spread_by=["node"]).join(classes.select("node", "sketch"), "node")
+    placed = met.select("key", "node", "sketch").repartition("key").sortWithinPartitions("key", "node")
+    labels = component_labels(_near_copy_links(placed, similarity), "u", "v")
+    labelled = classes.select("node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first"))
-    by_class = stage(labelled.drop("first").join(firsts, "label").select(*key, "first"), "near-copy-classes").df
-    return prints.join(by_class, key).select("doc_id", "text_hash", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    by_class = stage(labelled.drop("first").join(firsts, "label").select("node", "first"), "near-copy-classes").df
+    return prints.drop("sketch").join(by_class, "node").select(
+        "doc_id", "text_hash", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")
+    )
 
 
 def keep_first_copies(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

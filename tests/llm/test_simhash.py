@@ -146,11 +146,46 @@ class Batches:
 
 
 def test_a_distant_center_costs_no_link():
-    """The first row of a key agrees with two others in all words' bits and in few shingles' bits; these two are equal but for one bit."""
-    columns = {"key": [7, 7, 7], "a": [0, 0, 0], "b": [0, 0, 1], "c": [0, -1, -1], "d": [0, 0, 0]}
-    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], list(columns))
-    found = simhash._near_copy_links(Batches(batch), simhash.NEAR_WORD_BITS, simhash.NEAR_SHINGLE_BITS)
-    assert [{(r["c"], r["b"]), (r["c2"], r["b2"])} for r in found] == [{(-1, 0), (-1, 1)}]
+    """The first row of a key is far from two others, which are near each other."""
+    rows = [np.zeros(simhash.SKETCH, np.uint8), np.ones(simhash.SKETCH, np.uint8), np.ones(simhash.SKETCH, np.uint8)]
+    rows[2][:9] = 0
+    columns = [pa.array([7, 7, 7]), pa.array([1, 2, 3]), pa.array([x.tobytes() for x in rows], pa.binary())]
+    found = simhash._near_copy_links(Batches(pa.RecordBatch.from_arrays(columns, ["key", "node", "sketch"])), 0.8)
+    assert [{r["u"], r["v"]} for r in found] == [{2, 3}]
+
+
+def similarity(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_copies_that_differ_in_a_passage_are_found(spark):
+    """Passages appended, dropped and replaced, at 0.80 to 0.85 and above; sketches err by 0.018."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows, pairs = [], []
+    for i in range(240):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([80, 150, 400, 1000]))]
+        n = len(base)
+        passage = [rng.choice(vocabulary) for _ in range(n)]
+        at = n // 3
+        kind, share = ("append", "drop", "replace")[i % 3], rng.uniform(0.12, 0.24)
+        m = int(n * share)
+        if kind == "append":
+            copy = base + passage[:m]
+        elif kind == "drop":
+            copy = base[:at] + base[at + m :]
+        else:
+            copy = base[:at] + passage[: m // 2] + base[at + m // 2 :]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        pairs.append((2 * i, 2 * i + 1, similarity(rows[-2][1], rows[-1][1]), kind))
+    found = {r.doc_id: r.first_id for r in simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[a] == a for a, *_ in pairs)
+    for kind in ("append", "drop", "replace"):
+        at = [found[b] == a for a, b, s, k in pairs if k == kind and 0.8 <= s < 0.85]
+        assert len(at) >= 15 and sum(at) >= 0.75 * len(at), kind
+    sure = [found[b] == a for a, b, s, _ in pairs if s >= 0.85]
+    assert len(sure) >= 20 and all(sure)
 
 
 def test_one_row_of_each_group_stays(spark):
