@@ -347,7 +347,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
 
 
 #: Near copies: words of a shingle, and the similarity of two shingle sets that makes a link.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.6
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 #: MinHash values of a sketch; at a similarity of 0.8 the share that agrees has a standard error of 0.018.
 SKETCH = 512
 #: Two sets at 0.8 meet in a band with a probability of 0.9993.

@@ -188,6 +188,24 @@ def test_copies_that_differ_in_a_passage_are_found(spark):
     assert len(sure) >= 20 and all(sure)
 
 
+def test_less_similar_documents_are_kept(spark):
+    """Pairs at 0.5 to 0.72 stay apart, and a chain of them joins nothing."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows, pairs = [], []
+    for i in range(40):
+        words = [rng.choice(vocabulary) for _ in range(rng.choice([100, 300]))]
+        for k in range(4):
+            rows.append((10 * i + k, " ".join(words)))
+            if k:
+                pairs.append(similarity(rows[-2][1], rows[-1][1]))
+            m = len(words) // 5
+            words[k * m : (k + 1) * m] = [rng.choice(vocabulary) for _ in range(m)]
+    assert all(0.5 < s < 0.72 for s in pairs)
+    found = simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.doc_id == r.first_id for r in found)
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d e f"), (3, "A b  c d e f"), (3, "A b  c d e f"), (9, None), (8, ""), (None, "x y z"), (None, "x y z"), (7, "other words here")]
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "doc_id long, text string, fp long")
