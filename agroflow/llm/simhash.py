@@ -209,6 +209,19 @@ def _near_copy_keys(classes: DataFrame) -> DataFrame:
     return classes.select("node", "sketch").mapInArrow(run, "key long, node long")
 
 
+def _dealt(keyed: DataFrame, block: int) -> DataFrame:
+    """Rows (key, node) of keys with ``n`` rows; a key with over two blocks is split into all pairs of its blocks, so
+    that every two rows still meet and no key holds more than about two blocks."""
+    blocks = F.when(F.col("n") > 2 * block, F.ceil(F.col("n") / block)).otherwise(F.lit(1)).cast("long")
+    own = F.pmod(F.xxhash64("node", "key"), "blocks")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    pairs = keyed.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", other)
+    # A block meets itself together with its first partner.
+    pairs = pairs.filter("blocks = 1 or own != other")
+    key = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return pairs.select(F.when(F.col("blocks") > 1, key).otherwise(F.col("key")).alias("key"), "node")
+
+
 def _near_copy_links(keyed: DataFrame, similarity: float) -> DataFrame:
     """Links (u, v) between nodes that span the near copies of each key; the rows (key, node, sketch) lie sorted by
     key and node."""
@@ -352,9 +365,11 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 SKETCH = 512
 #: Two sets at 0.8 meet in a band with a probability of 0.9993.
 BANDS, BAND_BYTES = 24, 6
+#: Rows of a crowded key are dealt to blocks of about so many.
+BLOCK = 512
 
 
-def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
+def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_hash, first_id, first_hash): each different row with the first row of its group of near copies.
 
     Two rows are near copies if the shares of their sets of shingles (shared over all) are ``similarity`` or more, as
@@ -377,7 +392,7 @@ def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, similarity: float
     classes = stage(prints.groupBy("node").agg(F.min(order).alias("first"), F.min("sketch").alias("sketch")), "print-classes").df
     keyed = _near_copy_keys(classes)
     shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-keys")
-    met = lookup_join(keyed, shared, ["key"], spread_by=["node"]).join(classes.select("node", "sketch"), "node")
+    met = _dealt(lookup_join(keyed, shared, ["key"], spread_by=["node"]), block).join(classes.select("node", "sketch"), "node")
     placed = met.select("key", "node", "sketch").repartition("key").sortWithinPartitions("key", "node")
     labels = component_labels(_near_copy_links(placed, similarity), "u", "v")
     labelled = classes.select("node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -206,6 +206,19 @@ def test_less_similar_documents_are_kept(spark):
     assert all(r.doc_id == r.first_id for r in found)
 
 
+def test_a_crowded_key_is_split_and_every_pair_meets(spark):
+    sizes = {1: 700, 2: 64, 3: 2}
+    rows = [(key, 1000 * key + i, n) for key, n in sizes.items() for i in range(n)]
+    dealt = simhash._dealt(spark.createDataFrame(rows, "key long, node long, n long"), 32).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault(r.key, set()).add(r.node)
+    assert max(map(len, groups.values())) < 128
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    assert met == {(a, b) for k, a, _ in rows for q, b, _ in rows if k == q and a < b}
+    assert {2, 3} <= groups.keys() and len(dealt) == 700 * 21 + 66
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d e f"), (3, "A b  c d e f"), (3, "A b  c d e f"), (9, None), (8, ""), (None, "x y z"), (None, "x y z"), (7, "other words here")]
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "doc_id long, text string, fp long")
