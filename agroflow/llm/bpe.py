@@ -190,8 +190,6 @@ class WordEncoder:
         self.path, self.trie_nodes = path, trie_nodes
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.merges = Merges(content["model"]["vocab"], [tuple(m) for m in content["model"]["merges"]])
-        names = content["model"]["vocab"] | self.special
-        self.names = {i: name.encode() for name, i in names.items()}
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self._bytes = {c: b for b, c in enumerate(byte_letters())}
         self._library = None
@@ -237,9 +235,19 @@ class WordEncoder:
             self._renew()
         return out
 
-    def decode(self, ids: bytes) -> str:
-        """The tokens' spellings, parted by spaces: the file names no decoder."""
-        return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode()
+
+def decoded(ids: bytes, spellings: dict[int, bytes]) -> str:
+    """The tokens' spellings, parted by spaces: the file names no decoder."""
+    return b" ".join(map(spellings.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode()
+
+
+@lru_cache(maxsize=1)
+def token_spellings(path: str) -> dict[int, bytes]:
+    """How the file spells each token, special ones included; once for each worker process."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    names = content["model"]["vocab"] | {t["content"]: t["id"] for t in content["added_tokens"]}
+    return {i: name.encode() for name, i in names.items()}
 
 
 @lru_cache(maxsize=1)
@@ -284,10 +292,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows (doc_id, ids) with their decoded text; no ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        spellings = token_spellings(path)
         for batch in batches:
-            decoded = pa.array([coder.decode(ids.as_py() or b"") for ids in batch.column(1)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), decoded], ["doc_id", "ids", "text"])
+            out = pa.array([decoded(ids.as_py() or b"", spellings) for ids in batch.column(1)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
