@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agroflow.llm.common import read_table, texts, words_of
+from agroflow.llm.common import hash_filter, may_occur, read_table, texts, words_of
 from agroflow.operators.skew import lookup_join
 from agroflow.sources.workspace import stage
 
@@ -58,8 +58,7 @@ def term_counts(rows: DataFrame, may_ask: np.ndarray | None = None) -> DataFrame
                 hashes = np.fromiter(map(digest, counts), np.uint64, len(counts))
                 often = np.fromiter(counts.values(), np.int32, len(counts))
                 if may_ask is not None:
-                    slots = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                    asked = may_ask[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 > 0
+                    asked = may_occur(may_ask, hashes)
                     hashes, often = hashes[asked], often[asked]
                 kept.append(place)
                 lengths.append(len(words))
@@ -78,18 +77,6 @@ def term_counts(rows: DataFrame, may_ask: np.ndarray | None = None) -> DataFrame
     return rows.mapInArrow(run, "id long, n long, terms array<long>, times array<int>")
 
 
-def _query_filter(asked: DataFrame) -> np.ndarray:
-    """One bit for each value of a term hash's leading bits; 2 MB, whatever the number of queries."""
-    slot = F.shiftrightunsigned("term", 64 - FILTER_BITS)
-    # At most 2 ** 18 rows.
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
-    words = asked.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit"))
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        bits[row["word"]] = np.uint64(row["bits"] & (1 << 64) - 1)
-    return bits.astype("<u8").view(np.uint8)
-
-
 def impact_vectors(counts: DataFrame, documents: int, terms: int) -> DataFrame:
     """(doc_id, length, terms, impacts): each document's impacts as 64-bit integers, and the length of that vector."""
 
@@ -246,7 +233,7 @@ def ranked_documents(docs: DataFrame, items: DataFrame, top: int = TOP, bucket:
     spark = docs.sparkSession
     asked = term_counts(texts(items, "item_id").distinct()).select("id", F.explode(F.arrays_zip("terms", "times")).alias("t"))
     asked = stage(asked.groupBy(F.col("id").alias("item_id"), F.col("t.terms").alias("term")).agg(F.sum("t.times").alias("times")), "asked-terms").df
-    counts = stage(term_counts(texts(docs), _query_filter(asked)), "term-counts").df
+    counts = stage(term_counts(texts(docs), hash_filter(asked, "term", FILTER_BITS)), "term-counts").df
     totals = counts.agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("terms")).first()
     schema = "item_id long, rank int, doc_id long, score long"
     if not totals["documents"]:

@@ -47,6 +47,13 @@ def tables(spark, rng):
     return docs, items
 
 
+def has_run(text, passage):
+    words, item = dc.words_of(text or ""), dc.words_of(passage or "")
+    size = min(len(item), dc.SEED_WORDS + dc.SEED_WINDOW - 1)
+    runs = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+    return any(tuple(item[k : k + size]) in runs for k in range(len(item) - size + 1))
+
+
 def test_matches_brute_force_alignment(spark):
     docs, items = tables(spark, random.Random(2))
     docs += [(900, None), (901, ""), (3, docs[3][1]), (None, docs[0][1])]
@@ -65,12 +72,12 @@ def test_matches_brute_force_alignment(spark):
                 if score >= dc.MIN_SCORE:
                     wanted.append((doc_id, item_id, round(score, 9)))
     mine = [(r.doc_id, r.item_id, round(r.score, 9)) for r in got]
-    assert set(mine) <= set(wanted)
-    long = {i for i, t in items if t and len(t.split()) >= 12}
-    assert sorted(m for m in mine if m[1] in long) == sorted(w for w in wanted if w[1] in long) or \
-        len(mine) >= 0.97 * len(wanted)
-    small_blocks = dc.contaminated(d, b, block_bytes=500).collect()
-    assert {(r.doc_id, r.item_id) for r in small_blocks} == {(r.doc_id, r.item_id) for r in got}
+    # Whatever scores enough and holds words of the item in a row, enough to have a seed, is found, and nothing else.
+    sure = [(d, i, s) for d, i, s in wanted if has_run(dict(docs).get(d) if d is not None else docs[0][1], dict(items)[i])]
+    assert set(sure) <= set(mine) <= set(wanted) and len(sure) > 60
+    assert len(set(wanted) - set(mine)) <= 0.03 * len(wanted)
+    assert mine.count(mine[0]) == [w for w in wanted].count(mine[0])
+    assert sorted(map(str, (m for m in mine if m in set(sure)))) == sorted(map(str, sure))
     kept = dc.drop_contaminated(d, b)
     bad = {r.doc_id for r in got}
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, _ in docs if i not in bad), key=str)
@@ -82,3 +89,30 @@ def test_empty_tables(spark):
     assert dc.contaminated(docs, none).count() == 0
     assert dc.contaminated(docs.limit(0), spark.createDataFrame([(1, "a b c")], none.schema)).count() == 0
     assert dc.drop_contaminated(docs, none).count() == 1
+
+
+def test_a_small_filter_loses_nothing(spark, monkeypatch):
+    docs, items = tables(spark, random.Random(4))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, dc.contaminated(d, b).collect()))
+    monkeypatch.setattr(dc, "FILTER_BITS", 8)
+    assert sorted(map(tuple, dc.contaminated(d.repartition(7), b).collect())) == whole and len(whole) > 50
+
+
+def test_joined_by_shuffle_it_finds_the_same(spark, monkeypatch):
+    docs, items = tables(spark, random.Random(5))
+    docs += [(1000 + i, "before " + items[3][1] + " after") for i in range(50)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, dc.contaminated(d, b).collect()))
+    join = dc.lookup_join
+    monkeypatch.setattr(dc, "lookup_join", lambda *a, **k: join(*a, **{**k, "broadcast_bytes": 0}))
+    assert sorted(map(tuple, dc.contaminated(d, b).collect())) == whole
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(6)
+    item = " ".join(f"w{rng.randrange(300)}" for _ in range(40))
+    text = " ".join(f"w{rng.randrange(300)}" for _ in range(150_000))
+    docs = spark.createDataFrame([(1, text + " " + item + " " + text), (2, text)], "doc_id long, text string")
+    found = dc.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.end_word) for r in found] == [(1, 7, 1.0, 150_040)]
