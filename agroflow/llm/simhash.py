@@ -10,7 +10,6 @@ to eighteen per fingerprint.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -18,10 +17,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroflow.llm.common import read_table, texts
+from agroflow.llm.common import read_table, row_keys, texts
 from agroflow.llm.components import component_labels
 from agroflow.operators.skew import BROADCAST_BYTES, lookup_join
 from agroflow.sources.workspace import stage
@@ -167,109 +166,6 @@ def _refined(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "key long, sub int, fp long")
 
 
-@lru_cache(maxsize=1)
-def _mixers() -> tuple[np.ndarray, np.ndarray]:
-    """What a shingle's hash is combined with for each value of a sketch."""
-    rng = np.random.default_rng(SEED)
-    flips, factors = rng.integers(0, 1 << 32, (2, SKETCH), np.uint32)
-    return flips, factors | np.uint32(1)
-
-
-def near_copy_print(text: str, words: int) -> tuple[int, bytes]:
-    """(node, sketch): a hash of the set of a text's shingles of ``words`` words, and a byte of each of its MinHash
-    values. Two sketches agree in as large a share of bytes as the sets do, but for 1/256 of the others."""
-    tokens = text.encode().lower().split()
-    shingles = {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1) if tokens else 0)}
-    hashes = np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, shingles), np.uint64, len(shingles)))
-    flips, factors = _mixers()
-    least = np.full(SKETCH, (1 << 32) - 1, np.uint32)
-    for first in range(0, len(hashes), 64):
-        block = hashes[first : first + 64, np.newaxis].astype(np.uint32)
-        np.minimum(least, ((block ^ flips) * factors).min(axis=0), out=least)
-    node = xxhash.xxh3_64_intdigest(hashes.tobytes())
-    return node - (node >> 63 << 64), least.astype(np.uint8).tobytes()
-
-
-def _sketches(column: pa.Array) -> np.ndarray:
-    """The sketches of a batch as rows of bytes."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
-
-
-def _near_copy_keys(classes: DataFrame) -> DataFrame:
-    """Rows (key, node) under which near copies meet: the number of a band and its bytes of the sketch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands = np.zeros((batch.num_rows, BANDS, 8), np.uint8)
-            bands[:, :, :BAND_BYTES] = _sketches(batch.column(1))[:, : BANDS * BAND_BYTES].reshape(-1, BANDS, BAND_BYTES)
-            keys = bands.view("<i8")[:, :, 0] | np.arange(BANDS) << 8 * BAND_BYTES
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, BANDS))], ["key", "node"])
-
-    return classes.select("node", "sketch").mapInArrow(run, "key long, node long")
-
-
-def _dealt(keyed: DataFrame, block: int) -> DataFrame:
-    """Rows (key, node) of keys with ``n`` rows; a key with over two blocks is split into all pairs of its blocks, so
-    that every two rows still meet and no key holds more than about two blocks."""
-    blocks = F.when(F.col("n") > 2 * block, F.ceil(F.col("n") / block)).otherwise(F.lit(1)).cast("long")
-    own = F.pmod(F.xxhash64("node", "key"), "blocks")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = keyed.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", other)
-    # A block meets itself together with its first partner.
-    pairs = pairs.filter("blocks = 1 or own != other")
-    key = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    return pairs.select(F.when(F.col("blocks") > 1, key).otherwise(F.col("key")).alias("key"), "node")
-
-
-def _near_copy_links(keyed: DataFrame, similarity: float) -> DataFrame:
-    """Links (u, v) between nodes that span the near copies of each key; the rows (key, node, sketch) lie sorted by
-    key and node."""
-    # Bytes of different values agree by chance once in 256.
-    equal_bytes = SKETCH * (similarity + (1 - similarity) / 256)
-
-    def stars(node: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
-        found, left = [], np.arange(len(node))
-        while len(left) > 1:
-            frontier, left = deque([left[0]]), left[1:]
-            while frontier and len(left):
-                i = frontier.popleft()
-                # Whatever leaves the search must be a link for good.
-                near = np.count_nonzero(sketch[left] == sketch[i], axis=1) >= equal_bytes
-                if near.any():
-                    found += [(int(node[i]), int(node[j])) for j in left[near]]
-                    frontier.extend(left[near])
-                    left = left[~near]
-        return found
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), _sketches(batch.column(2))]
-            if kept is not None:
-                columns = [np.concatenate(x) for x in zip(kept, columns)]
-            # The last key may go on in the next batch; keys are in Spark's order of longs.
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            kept = [c[cut:] for c in columns]
-            yield from linked(*(c[:cut] for c in columns))
-        if kept is not None:
-            yield from linked(*kept)
-
-    def linked(key: np.ndarray, *of: np.ndarray) -> Iterator[pa.RecordBatch]:
-        edges = np.flatnonzero(np.diff(key)) + 1
-        starts, ends = np.r_[0, edges], np.r_[edges, len(key)]
-        several = ends - starts > 1
-        found = []
-        for i, j in zip(starts[several].tolist(), ends[several].tolist()):
-            found += stars(*(x[i:j] for x in of))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(found))], ["u", "v"])
-
-    return keyed.mapInArrow(run, "u long, v long")
-
-
 def _stars(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A star of links for each connected set of distinct fingerprints; its center is the first one reached."""
     left = np.unique(prints)
@@ -331,8 +227,9 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, refine_above: int = R
     """
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError("the Golay keys find fingerprints with 0 to 2 differing bits")
-    counted = _keys(prints.select("fp").distinct()).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    shared = stage(counted.filter("n > 1"), "golay-keys").df
+    keys = stage(_keys(prints.select("fp").distinct()), "golay-keys").df
+    several = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-golay-keys")
+    shared = lookup_join(keys, several, ["key"], spread_by=["fp"])
     split = shared.filter(F.col("n") <= refine_above).drop("n").unionByName(
         _refined(shared.filter(F.col("n") > refine_above).drop("n"))
     )
@@ -359,67 +256,34 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     )
 
 
-#: Near copies: words of a shingle, and the similarity of two shingle sets that makes a link.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
-#: MinHash values of a sketch; at a similarity of 0.8 the share that agrees has a standard error of 0.018.
-SKETCH = 512
-#: Two sets at 0.8 meet in a band with a probability of 0.9993.
-BANDS, BAND_BYTES = 24, 6
-#: Rows of a crowded key are dealt to blocks of about so many.
-BLOCK = 512
+def keep_first_copies(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE,
+                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row of ``docs`` of each near-duplicate component, with all its columns: that with the least doc_id.
 
-
-def near_copy_groups(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text_hash, first_id, first_hash): each different row with the first row of its group of near copies.
-
-    Two rows are near copies if the shares of their sets of shingles (shared over all) are ``similarity`` or more, as
-    their sketches tell. Rows are compared if they agree in a band of the sketch. Groups are the connected sets of links;
-    the first row has the least doc_id (nulls last), then the least hash. Texts equal but for case and white space
-    always share a group.
+    Rows without a doc_id come last. Among rows that share the least doc_id, the one with the least hash of the whole
+    row stays, so a repeated run keeps the same one; of equal rows one stays. Null and empty texts are copies of each
+    other. Columns of any name are allowed. An empty table stays empty.
     """
+    rows = row_keys(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, sketch = list(zip(*(near_copy_print(text.as_py(), words) for text in batch.column(2)))) or [[], []]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(sketch, pa.binary())], ["doc_id", "text_hash", "node", "sketch"]
-            )
-
-    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    prints = stage(rows.mapInArrow(run, "doc_id long, text_hash long, node long, sketch binary"), "near-prints").df
-    # A class is one set of shingles.
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
-    classes = stage(prints.groupBy("node").agg(F.min(order).alias("first"), F.min("sketch").alias("sketch")), "print-classes").df
-    keyed = _near_copy_keys(classes)
-    shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-keys")
-    met = _dealt(lookup_join(keyed, shared, ["key"], spread_by=["node"]), block).join(classes.select("node", "sketch"), "node")
-    placed = met.select("key", "node", "sketch").repartition("key").sortWithinPartitions("key", "node")
-    labels = component_labels(_near_copy_links(placed, similarity), "u", "v")
-    labelled = classes.select("node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            prints = np.array([fingerprint(t.as_py(), words) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["doc_id", "row_hash", "fp"])
+
+    keyed = rows.select("doc_id", "row_hash", "text").mapInArrow(run, "doc_id long, row_hash long, fp long")
+    keyed = stage(keyed, "row-prints").df
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row_hash")
+    counted = keyed.groupBy("fp", "doc_id", "row_hash").agg(F.count(F.lit(1)).alias("n"))
+    classes = stage(counted.groupBy("fp").agg(F.min(F.struct(order.alias("at"), "n")).alias("first")), "print-classes").df
+    labels = component_labels(links(classes, distance), "a", "b").select(F.col("node").alias("fp"), "label")
+    labelled = classes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first"))
-    by_class = stage(labelled.drop("first").join(firsts, "label").select("node", "first"), "near-copy-classes").df
-    return prints.drop("sketch").join(by_class, "node").select(
-        "doc_id", "text_hash", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")
-    )
-
-
-def keep_first_copies(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The rows of ``docs`` without near copies of an earlier row: one row of each group stays, with all its columns."""
-    groups = near_copy_groups(docs)
-    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
-    kept = stage(
-        firsts.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
-        .select(F.col("doc_id").isNull().alias("_missing"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"), "_n"),
-        "first-copies",
-    )
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({
-        "_missing": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": F.xxhash64(text)
-    })
-    met = lookup_join(rows, kept, ["_missing", "_id", "_hash"], spread_by=["_id", "_hash"], broadcast_bytes=broadcast_bytes)
-    # Rows that occur more than once with the same doc_id and text.
-    repeated = met.filter("_n > 1").dropDuplicates(["_missing", "_id", "_hash"])
-    return met.filter("_n = 1").unionByName(repeated).select(*docs.columns)
+    kept = firsts.select("first.at.missing", F.coalesce("first.at.doc_id", F.lit(0)).alias("id"), "first.at.row_hash", "first.n")
+    rows = rows.select("row", F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "row_hash")
+    key = ["missing", "id", "row_hash"]
+    met = lookup_join(rows, stage(kept, "first-copies"), key, spread_by=["id", "row_hash"], broadcast_bytes=broadcast_bytes)
+    return met.filter("n = 1").unionByName(met.filter("n > 1").dropDuplicates(key)).select("row.*")
 
 
 def op9_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:

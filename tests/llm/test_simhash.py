@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 import xxhash
 
@@ -106,119 +105,6 @@ def test_empty_and_missing_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, 7), (7, 7), (None, None)], key=str)
 
 
-def shingles(text, n=5):
-    words = text.lower().split()
-    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
-
-
-def test_near_copies_are_found_and_others_are_kept(spark):
-    rng = random.Random(5)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    rows, wanted = [], {}
-    for i in range(150):
-        base = [rng.choice(vocabulary) for _ in range(rng.choice([60, 150, 400]))]
-        rows.append((i, " ".join(base)))
-        wanted[i] = i
-        for k in range(rng.randrange(4)):
-            copy = list(base)
-            for _ in range(max(1, len(base) // 60)):
-                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
-            text = " ".join(copy)
-            a, b = shingles(rows[-1 - k][1]), shingles(text)
-            if len(a & b) / len(a | b) >= 0.8:
-                wanted[1000 + 10 * i + k] = i
-            rows.append((1000 + 10 * i + k, text))
-    found = {r.doc_id: r.first_id for r in simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(found[i] == i for i in range(150))
-    copies = [i for i in wanted if i >= 1000]
-    assert sum(found[i] == wanted[i] for i in copies) >= 0.97 * len(copies)
-    assert all(found[i] in (i, (i - 1000) // 10) or found[i] // 10 == i // 10 for i in found if i >= 1000)
-
-
-class Batches:
-    """Stands for a table of Arrow batches, so that a step is tested without Spark."""
-
-    def __init__(self, *batches):
-        self.batches = batches
-
-    def mapInArrow(self, run, schema):
-        return [row for batch in run(iter(self.batches)) for row in batch.to_pylist()]
-
-
-def test_a_distant_center_costs_no_link():
-    """The first row of a key is far from two others, which are near each other."""
-    rows = [np.zeros(simhash.SKETCH, np.uint8), np.ones(simhash.SKETCH, np.uint8), np.ones(simhash.SKETCH, np.uint8)]
-    rows[2][:9] = 0
-    columns = [pa.array([7, 7, 7]), pa.array([1, 2, 3]), pa.array([x.tobytes() for x in rows], pa.binary())]
-    found = simhash._near_copy_links(Batches(pa.RecordBatch.from_arrays(columns, ["key", "node", "sketch"])), 0.8)
-    assert [{r["u"], r["v"]} for r in found] == [{2, 3}]
-
-
-def similarity(a, b):
-    a, b = shingles(a), shingles(b)
-    return len(a & b) / len(a | b)
-
-
-def test_copies_that_differ_in_a_passage_are_found(spark):
-    """Passages appended, dropped and replaced, at 0.80 to 0.85 and above; sketches err by 0.018."""
-    rng = random.Random(7)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    rows, pairs = [], []
-    for i in range(240):
-        base = [rng.choice(vocabulary) for _ in range(rng.choice([80, 150, 400, 1000]))]
-        n = len(base)
-        passage = [rng.choice(vocabulary) for _ in range(n)]
-        at = n // 3
-        kind, share = ("append", "drop", "replace")[i % 3], rng.uniform(0.12, 0.24)
-        m = int(n * share)
-        if kind == "append":
-            copy = base + passage[:m]
-        elif kind == "drop":
-            copy = base[:at] + base[at + m :]
-        else:
-            copy = base[:at] + passage[: m // 2] + base[at + m // 2 :]
-        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
-        pairs.append((2 * i, 2 * i + 1, similarity(rows[-2][1], rows[-1][1]), kind))
-    found = {r.doc_id: r.first_id for r in simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(found[a] == a for a, *_ in pairs)
-    for kind in ("append", "drop", "replace"):
-        at = [found[b] == a for a, b, s, k in pairs if k == kind and 0.8 <= s < 0.85]
-        assert len(at) >= 15 and sum(at) >= 0.75 * len(at), kind
-    sure = [found[b] == a for a, b, s, _ in pairs if s >= 0.85]
-    assert len(sure) >= 20 and all(sure)
-
-
-def test_less_similar_documents_are_kept(spark):
-    """Pairs at 0.5 to 0.72 stay apart, and a chain of them joins nothing."""
-    rng = random.Random(9)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    rows, pairs = [], []
-    for i in range(40):
-        words = [rng.choice(vocabulary) for _ in range(rng.choice([100, 300]))]
-        for k in range(4):
-            rows.append((10 * i + k, " ".join(words)))
-            if k:
-                pairs.append(similarity(rows[-2][1], rows[-1][1]))
-            m = len(words) // 5
-            words[k * m : (k + 1) * m] = [rng.choice(vocabulary) for _ in range(m)]
-    assert all(0.5 < s < 0.72 for s in pairs)
-    found = simhash.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert all(r.doc_id == r.first_id for r in found)
-
-
-def test_a_crowded_key_is_split_and_every_pair_meets(spark):
-    sizes = {1: 700, 2: 64, 3: 2}
-    rows = [(key, 1000 * key + i, n) for key, n in sizes.items() for i in range(n)]
-    dealt = simhash._dealt(spark.createDataFrame(rows, "key long, node long, n long"), 32).collect()
-    groups = {}
-    for r in dealt:
-        groups.setdefault(r.key, set()).add(r.node)
-    assert max(map(len, groups.values())) < 128
-    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
-    assert met == {(a, b) for k, a, _ in rows for q, b, _ in rows if k == q and a < b}
-    assert {2, 3} <= groups.keys() and len(dealt) == 700 * 21 + 66
-
-
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d e f"), (3, "A b  c d e f"), (3, "A b  c d e f"), (9, None), (8, ""), (None, "x y z"), (None, "x y z"), (7, "other words here")]
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "doc_id long, text string, fp long")
@@ -227,3 +113,30 @@ def test_one_row_of_each_group_stays(spark):
         assert kept.columns == df.columns
         assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 8, None, 7], key=str)
     assert simhash.keep_first_copies(df.limit(0)).count() == 0
+
+
+def test_the_kept_rows_are_those_of_the_components(spark):
+    """The stage keeps one row for each component of the operator, and the same one in every order of the rows."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for i in range(80):
+        base = rng.choices(words, k=rng.choice([3, 40, 300]))
+        for k in range(3):
+            copy = list(base)
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((rng.randrange(1000), " ".join(copy if rng.random() < 0.7 else base), k))
+    schema = "doc_id long, text string, n int"
+    wanted = {r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, schema)).collect()}
+    first = sorted(map(tuple, simhash.keep_first_copies(spark.createDataFrame(rows, schema)).collect()))
+    again = sorted(map(tuple, simhash.keep_first_copies(spark.createDataFrame(rows[::-1], schema).repartition(3)).collect()))
+    assert first == again
+    assert {r[0] for r in first} == wanted
+
+
+def test_very_long_texts_with_more_hashes_than_a_block(spark):
+    rng = random.Random(4)
+    words = rng.choices([f"w{i}" for i in range(3000)], k=20_000)
+    rows = [(1, " ".join(words)), (2, " ".join(words[:9000] + ["zz"] + words[9001:])), (3, "x " * 100_000)]
+    df = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], SCHEMA)
+    assert sorted(tuple(r) for r in simhash.near_duplicates(df).collect()) == components(rows)
