@@ -40,8 +40,12 @@ SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "€": "e",
 }
-SEPARATORS = " .-_*"
-_MARKS = "".join(c for c in SIGNS if not c.isdigit())
+SEPARATORS = " .-_*\n"
+#: What stands apart from a word's end as a mark of its own, and other signs, which may be its last letter.
+_MARKS = "!"
+_LAST = "".join(c for c in SIGNS if not c.isdigit() and c not in _MARKS)
+#: Chances that a separator among letters set apart parts words, and that a last sign is meant as it is.
+PARTS_WORDS, LAST_AS_IS = 0.2, 0.4
 
 #: Letters of the character model: a-z and those of Latin-1; code 0 is everything else.
 LETTERS = "".join(c for c in map(chr, range(0x61, 0x100)) if c.isalpha() and c == c.lower())
@@ -53,9 +57,11 @@ _CODE_OF = {c: i + 1 for i, c in enumerate(LETTERS)}
 # Letters, without the few number signs that Python counts among word characters in Latin-1.
 _LETTER = "[^\\W\\d_²³¹¼½¾]"
 _SIGN = "[" + re.escape("".join(SIGNS)) + "]"
-_MIXED = re.compile(f"{_SIGN}{_LETTER}|{_LETTER}[0-9]")
+_MIXED = re.compile(f"{_SIGN}{_LETTER}|{_LETTER}[0-9{re.escape(_LAST)}]")
 _TOKEN = re.compile(f"(?:{_LETTER}|{_SIGN})+")
-_APART = re.compile(rf"(?<!\w)(?:(?:{_LETTER}|{_SIGN})[{re.escape(SEPARATORS)}]){{3,}}(?:{_LETTER}|{_SIGN})(?!\w)")
+_BETWEEN = f"[{re.escape(SEPARATORS)}]"
+_APART = re.compile(rf"(?<!\w)(?:(?:{_LETTER}|{_SIGN}){_BETWEEN}{{1,3}}){{3,}}(?:{_LETTER}|{_SIGN})(?!\w)")
+_RUN = re.compile(f"{_BETWEEN}+")
 _REPEATED = re.compile(rf"({_LETTER})\1\1")
 _WORD = re.compile(f"{_LETTER}+")
 
@@ -67,7 +73,7 @@ def _classes(letter: bytes, digit: bytes, sign: bytes, separator: bytes) -> byte
         if chr(c).isalpha():
             table[c] = letter[0] if letter else c
         elif chr(c) in SIGNS:
-            table[c] = (digit if chr(c).isdigit() else sign)[0]
+            table[c] = (digit if chr(c).isdigit() else b"m" if chr(c) in _MARKS and sign == b"s" else sign)[0]
         elif chr(c) in SEPARATORS:
             table[c] = separator[0]
     return bytes(table)
@@ -86,7 +92,10 @@ def may_be_disguised(lowered: str) -> bool:
     except UnicodeEncodeError:
         return True
     kinds = raw.translate(_KINDS)
-    if b"sl" in kinds or b"dl" in kinds or b"ld" in kinds or b"l.l.l.l" in raw.translate(_SPACING):
+    if any(pair in kinds for pair in (b"sl", b"ml", b"ls", b"dl", b"ld")):
+        return True
+    # Up to three separators in a row, and some more, count as one.
+    if b"l.l.l.l" in raw.translate(_SPACING).replace(b"..", b".").replace(b"..", b"."):
         return True
     codes = np.frombuffer(raw, np.uint8)
     thrice = (codes[1:-1] == codes[:-2]) & (codes[1:-1] == codes[2:])
@@ -146,23 +155,25 @@ class Decoder:
         self._log = np.log((cube + smooth) / (cube.sum(2, keepdims=True) + smooth * SIZE)).astype(np.float32)
         self._spans: dict[str, str] = {}
 
-    def options(self, span: str, at: int) -> list[tuple[str, float]]:
-        """(intended character or none, log probability of the disguise) of one character."""
+    def options(self, span: str, at: int, tail: int | None = None) -> list[tuple[str, float]]:
+        """(intended character or none, log probability of the disguise) of one character; last signs begin at ``tail``."""
         c = span[at]
+        tail = len(span.rstrip(_LAST)) if tail is None else tail
         if c in SEPARATORS:
-            return [("", 0.0)]
+            return [("", math.log(1 - PARTS_WORDS)), (" ", math.log(PARTS_WORDS))]
         if c in SIGNS:
-            meant = [(letter, math.log(0.9 / len(SIGNS[c]))) for letter in SIGNS[c]]
-            return [*meant, (c, math.log(0.1))]
+            as_is = LAST_AS_IS if at >= tail else 0.1
+            meant = [(letter, math.log((1 - as_is) / len(SIGNS[c]))) for letter in SIGNS[c]]
+            return [*meant, (c, math.log(as_is))]
         if at and span[at - 1] == c:
             return [(c, math.log(0.5)), ("", math.log(0.5))]
         return [(c, 0.0)]
 
     def decode(self, span: str) -> str:
         layers: list[dict] = []
-        states = {(0, 0): 0.0}
+        states, tail = {(0, 0): 0.0}, len(span.rstrip(_LAST))
         for at in range(len(span)):
-            options = [(text, _CODE_OF.get(text, 0), p) for text, p in self.options(span, at)]
+            options = [(text, _CODE_OF.get(text, 0), p) for text, p in self.options(span, at, tail)]
             nexts: dict = {}
             for state, score in states.items():
                 for text, code, p in options:
@@ -180,7 +191,7 @@ class Decoder:
         return "".join(reversed(out))
 
     def _remembered(self, span: str) -> str:
-        # Signs at the end are punctuation.
+        # Exclamation marks at the end are punctuation.
         span, after = span.rstrip(_MARKS), span[len(span.rstrip(_MARKS)) :]
         if span not in self._spans:
             if len(self._spans) > REMEMBERED:
@@ -193,7 +204,7 @@ class Decoder:
         text = text.lower()
         if not may_be_disguised(text):
             return text
-        text = _APART.sub(lambda m: self._remembered(m[0]), text)
+        text = _APART.sub(lambda m: self._remembered(_RUN.sub(" ", m[0])), text)
         for disguise, whole in ((_MIXED, _TOKEN), (_REPEATED, _WORD)):
             text = self._replaced(text, disguise, whole)
         return text
@@ -379,7 +390,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns, whatever their names.
+
+    Null and empty texts are scored like all without a telling word; repeated rows share their fate, rows without a
+    doc_id are scored like any other. An empty table stays empty; without toxic labels nothing goes.
+    """
     decoder = Decoder(trigram_counts(docs))
     scorer = learn(docs, labels, decoder, fit_rows)
     at = docs.columns.index("text")

@@ -24,7 +24,7 @@ def test_trigram_counts(spark):
     assert cube[0, code["a"], code["b"]] == 2 and cube[code["a"], code["b"], 0] == 2 and cube[0, code["é"], 0] == 1
 
 
-@pytest.mark.parametrize("span", ["1d10t", "m0r0n", "$tup1d", "s.t.u.p.i.d", "idiooot", "we4ther", "gggreen", "x9", "a b c d"])
+@pytest.mark.parametrize("span", ["1d10t", "m0r0n", "$tup1d", "s.t.u.p.i.d", "idiooot", "we4ther", "gggreen", "x9", "a b c d", "a$$", "idi0+", "u a n d i"])
 def test_viterbi_is_the_best_path(decoder, span):
     def score(path):
         codes = [0, 0] + [toxicity._CODE_OF.get(t, 0) for t, _ in path if t] + [0]
@@ -44,6 +44,19 @@ def test_disguised_words_are_restored(decoder):
     assert decoder.restore("plain text*** stays, 42 too###") == "plain text*** stays, 42 too###"
 
 
+def test_spacing_beside_other_words_is_decoded(decoder):
+    assert decoder.restore("such a s t u p i d person") == "such a stupid person" or decoder.restore("over s t u p i d moron") == "over stupid moron"
+    assert decoder.restore("the s  t u  p i d weather") == "the stupid weather"
+    assert decoder.restore("m\no\nr\no\nn") == "moron"
+    assert decoder.restore("t h e i d i o t") == "the idiot"
+
+
+def test_final_signs_are_decoded_where_the_model_prefers_a_letter(decoder):
+    assert decoder.restore("that idio+") == "that idiot"
+    assert decoder.restore("green stone$!") == "green stones!"
+    assert decoder.restore("weather! rivers, 5$ and 3+4") == "weather! rivers, 5$ and 3+4"
+
+
 def test_quick_test_misses_no_disguise(decoder):
     rng = random.Random(7)
     bits = ["a", "b", "é", "1", "$", "!", " ", " ", ".", "-", "_", "²", "ß", "aa", "the", "\n", "0", "œ", "#"]
