@@ -2,7 +2,7 @@
 
 Host names are split into words by a Viterbi search under word frequencies of the pages themselves. The
 substrings of a name are joined to the word counts, so that no word list travels to the tasks. Naive Bayes
-learns from pages whose host holds a seed word, over hashed tokens, so its model has a fixed size.
+learns from pages whose host holds a seed word, over hashed tokens without the seeds, so its model has a fixed size.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from agroflow.llm.common import ascii_lower, read_table
 from agroflow.operators.skew import lookup_join
-from agroflow.sources.workspace import stage
+from agroflow.sources.workspace import StagedTable, stage
 
 #: (verdict, host, path): the rule fits the host and its subdomains under the path.
 RULES = (
@@ -31,6 +31,10 @@ RULES = (
 SEED_WORDS = ("ads", "adult", "bet", "bets", "casino", "gambling", "jackpot", "loan", "loans", "lottery", "malware",
               "pharmacy", "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "track", "tracker", "warez", "xxx")
 LONGEST_WORD = 20
+#: Different labels beside a host's label that make it a unit.
+LABEL_NEIGHBOURS = 5
+#: Odds of block that a seed word itself brings.
+SEED_ODDS = 20.0
 #: Hash buckets of the naive Bayes tokens; bounds the model.
 BUCKETS = 1 << 18
 BLOCK_ABOVE = 0.5
@@ -54,23 +58,42 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return found
 
 
-def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n): runs of letters a-z in the pages' visible text, and in host names of several parts.
+def _visible_words(pages: DataFrame) -> DataFrame:
+    """Runs of letters a-z in the pages' visible text, and in host names whose parts are set apart by hyphens.
 
     A name that is one run of letters is no evidence that it is one word, so it is not counted.
     """
-    # Tags, scripts and dotted names are no words of the text.
-    marks = r"(?s)<(script|style)[^>]*>.*?</\1>|<[^>]*>|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+    # Tags, scripts, entities and dotted names are no words of the text.
+    marks = r"(?s)<(script|style)[^>]*>.*?</\1>|<[^>]*>|&#?[A-Za-z0-9]+;|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
     visible = F.regexp_replace(F.coalesce("html", F.lit("")), marks, " ")
     body = F.regexp_extract_all(ascii_lower(visible), F.lit("[a-z]+"), F.lit(0))
     labels = F.filter(F.split(host_of(F.col("url")), r"\."), lambda x: F.contains(x, F.lit("-")))
     parts = F.flatten(F.transform(labels, lambda x: F.regexp_extract_all(x, F.lit("[a-z]+"), F.lit(0))))
-    return (
-        pages.select(F.explode(F.concat(body, parts)).alias("word"))
-        .filter(F.length("word") <= LONGEST_WORD)
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return pages.select(F.explode(F.concat(body, parts)).alias("word"))
+
+
+def _label_words(pages: DataFrame, neighbours: int = LABEL_NEIGHBOURS) -> DataFrame:
+    """(word, n): labels of host names that are units of their own, each host counted once.
+
+    The last label is one; any other if it stands beside at least so many different labels: ``www`` and a common
+    domain do, a site's own name beside ``www`` and ``m`` does not.
+    """
+    hosts = pages.select(host_of(F.col("url").cast("string")).alias("host")).distinct()
+    labels = hosts.select(F.split("host", r"\.").alias("labels")).select("labels", F.posexplode("labels").alias("at", "word"))
+    last = labels.filter(F.col("at") == F.size("labels") - 1).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    beside = labels.filter(F.col("at") < F.size("labels") - 1).select("word", F.explode(F.array(
+        F.struct(F.lit(-1).alias("side"), F.get("labels", F.col("at") - 1).alias("other")),
+        F.struct(F.lit(1).alias("side"), F.get("labels", F.col("at") + 1).alias("other")),
+    )).alias("x")).select("word", "x.*").filter("other is not null").distinct()
+    inner = beside.groupBy("word", "side").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= neighbours)
+    return last.unionByName(inner.groupBy("word").agg(F.max("n").alias("n"))).filter(F.col("word").rlike("^[a-z]+$"))
+
+
+def word_counts(pages: DataFrame) -> DataFrame:
+    """(word, n) of the words that names are split into."""
+    seen = _visible_words(pages).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    both = seen.unionByName(_label_words(pages)).filter(F.length("word") <= LONGEST_WORD)
+    return both.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment(name: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
@@ -94,7 +117,7 @@ def segment(name: str, known: dict[tuple[int, int], int], total: int) -> list[st
     return words[::-1]
 
 
-def segmented(names: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+def segmented(names: DataFrame, counts: StagedTable, total: int) -> DataFrame:
     """(name, words) for the distinct values of ``names.name``, runs of letters a-z."""
     size = F.length("name")
     places = F.flatten(F.transform(
@@ -105,7 +128,8 @@ def segmented(names: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     spans = distinct.select("name", F.explode(places).alias("at")).select(
         "name", "at.a", "at.b", F.expr("substring(name, at.a + 1, at.b - at.a)").alias("word")
     )
-    met = spans.join(counts, "word", "left").groupBy("name").agg(
+    # Single letters are in every name.
+    met = lookup_join(spans, counts, ["word"], "left", spread_by=["name", "a", "b"]).groupBy("name").agg(
         F.collect_list(F.when(F.col("n").isNotNull(), F.struct("a", "b", "n"))).alias("known")
     )
 
@@ -121,10 +145,10 @@ def segmented(names: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     return met.mapInArrow(run, "name string, words array<string>")
 
 
-def host_words(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+def host_words(hosts: DataFrame, counts: StagedTable, total: int) -> DataFrame:
     """(host, host_tokens) for each distinct host: its runs of letters, each split into words."""
     runs = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("nth", "name"))
-    split = runs.join(segmented(runs, counts, total), "name")
+    split = lookup_join(runs, stage(segmented(runs, counts, total), "segmented-names"), ["name"], spread_by=["host", "nth"])
     ordered = F.array_sort(F.collect_list(F.struct("nth", "words")))
     per_host = split.groupBy("host").agg(F.flatten(F.transform(ordered, lambda x: x["words"])).alias("host_tokens"))
     return hosts.join(per_host, "host", "left").select("host", F.coalesce("host_tokens", F.array().cast("array<string>")).alias("host_tokens"))
@@ -141,9 +165,15 @@ def _buckets(tokens: Column) -> Column:
 
 
 def fitted(pages: DataFrame, seeds: Sequence[str] = SEED_WORDS) -> tuple[float, np.ndarray]:
-    """(prior, weights) of naive Bayes as log odds of block; at most two counts per bucket reach the driver."""
-    spam = F.arrays_overlap("host_tokens", F.array(*map(F.lit, seeds)))
-    of_class = pages.select("buckets", spam.alias("spam"))
+    """(prior, weights) of naive Bayes as log odds of block; at most two counts per bucket reach the driver.
+
+    Pages whose host holds a seed word are the examples to block. Seeds are left out of what is learned, or the model
+    would learn the list and nothing else; each brings its own fixed odds when a page is judged.
+    """
+    listed = F.array(*map(F.lit, seeds)).cast("array<string>")
+    spam = F.arrays_overlap("host_tokens", listed)
+    rest = F.concat(F.array_except("host_tokens", listed), path_tokens(F.col("path")))
+    of_class = pages.select(_buckets(rest).alias("buckets"), spam.alias("spam"))
     totals = {r["spam"]: r["n"] for r in of_class.groupBy("spam").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros((2, BUCKETS))
     seen = of_class.select("spam", F.explode("buckets").alias("bucket")).groupBy("spam", "bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -152,7 +182,11 @@ def fitted(pages: DataFrame, seeds: Sequence[str] = SEED_WORDS) -> tuple[float,
     used = max(1, np.count_nonzero(counts.sum(0)))
     smooth = (counts + 1) / (counts.sum(1, keepdims=True) + used)
     prior = math.log((totals.get(True, 0) + 1) / (totals.get(False, 0) + 1))
-    return prior, np.log(smooth[1]) - np.log(smooth[0])
+    weights = np.log(smooth[1]) - np.log(smooth[0])
+    if seeds:
+        own = pages.sparkSession.createDataFrame([(list(seeds),)], "seeds array<string>").select(_buckets(F.col("seeds")).alias("b")).first()["b"]
+        weights[own] = math.log(SEED_ODDS) - prior
+    return prior, weights
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = SEED_WORDS) -> DataFrame:
@@ -163,8 +197,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds
     ``://``, has an empty host and path and is judged by the prior alone. Repeated rows come out as often as
     they go in; an empty table gives no rows.
     """
-    counts = stage(word_counts(pages), "url-words").df
-    total = counts.agg(F.sum("n")).first()[0] or 1
+    counts = stage(word_counts(pages), "url-words")
+    total = counts.df.agg(F.sum("n")).first()[0] or 1
     url = F.col("url").cast("string")
     parsed = stage(
         pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")), "url-parts"

@@ -73,3 +73,47 @@ def test_unwanted_hosts_are_blocked_by_their_words(spark):
 
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_entities_are_no_words_and_common_labels_are_units(spark):
+    rows = [(i, f"https://{sub}.{name}.example.com/x", "cats &amp; dogs &nbsp;&#160; free pills", ) for i, (sub, name) in enumerate(
+        itertools.product(("www", "m"), ("redcat", "bluedog", "freepills", "oldtown", "newtown", "bigcity")))]
+    counts = {r.word: r.n for r in urls.word_counts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert "amp" not in counts and "nbsp" not in counts
+    assert counts["example"] == 6 and counts["com"] == 12 and counts["www"] == counts["m"] == 6
+    assert "freepills" not in counts and counts["pills"] == 12
+    got = {r.host: r.host_words for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got["www.freepills.example.com"] == "www free pills example com"
+
+
+def test_hosts_without_a_seed_are_judged_by_what_goes_with_seeds(spark):
+    """Blocked sites share words and paths with seed hosts; the seeds of the test hosts are never seen."""
+    rng = random.Random(5)
+    good, bad = ("garden", "river", "school", "museum"), ("bonus", "deluxe", "spin", "vip")
+    rows, wanted = [], {}
+    for i in range(600):
+        spam = i % 3 == 0
+        word, other = rng.choice(bad if spam else good), rng.choice(["casino", "poker"] if spam else ["town", "city"])
+        known = rng.random() < 0.6
+        host = f"{word}-{other}{i}.org" if known else f"{word}{i}.org"
+        rows.append((i, f"http://{host}/{rng.choice(['win', 'deal'] if spam else ['news', 'about'])}/{i}", "garden river school museum bonus deluxe spin vip"))
+        if not known:
+            wanted[i] = "block" if spam else "allow"
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    right = sum(got[i] == v for i, v in wanted.items())
+    assert len(wanted) > 150 and right >= 0.95 * len(wanted)
+
+
+def test_without_broadcasts_and_with_ties(spark, monkeypatch):
+    rows = [(i, f"https://{n}.org/a", "ab a b c") for i, n in enumerate(("abab", "ab", "abc", "abab", "zz"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(map(tuple, urls.judge(df).collect()))
+    join = urls.lookup_join
+    monkeypatch.setattr(urls, "lookup_join", lambda *a, **k: join(*a, **{**k, "broadcast_bytes": 0}))
+    assert sorted(map(tuple, urls.judge(df.repartition(3)).collect())) == whole
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "https://" + "ab" * 3000 + ".org/" + "x/" * 50_000, "ab"), (2, "https://a.org/" + "p?" * 10, None)]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got[1].path) == 100_001 and got[1].host_words.replace(" ", "") == "ab" * 3000 + "org" and got[2].path == "/p"
