@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agroflow.llm.common import read_table, texts
+from agroflow.llm.common import read_table, row_keys, texts
+from agroflow.operators.skew import lookup_join
 from agroflow.sources.workspace import stage
 
 #: Code points between two parts of one credential at most.
@@ -139,31 +140,32 @@ def redact(docs: DataFrame, mask: str = "[REDACTED]", scope: int = SCOPE, broadc
     """``docs`` with every span replaced by ``mask`` and ``n_chars`` (if there) counted anew; no row is dropped.
 
     Only rows with spans are looked up: their table is broadcast if its measured size is below
-    ``broadcast_bytes`` and joined by shuffle otherwise. Overlapping spans are masked once.
+    ``broadcast_bytes`` and joined by shuffle otherwise. Overlapping spans are masked once. Null and empty texts have
+    no spans, repeated rows are masked alike, rows without a doc_id like any other. Columns of any name are allowed.
+    An empty table stays empty.
     """
-    rows, spans = scan(docs, scope)
+    found, spans = scan(docs, scope)
     upto = Window.partitionBy("uid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     runs = (
         spans.withColumn("before", F.coalesce(F.max("end").over(upto), F.lit(0)))
         .filter(F.col("end") > F.col("before"))
         .groupBy("uid")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "before"))).alias("_runs"))
-    )
-    lookup = stage(
-        rows.join(runs, "uid").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_runs").dropDuplicates(["_id", "_hash"]),
-        "secret-runs",
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "before"))).alias("runs"))
     )
-    small = F.broadcast(lookup.df) if lookup.bytes < broadcast_bytes else lookup.df
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(small, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
+    # Equal texts have equal spans.
+    by_text = found.join(runs, "uid").groupBy("text_hash").agg(F.first("runs").alias("runs"))
+    rows = row_keys(docs).select("row", "row_hash", F.xxhash64("text").alias("text_hash"))
+    joined = lookup_join(rows, stage(by_text, "secret-runs"), ["text_hash"], "left", spread_by=["row_hash"], broadcast_bytes=broadcast_bytes)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
     # A run that starts inside the one before goes on with the same mask.
-    kept = F.transform("_runs", lambda r: F.when(r["start"] >= r["before"], F.concat(F.substring(text, r["before"].cast("int") + 1, (r["start"] - r["before"]).cast("int")), F.lit(mask))).otherwise(""))
-    rest = F.substring(text, F.element_at("_runs", -1)["end"].cast("int") + 1, F.length(text))
-    masked = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))
-    out = joined.withColumn("text", masked)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    kept = F.transform("runs", lambda r: F.when(r["start"] >= r["before"], F.concat(F.substring(text, r["before"].cast("int") + 1, (r["start"] - r["before"]).cast("int")), F.lit(mask))).otherwise(""))
+    rest = F.substring(text, F.element_at("runs", -1)["end"].cast("int") + 1, F.length(text))
+    masked = F.when(F.col("runs").isNull(), F.col("row.text")).otherwise(F.concat(F.array_join(kept, ""), rest))
+    changed = joined.select("row", "runs", masked.alias("masked"))
+    out = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("masked")}
+    if "n_chars" in out:
+        out["n_chars"] = F.when(F.col("runs").isNull(), F.col("row.n_chars")).otherwise(F.length("masked").cast("long"))
+    return changed.select(*[column.alias(name) for name, column in out.items()])
 
 
 def op5_secret_linking(spark: SparkSession, folder: str) -> DataFrame:
