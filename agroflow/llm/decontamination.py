@@ -30,6 +30,8 @@ MIN_SCORE = 0.7
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Bits of the filters over the benchmark's words and seeds.
 FILTER_BITS = 24
+#: Documents whose words a task holds at once.
+STEP_ROWS = 250
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,11 +87,18 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "item long, item_id long, words array<long>")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in small steps: what a step holds of them bounds a worker's memory."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, STEP_ROWS):
+            yield batch.slice(first, STEP_ROWS)
+
+
 def _word_documents(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(word, n): in how many documents each word that the filter lets through is; word 0 stands for all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             seen: Counter[bytes] = Counter()
             for text in batch.column(0):
                 seen.update(set(words_of(text.as_py())))
@@ -130,7 +139,7 @@ def _seed_places(docs: DataFrame, wanted: np.ndarray, sizes: list[int]) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 number += 1
