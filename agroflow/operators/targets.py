@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,63 +39,122 @@ class TargetScaling:
         return yeo_johnson_inverse(y * self.std + self.mean, F.lit(self.lam))
 
 
-def _log_likelihoods(df: DataFrame, column: str, grid: list[float]) -> list[float]:
-    """Profile log-likelihood per row of every candidate power, all in one aggregate over the column."""
-    x = F.col(column)
-    variances = [F.var_pop(yeo_johnson(x, F.lit(lam))).alias(f"variance_{i}") for i, lam in enumerate(grid)]
-    stats = df.agg(F.avg(F.signum(x) * F.log1p(F.abs(x))).alias("jacobian"), *variances).first()
+@dataclass(frozen=True)
+class Moments:
+    """Rows, mean and summed squared deviations; moments of several parts make those of their union."""
 
-    def score(i: int, lam: float) -> float:
-        variance = stats[f"variance_{i}"]
-        return -0.5 * math.log(variance) + (lam - 1) * stats["jacobian"] if variance and variance > 0 else -math.inf
+    n: int = 0
+    mean: float = 0.0
+    deviations: float = 0.0
 
-    return [score(i, lam) for i, lam in enumerate(grid)]
+    def __add__(self, other: Moments) -> Moments:
+        n = self.n + other.n
+        if not n:
+            return self
+        apart = other.mean - self.mean
+        return Moments(n, self.mean + apart * other.n / n, self.deviations + other.deviations + apart * apart * self.n * other.n / n)
 
 
-def fit_yeo_johnson(df: DataFrame, column: str) -> TargetScaling:
-    """Maximum-likelihood power by grid refinement, then mean and population deviation.
+def _moments(df: DataFrame, powers: Sequence[float]) -> tuple[dict[tuple[int, int], Moments], dict[int, Moments]]:
+    """Moments of (part, x) under each candidate power, by part and number of the power, and of the log size, by part.
 
-    A few passes over one column, written once for them; each returns one row.
-    NaN counts as missing. A constant or empty column is left as it is; a column
-    that is neither must have a power within reach, or the fit is an error.
+    One pass: a row is tried under every power and summed at once, before anything is shuffled. The expression stays
+    short for any number of powers.
     """
-    x = F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None))
-    df = stage(df.select(x.alias("x")).where("x is not null"), "yeo-johnson").df
-    column = "x"
-    ends = df.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
-    if ends["low"] == ends["high"]:
-        return TargetScaling("yeo-johnson", 1.0, ends["low"] or 0.0, 1.0)
-    low, high = GRID_LOW, GRID_HIGH
-    best = 1.0
-    refinements = shifts = 0
-    while refinements < GRID_PASSES:
-        step = (high - low) / (GRID_POINTS - 1)
-        grid = [low + i * step for i in range(GRID_POINTS)]
-        scores = _log_likelihoods(df, column, grid)
+    size = F.log1p(F.abs("x")) * F.signum("x")
+    tried = df.select("part", "x", size.alias("size"), F.posexplode(F.array(*map(F.lit, powers))).alias("power", "lam"))
+    y = yeo_johnson(F.col("x"), F.col("lam"))
+    found = tried.groupBy("part", "power").agg(
+        F.count("x").alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("variance"), F.avg("size").alias("size")
+    ).collect()
+    by_power = {(r["part"], r["power"]): Moments(r["n"], r["mean"], r["variance"] * r["n"]) for r in found}
+    return by_power, {r["part"]: Moments(r["n"], r["size"]) for r in found if r["power"] == 0}
+
+
+class _PowerSearch:
+    """Maximum-likelihood power of one set of parts by grid refinement; sees only moments."""
+
+    def __init__(self, parts: Sequence[int]):
+        self.parts = list(parts)
+        self.low, self.high, self.best = GRID_LOW, GRID_HIGH, 1.0
+        self.refinements = self.shifts = 0
+
+    @property
+    def done(self) -> bool:
+        return self.refinements == GRID_PASSES
+
+    def grid(self) -> list[float]:
+        step = (self.high - self.low) / (GRID_POINTS - 1)
+        return [self.low + i * step for i in range(GRID_POINTS)]
+
+    def take(self, moments: Mapping[float, Moments], log_size: float) -> None:
+        """Move on with the moments under each power of the grid."""
+        grid, step = self.grid(), (self.high - self.low) / (GRID_POINTS - 1)
+
+        def score(lam: float) -> float:
+            m = moments[lam]
+            variance = m.deviations / m.n
+            return -0.5 * math.log(variance) + (lam - 1) * log_size if variance > 0 and math.isfinite(variance) else -math.inf
+
+        scores = [score(lam) for lam in grid]
         top = max(range(GRID_POINTS), key=scores.__getitem__)
         if not math.isfinite(scores[top]):
             raise ValueError("no power gives this column a finite likelihood")
         best = grid[top]
         if top in (0, GRID_POINTS - 1):
-            if shifts == MAX_SHIFTS:
+            if self.shifts == MAX_SHIFTS:
                 raise ValueError(f"the likelihood still rises at the power {best:.3g}")
-            half = (high - low) / 2
-            low, high = best - half, best + half
-            shifts += 1
-            continue
-        if 0 < top < GRID_POINTS - 1:
-            left, centre, right = scores[top - 1 : top + 2]
-            bend = left - 2 * centre + right
-            if bend < 0:
-                best += 0.5 * step * (left - right) / bend
-        refinements += 1
-        low, high = best - step, best + step
-
-    moments = df.select(yeo_johnson(F.col(column), F.lit(best)).alias("y")).agg(
-        F.avg("y").alias("mean"), F.stddev_pop("y").alias("std")
-    )
-    row = moments.first()
-    return TargetScaling("yeo-johnson", best, row["mean"] or 0.0, row["std"] or 1.0)
+            half = (self.high - self.low) / 2
+            self.low, self.high = best - half, best + half
+            self.shifts += 1
+            return
+        left, centre, right = scores[top - 1 : top + 2]
+        bend = left - 2 * centre + right
+        if bend < 0:
+            best += 0.5 * step * (left - right) / bend
+        self.refinements += 1
+        self.best, self.low, self.high = best, best - step, best + step
+
+
+def _fit_powers(df: DataFrame, sides: Mapping[int, Sequence[int]]) -> dict[int, TargetScaling]:
+    """The scaling of each side, a set of parts of the rows (part, x); a pass serves all sides."""
+    df = stage(df.where("x is not null"), "yeo-johnson").df
+    ends = {r["part"]: (r["low"], r["high"]) for r in df.groupBy("part").agg(F.min("x").alias("low"), F.max("x").alias("high")).collect()}
+    out, searches = {}, {}
+    for side, parts in sides.items():
+        known = [ends[p] for p in parts if p in ends]
+        low, high = (min(x[0] for x in known), max(x[1] for x in known)) if known else (None, None)
+        if low == high:
+            out[side] = TargetScaling("yeo-johnson", 1.0, low or 0.0, 1.0)
+        else:
+            searches[side] = _PowerSearch(parts)
+    while open_searches := [s for s in searches.values() if not s.done]:
+        powers = sorted({lam for s in open_searches for lam in s.grid()})
+        by_power, sizes = _moments(df, powers)
+        for s in open_searches:
+            moments = {lam: sum((by_power.get((p, powers.index(lam)), Moments()) for p in s.parts), Moments()) for lam in s.grid()}
+            s.take(moments, sum((sizes.get(p, Moments()) for p in s.parts), Moments()).mean)
+    if searches:
+        powers = sorted({s.best for s in searches.values()})
+        by_power, _ = _moments(df, powers)
+        for side, s in searches.items():
+            m = sum((by_power.get((p, powers.index(s.best)), Moments()) for p in s.parts), Moments())
+            out[side] = TargetScaling("yeo-johnson", s.best, m.mean, math.sqrt(m.deviations / m.n) or 1.0)
+    return out
+
+
+def _number(column: str) -> Column:
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None))
+
+
+def fit_yeo_johnson(df: DataFrame, column: str) -> TargetScaling:
+    """Maximum-likelihood power by grid refinement, then mean and population deviation.
+
+    A few passes over one column, written once for them; each returns a few rows.
+    NaN counts as missing. A constant or empty column is left as it is; a column
+    that is neither must have a power within reach, or the fit is an error.
+    """
+    return _fit_powers(df.select(F.lit(0).alias("part"), _number(column).alias("x")), {0: [0]})[0]
 
 
 def fit_target_scalings(df: DataFrame, targets=schemas.TARGETS) -> dict[str, TargetScaling]:
@@ -103,6 +163,23 @@ def fit_target_scalings(df: DataFrame, targets=schemas.TARGETS) -> dict[str, Tar
     }
 
 
+def fit_scalings_by_fold(df: DataFrame, targets: Sequence[str], folds: Sequence[int], fold: str = "fold") -> dict[int, dict[str, TargetScaling]]:
+    """For each fold, the scalings of the targets fitted on the rows of all other folds.
+
+    Each pass sums once per fold and serves all of them: a training side is the other folds' moments put together.
+    """
+    out: dict[int, dict[str, TargetScaling]] = {f: {} for f in folds}
+    for t in targets:
+        if t in schemas.LOG_TARGETS:
+            found = dict.fromkeys(folds, TargetScaling("log1p"))
+        else:
+            rows = df.select(F.col(fold).cast("int").alias("part"), _number(t).alias("x"))
+            found = _fit_powers(rows, {f: [g for g in folds if g != f] for f in folds})
+        for f in folds:
+            out[f][t] = found[f]
+    return out
+
+
 def transform_targets(df: DataFrame, scalings: dict[str, TargetScaling]) -> DataFrame:
     """Add ``<target>_t`` columns."""
     return df.withColumns({f"{t}_t": s.apply(F.nanvl(F.col(t).cast("double"), F.lit(None))) for t, s in scalings.items()})

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType
 
 from agroflow import schemas
-from agroflow.operators.encoding import fit_encode
+from agroflow.operators.boosting import LeafwiseModel, LeafwiseOptions, fit_leafwise
 from agroflow.operators.folds import fold_sizes, group_folds, shuffled_folds
 from agroflow.operators.metrics import METRICS, cv_summary, regression_metrics
-from agroflow.operators.targets import TargetScaling, fit_target_scalings, transform_targets
+from agroflow.operators.targets import TargetScaling, fit_scalings_by_fold, fit_target_scalings, transform_targets
+from agroflow.plans.scoring import ColumnStats, FeaturePreparation, ScoringModel, column_stats, encode_texts, mark_codes, nominal_codes, text_columns
 from agroflow.sources.run_log import append_runs, new_token, run_folder, run_records
 from agroflow.sources.workspace import shared_folder, stage
 
@@ -32,19 +34,28 @@ class BoostingPreset:
     column_share: str = "all"
     bins: int = 256
     nominal: bool = False
+    #: Settings of the library's own learner, which then takes the place of MLlib's.
+    leafwise: LeafwiseOptions | None = None
 
 
-# Settings of the three model families that MLlib's boosted trees have, too.
+# Settings of the three model families; those of the first three are what MLlib's boosted trees have, too.
 PRESETS = {
     "depthwise": BoostingPreset("depthwise", 10_000, 9, 0.013556, 48, 0.8, "0.6", 256),
     "leafwise": BoostingPreset("leafwise", 5_000, 8, 0.01, 20, 0.8, "0.8", 256, nominal=True),
     "lossguide": BoostingPreset("lossguide", 2_000, 6, 0.013556, bins=64, nominal=True),
+    "depthwise_native": BoostingPreset("depthwise_native", 10_000, 9, 0.013556, 48, 0.8, "0.6", 256, leafwise=LeafwiseOptions(
+        leaves=1 << 9, l1=0.151021, l2=11.097351, min_gain=1.074052)),
+    "leafwise_native": BoostingPreset("leafwise_native", 5_000, 0, 0.01, 20, 0.8, "0.8", 256, nominal=True, leafwise=LeafwiseOptions(
+        leaves=256, l1=0.0, l2=1.0)),
+    "lossguide_native": BoostingPreset("lossguide_native", 2_000, 6, 0.013556, bins=64, nominal=True, leafwise=LeafwiseOptions(
+        leaves=1 << 6, l2=3.0)),
 }
 
 
 # Fixed value: rounds without a better error before cross-validation stops.
 PATIENCE = 200
-MISSING_FLAG = "_missing"
+#: Models fitted at once; each takes its own jobs to the scheduler.
+FITS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -53,6 +64,8 @@ class TrainingResult:
     scalings: dict[str, TargetScaling]
     predictions: DataFrame
     metrics: DataFrame
+    #: What scores raw rows: by run name, with all that the rows go through.
+    scorers: Mapping[str, ScoringModel] = field(default_factory=dict, kw_only=True)
 
 
 @dataclass(frozen=True)
@@ -90,67 +103,16 @@ def feature_columns(df: DataFrame, targets: Sequence[str] = schemas.TARGETS, dro
     return [c for c in df.columns if c not in {*targets, *drop}]
 
 
-def encode_text_features(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Category codes in place of the feature columns that hold text, and the names of these columns."""
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
-    return (fit_encode(df, texts)[0] if texts else df), texts
-
-
 def _category_columns(df: DataFrame, columns: Sequence[str], texts: Sequence[str]) -> list[str]:
     """Encoded columns: text ones and, in a prepared table, the category columns that already hold codes."""
     coded = [c for c in (*schemas.LABEL_COLUMNS, *schemas.ORDINAL_COLUMNS) if c in columns and isinstance(df.schema[c].dataType, IntegerType)]
     return list(dict.fromkeys([*texts, *coded]))
 
 
-def assemble_features(df: DataFrame, columns: Sequence[str], missing: str = "error") -> DataFrame:
-    """Feature vector column; ``missing="keep"`` lets NULLs through as NaN instead of failing."""
-    return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid=missing).transform(df)
-
-
-@dataclass(frozen=True)
-class Imputation:
-    """What stands in for a missing value of each feature that has any, and the flags that say so."""
-
-    means: Mapping[str, float]
-
-    def flags(self) -> list[str]:
-        return [f"{c}{MISSING_FLAG}" for c in self.means]
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        """Missing values filled, and a 0/1 column beside each of these features."""
-        absent = {c: F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double")) for c in self.means}
-        flags = {f"{c}{MISSING_FLAG}": absent[c].cast("int") for c in self.means}
-        filled = {c: F.when(absent[c], F.lit(m)).otherwise(F.col(f"`{c}`").cast("double")) for c, m in self.means.items()}
-        return df.withColumns(flags).withColumns(filled) if self.means else df
-
-
-def fit_imputation(df: DataFrame, columns: Sequence[str]) -> Imputation:
-    """Means of the features that have missing values, in one pass; a feature without any value gets 0."""
-    value = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns}
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(value[c]).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.avg(value[c]).alias(f"mean_{i}") for i, c in enumerate(columns)],
-    ).first()
-    gaps = {c: found[f"mean_{i}"] or 0.0 for i, c in enumerate(columns) if found[f"n_{i}"] < found["rows"]}
-    return Imputation(gaps)
-
-
 def mark_nominal(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
-    """Tell the learner which columns hold category codes: those with at most ``bins`` codes.
-
-    Codes start at -1 for a missing value; a learner counts categories from 0, so they move up by one.
-    A column with more codes stays a number.
-    """
-    if not columns:
-        return df
-    tops = df.agg(*[F.max(f"`{c}`").alias(c) for c in columns]).first()
-    for c in columns:
-        codes = (tops[c] if tops[c] is not None else -1) + 2
-        if codes <= bins:
-            attribute = {"ml_attr": {"type": "nominal", "name": c, "vals": [str(i - 1) for i in range(codes)]}}
-            df = df.withColumn(c, (F.col(f"`{c}`") + 1).cast("double")).withMetadata(c, attribute)
-    return df
+    """Tell the learner which columns hold category codes: those with at most ``bins`` codes."""
+    tops = ColumnStats.merged(list(column_stats(df, columns).values())).tops if columns else {}
+    return mark_codes(df, nominal_codes(tops, bins))
 
 
 def stopping_round(errors: DataFrame, patience: int, by: Sequence[str] = ()) -> DataFrame:
@@ -171,6 +133,20 @@ def stopping_round(errors: DataFrame, patience: int, by: Sequence[str] = ()) ->
     return stop.select(*by, at_stop["best_round"].alias("best_round"), "stopped_at")
 
 
+def first_trees(model: GBTRegressionModel, rounds: int, spark: SparkSession) -> GBTRegressionModel:
+    """The model after its first ``rounds`` rounds: boosting adds trees one by one, so these are all it had by then."""
+    java, context = model._java_obj, spark.sparkContext
+    package, new_array = context._jvm.org.apache.spark.ml.regression, context._gateway.new_array
+    trees, weights = new_array(package.DecisionTreeRegressionModel, rounds), new_array(context._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(java.trees(), java.treeWeights())):
+        if i < rounds:
+            trees[i], weights[i] = tree, weight
+    cut = package.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
+    cut.setFeaturesCol(model.getFeaturesCol())
+    cut.setPredictionCol(model.getPredictionCol())
+    return GBTRegressionModel(cut)
+
+
 def fit_model(
     train: DataFrame,
     preset: BoostingPreset,
@@ -180,57 +156,71 @@ def fit_model(
     seed: int = 42,
     held_out: DataFrame | None = None,
     patience: int | None = None,
-) -> GBTRegressionModel:
-    """One target's model; with ``patience``, cut back to the best round on the held-out rows.
+    nominal: Mapping[int, int] | None = None,
+) -> GBTRegressionModel | LeafwiseModel:
+    """One target's model; with ``patience``, that of the best round on the held-out rows.
 
-    The error curve comes from one model of all rounds. Boosting with the same seed gives the same first
-    trees, so a second fit of fewer rounds is that model cut short.
+    The library's own learner ends its fit when patience does. MLlib's fits all rounds; the error curve on the
+    held-out rows then says how many of its trees count.
     """
+    if preset.leafwise is not None:
+        options = replace(
+            preset.leafwise, rounds=rounds or preset.rounds, depth=depth or preset.depth or None, step_size=preset.step_size, seed=seed,
+            min_rows=preset.min_rows, row_share=preset.row_share, bins=preset.bins, column_share=1.0 if preset.column_share == "all" else float(preset.column_share),
+        )
+        return fit_leafwise(train, f"{target}_t", options, held_out, patience, f"{target}_pred_t", nominal if preset.nominal else None)
     model = regressor(preset, target, rounds, depth, seed).fit(train)
     if not patience or held_out is None:
         return model
     curve = list(enumerate(model.evaluateEachIteration(held_out, "squared"), start=1))
     errors = train.sparkSession.createDataFrame(curve, "round int, error double")
     best = stopping_round(errors, patience).first()["best_round"]
-    return model if best == len(curve) else regressor(preset, target, best, depth, seed).fit(train)
+    return model if best == len(curve) else first_trees(model, best, train.sparkSession)
+
+
+def fit_at_once(jobs: Mapping[object, Callable[[], object]], at_once: int = FITS_AT_ONCE) -> dict:
+    """The jobs' results by their names, at most ``at_once`` of them running; they share no state but the session."""
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
+@dataclass(frozen=True)
+class _Input:
+    """Encoded rows with their transformed targets, written once for the many passes of training."""
+
+    table: DataFrame
+    dictionary: DataFrame | None
+    nominal: dict[str, int]
+    stats: dict[int, ColumnStats]
 
 
 def _training_input(
-    df: DataFrame,
-    scalings: Mapping[str, TargetScaling],
-    columns: Sequence[str],
-    keep: Sequence[str],
-    missing: str,
-) -> DataFrame:
-    """Vectors, targets and transformed targets, written once for the many passes of training."""
+    df: DataFrame, preset: BoostingPreset, columns: Sequence[str], scalings: Mapping[str, TargetScaling], keep: Sequence[str], by: str | None = None
+) -> _Input:
+    """``df`` is a stored table; its encoded rows are written, and one pass over them gives all statistics, by part."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    if missing == "impute":
-        imputation = fit_imputation(df, columns)
-        df, columns, missing = imputation.apply(df), [*columns, *imputation.flags()], "error"
-    vectors = assemble_features(transform_targets(df, scalings), columns, missing)
-    wanted = [*keep, *scalings, *[f"{t}_t" for t in scalings], "features"]
-    return stage(vectors.select(*dict.fromkeys(wanted)), "training-input").df
-
-
-def _score(
-    rows: DataFrame, models: Mapping[str, GBTRegressionModel], scalings: Mapping[str, TargetScaling], keep: Sequence[str]
-) -> DataFrame:
-    """Predictions in the original scale, one row per input row and target."""
-    for model in models.values():
-        rows = model.transform(rows)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias("target"),
-                F.col(t).cast("double").alias("y"),
-                s.invert(F.col(f"{t}_pred_t")).alias("y_pred"),
-            )
-            for t, s in scalings.items()
-        ]
-    )
-    return rows.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.*")
+    texts = text_columns(df, columns)
+    encoded, dictionary = encode_texts(df, columns)
+    wanted = dict.fromkeys([*keep, *scalings, *[f"{t}_t" for t in scalings], *columns])
+    table = stage(transform_targets(encoded, scalings).select(*[f"`{c}`" for c in wanted]), "training-input").df
+    stats = column_stats(table, columns, by)
+    categories = _category_columns(table, columns, texts) if preset.nominal else []
+    tops = ColumnStats.merged(list(stats.values())).tops
+    return _Input(table, dictionary, nominal_codes({c: tops[c] for c in categories}, preset.bins), stats)
+
+
+def _preparation(made: _Input, columns: Sequence[str], missing: str, preset: BoostingPreset, parts: Sequence[int] | None = None) -> FeaturePreparation:
+    """How rows become vectors, from the statistics of the given parts; flags do not depend on the parts."""
+    plain = [c for c in columns if c not in made.nominal]
+    imputation = None
+    if missing == "impute" and preset.leafwise is None:
+        whole = ColumnStats.merged(list(made.stats.values()))
+        chosen = ColumnStats.merged([s for p, s in made.stats.items() if parts is None or p in parts])
+        imputation = chosen.imputation(plain, whole.gaps())
+    return FeaturePreparation(tuple(columns), made.dictionary, made.nominal, imputation)
 
 
 def train_multi_target(
@@ -244,27 +234,34 @@ def train_multi_target(
     keep: Sequence[str] = ("id",),
     log_dir: str | None = None,
     experiment: str | None = None,
+    at_once: int = FITS_AT_ONCE,
 ) -> TrainingResult:
     """One boosted-tree model per target, scored on its own training rows.
 
-    A feature with missing values is filled with its mean and gets a flag beside it. Text features are encoded;
-    presets that know categories take codes as such. A target that cannot be scored on some row is an error.
+    For MLlib's learner a feature with missing values is filled with its mean and gets a flag beside it; the library's
+    own learner finds a side for them. Text features are encoded; presets that know categories take codes as such. A
+    target that cannot be scored on some row is an error. ``scorers`` of the result score raw rows; with ``log_dir``
+    they are saved in the run's folder.
     """
     chosen = PRESETS[preset]
     keep = [c for c in keep if c in df.columns]
     columns = feature_columns(df, targets, ["id"])
-    df, texts = encode_text_features(df, columns)
-    df = mark_nominal(df, _category_columns(df, columns, texts) if chosen.nominal else [], chosen.bins)
+    df = stage(df, "training-rows").df
     scalings = fit_target_scalings(df, targets)
-    table = _training_input(df, scalings, columns, keep, missing)
-    models = {t: fit_model(table, chosen, t, rounds, depth, seed) for t in targets}
-    predictions = _score(table, models, scalings, keep).withColumn("model", F.lit(chosen.family))
+    made = _training_input(df, chosen, columns, scalings, keep)
+    preparation = _preparation(made, columns, missing, chosen)
+    rows = stage(preparation.finish(made.table).select(*dict.fromkeys([*keep, *targets, *[f"{t}_t" for t in targets], "features"])), "training-vectors").df
+    places = preparation.nominal_places()
+    models = fit_at_once({t: lambda t=t: fit_model(rows, chosen, t, rounds, depth, seed, nominal=places) for t in targets}, at_once)
+    scorer = ScoringModel(chosen.family, preparation, scalings, models)
+    predictions = scorer.predictions(rows, keep, known=True).withColumn("model", F.lit(chosen.family))
     metrics = stage(regression_metrics(predictions, ["model", "target"]), "metrics").df
     _require_complete(metrics)
+    scorers = {f"{chosen.family}_train_full": scorer}
     if log_dir:
-        _log(metrics.withColumn("run_name", F.lit(f"{chosen.family}_train_full")), {f"{chosen.family}_train_full": models},
-             scalings, columns, _parameters(chosen, rounds, depth, seed), chosen.family, log_dir, experiment or f"multi_target_{chosen.family}")
-    return TrainingResult(models, scalings, predictions, metrics)
+        _log(metrics.withColumn("run_name", F.lit(f"{chosen.family}_train_full")), scorers, scalings,
+             _parameters(chosen, rounds, depth, seed), chosen.family, log_dir, experiment or f"multi_target_{chosen.family}")
+    return TrainingResult(models, scalings, predictions, metrics, scorers=scorers)
 
 
 def cross_validate(
@@ -281,19 +278,20 @@ def cross_validate(
     fit_scaling_on_train: bool = False,
     log_dir: str | None = None,
     experiment: str = "multi_target_cv",
+    at_once: int = FITS_AT_ONCE,
 ) -> CrossValidation:
-    """Train and score every target on every fold.
+    """Train and score every target on every fold, ``at_once`` models at a time.
 
     Rows of a group share a fold; without the group column the folds are
-    shuffled rows. Targets are scaled on all rows, or per fold on its training
-    rows with ``fit_scaling_on_train``. A fold's model is cut back to its best
+    shuffled rows. Missing features are filled with means of the fold's training rows. Targets are scaled on all
+    rows, or per fold on its training rows with ``fit_scaling_on_train``. Either way one pass gives the numbers of
+    all folds: a training side is the other folds' statistics put together. A fold's model is that of its best
     round on the held-out rows once ``patience`` rounds brought nothing better.
     """
     chosen = PRESETS[preset]
     grouped = group is not None and group in df.columns
     columns = feature_columns(df, targets, [group] if grouped else [])
-    df, texts = encode_text_features(df, columns)
-    df = mark_nominal(df, _category_columns(df, columns, texts) if chosen.nominal else [], chosen.bins)
+    df = stage(df, "training-rows").df
     if grouped:
         folded = group_folds(df, group, n_splits, seed)
         splitter = f"group folds (n_splits={n_splits}, group={group})"
@@ -301,30 +299,38 @@ def cross_validate(
         folded = shuffled_folds(df, df.columns, n_splits, seed)
         splitter = f"shuffled folds (n_splits={n_splits}, seed={seed})"
     keep = [group, "fold"] if grouped else ["fold"]
+    folds = list(range(1, n_splits + 1))
     scalings = fit_target_scalings(df, targets)
-    table = _training_input(folded, scalings, columns, keep, missing)
+    made = _training_input(folded, chosen, columns, scalings, keep, "fold")
+    by_fold = fit_scalings_by_fold(made.table, targets, folds) if fit_scaling_on_train else dict.fromkeys(folds, scalings)
 
-    models: dict[str, dict] = {}
-    scored = []
-    for fold in range(1, n_splits + 1):
+    scorers, jobs, tests = {}, {}, {}
+    for fold in folds:
         held_out = F.col("fold") == fold
-        rows, fold_scalings = table, scalings
-        if fit_scaling_on_train:
-            fold_scalings = fit_target_scalings(table.where(~held_out), targets)
-            rows = transform_targets(table, fold_scalings)
-        train, test = rows.where(~held_out), rows.where(held_out)
-        fitted = {t: fit_model(train, chosen, t, rounds, depth, seed, test, patience) for t in targets}
-        models[f"{chosen.family}_cv_fold{fold}"] = fitted
-        scored.append(_score(test, fitted, fold_scalings, keep))
+        preparation = _preparation(made, columns, missing, chosen, [f for f in folds if f != fold])
+        rows = transform_targets(made.table, by_fold[fold]) if fit_scaling_on_train else made.table
+        vectors = preparation.finish(rows).select(*keep, *targets, *[f"{t}_t" for t in targets], "features")
+        train, tests[fold] = vectors.where(~held_out), vectors.where(held_out)
+        scorers[fold] = ScoringModel(chosen.family, preparation, by_fold[fold], {})
+        places = preparation.nominal_places()
+        jobs |= {
+            (fold, t): lambda t=t, train=train, test=tests[fold], places=places: fit_model(train, chosen, t, rounds, depth, seed, test, patience, places)
+            for t in targets
+        }
+    fitted = fit_at_once(jobs, at_once)
+    scorers = {fold: replace(s, models={t: fitted[fold, t] for t in targets}) for fold, s in scorers.items()}
+    scored = [s.predictions(tests[fold], keep, known=True) for fold, s in scorers.items()]
     predictions = reduce(DataFrame.unionByName, scored).withColumn("model", F.lit(chosen.family))
     metrics = stage(regression_metrics(predictions, ["model", "target", "fold"]), "cv-metrics").df
     _require_complete(metrics)
+    named = {f"{chosen.family}_cv_fold{fold}": s for fold, s in scorers.items()}
     if log_dir:
-        named = metrics.withColumn("run_name", F.concat(F.lit(f"{chosen.family}_cv_fold"), "fold"))
+        runs = metrics.withColumn("run_name", F.concat(F.lit(f"{chosen.family}_cv_fold"), "fold"))
         parameters = {**_parameters(chosen, rounds, depth, seed), "patience": patience, "n_splits": n_splits}
-        _log(named, models, scalings, columns, parameters, chosen.family, log_dir, experiment)
+        _log(runs, named, scalings, parameters, chosen.family, log_dir, experiment)
     return CrossValidation(
-        models, scalings, predictions, metrics, cv_summary(metrics), fold_sizes(table), n_splits, splitter
+        {name: dict(s.models) for name, s in named.items()}, scalings, predictions, metrics, cv_summary(metrics), fold_sizes(made.table),
+        n_splits, splitter, scorers=named,
     )
 
 
@@ -335,19 +341,27 @@ def _require_complete(metrics: DataFrame) -> None:
         raise ValueError(f"rows without a target value or a prediction: {gaps}")
 
 
+def _own_parameters(preset: BoostingPreset) -> dict[str, object]:
+    """What only the library's own learner has."""
+    own = preset.leafwise
+    return {"leafwise": own is not None} if own is None else {"leafwise": True, "leaves": own.leaves, "l1": own.l1, "l2": own.l2, "min_gain": own.min_gain}
+
+
 def _parameters(preset: BoostingPreset, rounds: int | None, depth: int | None, seed: int) -> dict[str, object]:
-    return {**asdict(preset), "rounds": rounds or preset.rounds, "depth": depth or preset.depth, "seed": seed}
+    return {**asdict(preset), "rounds": rounds or preset.rounds, "depth": depth or preset.depth, "seed": seed} | _own_parameters(preset)
 
 
-def _log(metrics, models, scalings, columns, parameters, family, log_dir, experiment) -> None:
-    """Save every model in its run's own folder and append one record per run."""
+def _log(metrics, scorers, scalings, parameters, family, log_dir, experiment) -> None:
+    """Save every run's scorer in the run's own folder and append one record per run."""
+    spark = metrics.sparkSession
     root = f"{log_dir.rstrip('/')}/{experiment}"
-    model_class = f"{GBTRegressionModel.__module__}.{GBTRegressionModel.__name__}"
     token = new_token()
-    for run_name, fitted in models.items():
-        for target, model in fitted.items():
-            model.save(f"{run_folder(root, token, run_name)}/models/{target}")
-    append_runs(run_records(metrics, family, list(columns), root, scalings, model_class, parameters, token), experiment, log_dir)
+    first = next(iter(scorers.values()))
+    kind = type(next(iter(first.models.values())))
+    for run_name, scorer in scorers.items():
+        scorer.save(run_folder(root, token, run_name), spark)
+    names = first.preparation.names
+    append_runs(run_records(metrics, family, names, root, scalings, f"{kind.__module__}.{kind.__name__}", parameters, token), experiment, log_dir)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

@@ -1,4 +1,9 @@
-"""Append-only log of training runs: one JSON record per run."""
+"""Log of training runs: one JSON record per run.
+
+Every append writes a folder of its own, so writers do not meet. A record says how many its batch has: a batch that
+lacks some, because its writer was stopped, does not count. Compaction writes all complete batches as one and then
+removes them; until they are gone their records occur twice and are read once.
+"""
 
 from __future__ import annotations
 
@@ -91,18 +96,32 @@ def _text_map(values: Mapping[str, object]) -> Column:
 
 
 def append_runs(records: DataFrame, experiment: str, base_dir: str) -> None:
-    """Add records to the log; earlier runs stay."""
-    (
-        records.withColumn("experiment_name", F.lit(experiment))
-        .write.mode("append")
-        .partitionBy("experiment_name")
-        .json(_log_path(base_dir))
-    )
+    """Add records to the log; earlier runs stay, and so do those of others that write at the same time."""
+    _write_batch(records.withColumn("experiment_name", F.lit(experiment)), base_dir, new_token())
+
+
+def _write_batch(records: DataFrame, base_dir: str, batch: str) -> None:
+    size = records.count()
+    if size:
+        whole = records.withColumns({"batch": F.lit(batch), "batch_size": F.lit(size)})
+        whole.coalesce(1).write.mode("error").json(f"{_log_path(base_dir)}/{batch}")
+
+
+def _complete_records(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The records of complete batches, with their files."""
+    schema = f"{schemas.RUN_LOG_SCHEMA}, batch string, batch_size long"
+    found = spark.read.schema(schema).option("recursiveFileLookup", True).json(_log_path(base_dir)).withColumn("file", F.col("_metadata.file_path"))
+    # A record cut short is no JSON. Logs of one folder per experiment name it in the path only.
+    named = F.nullif(F.regexp_extract("file", r"/experiment_name=([^/]+)/", 1), F.lit(""))
+    found = found.where(F.col("run_id").isNotNull()).withColumn("experiment_name", F.coalesce("experiment_name", named))
+    sizes = found.groupBy("batch").agg(F.count(F.lit(1)).alias("found"))
+    whole = found.join(sizes.withColumnRenamed("batch", "of"), F.col("batch").eqNullSafe(F.col("of")))
+    return whole.where(F.col("batch").isNull() | (F.col("found") == F.col("batch_size"))).drop("of", "found")
 
 
 def read_runs(spark: SparkSession, base_dir: str, experiment: str | None = None, latest: bool = False) -> DataFrame:
     """Run records; ``latest`` keeps the newest record of each run name."""
-    runs = spark.read.schema(schemas.RUN_LOG_SCHEMA).json(_log_path(base_dir))
+    runs = _complete_records(spark, base_dir).dropDuplicates(["run_id", "timestamp"]).drop("batch", "batch_size", "file")
     if experiment is not None:
         runs = runs.where(F.col("experiment_name") == experiment)
     if latest:
@@ -111,6 +130,21 @@ def read_runs(spark: SparkSession, base_dir: str, experiment: str | None = None,
     return runs
 
 
+def compact_runs(spark: SparkSession, base_dir: str) -> int:
+    """Write all complete batches as one and remove them; returns how many files they had. Batches that are still being
+    written, or were cut short, are left alone."""
+    found = _complete_records(spark, base_dir)
+    files = [r["file"] for r in found.select("file").distinct().collect()]
+    if len(files) > 1:
+        known = found.where(F.col("file").isin(files)).dropDuplicates(["run_id", "timestamp"])
+        _write_batch(known.drop("batch", "batch_size", "file"), base_dir, new_token())
+        context = spark.sparkContext
+        for file in files:
+            path = context._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, False)
+    return len(files)
+
+
 def flatten_runs(runs: DataFrame) -> DataFrame:
     """One row per run and target with its metrics; the fold number comes from the run name's last part."""
     last = F.substring_index("run_name", "_", -1)

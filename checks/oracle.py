@@ -253,6 +253,33 @@ def _powers(grid: str, prefix: str, step: float) -> str:
 {prefix}_best AS (SELECT lam + {step} / 2 * (a - b) / (a - 2 * ll + b) AS lam FROM {prefix}_near ORDER BY ll DESC LIMIT 1)"""
 
 
+# One split with penalties: every cut of every feature, missing values on either side.
+STUMP = """
+stump_rows AS (
+  SELECT manu_daytoplanting_1 AS a, manu_amount_1 AS b, n_org_amount AS c,
+         no3_raw + CASE WHEN manu_daytoplanting_1 IS NULL OR manu_daytoplanting_1 >= 10 THEN 100 ELSE 0 END AS y FROM fx_outputs),
+stump_base AS (SELECT AVG(y) AS m FROM stump_rows),
+stump_long AS (
+  SELECT f, CASE f WHEN 0 THEN a WHEN 1 THEN b ELSE c END AS v, COUNT(*) AS n, SUM(m - y) AS g
+  FROM stump_rows, stump_base, RANGE(3) r(f) GROUP BY ALL),
+stump_tried AS (
+  SELECT cut.f, cut.v, side, SUM(d.n) AS n, SUM(d.g) AS g,
+         SUM(CASE WHEN d.v <= cut.v OR d.v IS NULL AND side = 1 THEN d.n ELSE 0 END) AS nl,
+         SUM(CASE WHEN d.v <= cut.v OR d.v IS NULL AND side = 1 THEN d.g ELSE 0 END) AS gl
+  FROM stump_long cut JOIN stump_long d ON cut.f = d.f, RANGE(2) s(side) WHERE cut.v IS NOT NULL GROUP BY ALL),
+stump_best AS (
+  SELECT * FROM stump_tried WHERE nl > 0 AND nl < n
+  ORDER BY POWER(GREATEST(ABS(gl) - 5, 0), 2) / (nl + 2) + POWER(GREATEST(ABS(g - gl) - 5, 0), 2) / (n - nl + 2)
+           - POWER(GREATEST(ABS(g) - 5, 0), 2) / (n + 2) DESC, f, v, side LIMIT 1),
+stump_sides AS (
+  SELECT y, CASE f WHEN 0 THEN a WHEN 1 THEN b ELSE c END <= v OR CASE f WHEN 0 THEN a WHEN 1 THEN b ELSE c END IS NULL AND side = 1 AS l
+  FROM stump_rows, stump_best),
+stump_leaves AS (
+  SELECT ROUND(m - SIGN(s.g) * GREATEST(ABS(s.g) - 5, 0) / (s.n + 2), 6) AS y_pred, s.n, ROUND(s.mean_y, 6) AS mean_y
+  FROM stump_base, (SELECT COALESCE(l, FALSE) AS l, COUNT(*) AS n, AVG(y) AS mean_y, SUM(m - y) AS g
+                    FROM stump_sides, stump_base GROUP BY 1) s)
+"""
+
 # A coarse grid over all powers, then a fine one around its best.
 YJ_FIT = f"""
 vals AS (SELECT soc AS x, COUNT(*) AS n FROM o_targets GROUP BY soc),
@@ -441,4 +468,19 @@ FROM news n JOIN stops s ON s.l_suppkey = n.l_suppkey AND n.round = s.stopped_at
     "assemble_features": with_views(
         f"SELECT id, year, CAST({len(_features)} AS INT) AS width, "
         f"ROUND({' + '.join(f'COALESCE({c}, -1)' for c in _features)}, 3) AS total FROM o_training"),
+    "csv_quarantine": with_views(
+        "SELECT id, CAST(date AS VARCHAR) AS date, prec, CASE WHEN id % 41 = 7 THEN NULL ELSE tavg END AS tavg FROM fx_climate WHERE id % 37 <> 5"),
+    "csv_rejected_rows": with_views(
+        "SELECT id, CAST(date AS VARCHAR) AS date, CONCAT('about ', id) AS prec, 'prec (double)' AS reason FROM fx_climate WHERE id % 37 = 5"),
+    "multi_file_union": with_views(
+        "SELECT id, CAST(year AS BIGINT) AS year, CASE WHEN id % 3 <> 1 THEN n_org_amount END AS n_org_amount, "
+        "CASE WHEN id % 3 <> 0 THEN soil END AS soil FROM fx_outputs"),
+    "bucketed_join": with_views(
+        "SELECT o.id, year, soil, climate_id, site_id FROM fx_outputs o JOIN fx_sims s ON s.event_id = o.id"),
+    "run_log_compacted": with_views(
+        f"SELECT experiment_name, target, fold, {rounded(['rmse', 'mae', 'r2'])} FROM o_metrics, (VALUES ('a'), ('b')) e(experiment_name)"),
+    "train_stump": with_views("SELECT * FROM stump_leaves", STUMP),
+    "score_saved_model": with_views(
+        "SELECT t.target, COUNT(*) AS n, COUNT(*) AS n_finite, CAST(0 AS BIGINT) AS n_differing FROM o_training, "
+        "(VALUES ('n2o'), ('no3'), ('yield'), ('soc')) t(target) WHERE id % 4 = 0 GROUP BY t.target"),
 }

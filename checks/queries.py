@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from agroflow import schemas
 from agroflow.functions.measures import aridity_class, yeo_johnson
-from agroflow.operators import cleaning, climate, encoding, events, features, folds, metrics, rows, targets
-from agroflow.plans import preparation, report, training, training_table
-from agroflow.sources import run_log, tables
+from agroflow.operators import boosting, cleaning, climate, encoding, events, features, folds, metrics, rows, targets
+from agroflow.plans import preparation, report, scoring, training, training_table
+from agroflow.sources import run_log, storage, tables
 from agroflow.sources.workspace import fresh_path, stage
 from checks.views import EDGE_YEARS, RAW_NAMES, Tables
 
@@ -98,6 +98,58 @@ def csv_class_scan(t: Tables) -> DataFrame:
     return tables.read_climate_classes(t.spark, source)
 
 
+def _spoilt_climate(t: Tables) -> str:
+    """Climate text in which some rain is no number and some temperatures are marked as missing."""
+    path = fresh_path(t.spark, "climate-csv")
+    rain = F.when(F.col("id") % 37 == 5, F.concat(F.lit("about "), F.col("id"))).otherwise(F.col("prec").cast("string"))
+    tables.write_csv(t.climate.select("id", "date", rain.alias("prec"), F.when(F.col("id") % 41 == 7, "NA").otherwise(F.col("tavg").cast("string")).alias("tavg")), path)
+    return path
+
+
+@query
+def csv_quarantine(t: Tables) -> DataFrame:
+    """The rows that stay when malformed ones are tolerated."""
+    kept = tables.read_csv(t.spark, _spoilt_climate(t), schemas.CLIMATE_TYPES, tolerate=0.9)
+    return kept.select("id", "date", "prec", "tavg")
+
+
+@query
+def csv_rejected_rows(t: Tables) -> DataFrame:
+    """The table that a refused read leaves behind."""
+    try:
+        tables.read_csv(t.spark, _spoilt_climate(t), schemas.CLIMATE_TYPES)
+    except tables.MalformedValues as error:
+        rejected = t.spark.read.parquet(error.rejected)
+        fields = F.split("text", ",")
+        return rejected.select(fields[0].cast("bigint").alias("id"), fields[1].alias("date"), fields[2].alias("prec"), "reason")
+    return t.spark.createDataFrame([], "id bigint, date string, prec string, reason string")
+
+
+@query
+def multi_file_union(t: Tables) -> DataFrame:
+    """Files of one table whose columns and types differ."""
+    whole = t.outputs
+    parts = (
+        whole.where("id % 3 = 0").select("id", F.col("year").cast("smallint").alias("year"), "n_org_amount"),
+        whole.where("id % 3 = 1").select(F.col("year").cast("bigint").alias("year"), "soil", "id"),
+        whole.where("id % 3 = 2").select("id", "year", F.col("n_org_amount").cast("int").alias("n_org_amount"), "soil"),
+    )
+    paths = [fresh_path(t.spark, "part") for _ in parts]
+    for part, path in zip(parts, paths):
+        tables.write_parquet(part, path)
+    return tables.read_parquet(t.spark, *paths).select("id", "year", "n_org_amount", "soil")
+
+
+@query
+def bucketed_join(t: Tables) -> DataFrame:
+    """The panel and the simulations stored by id, joined where they lie."""
+    token = run_log.new_token()
+    sims = t.sims.select(F.col("event_id").alias("id"), "climate_id", "site_id")
+    panel = storage.write_bucketed(t.outputs.select("id", "year", "soil"), f"panel_{token}", ["id"], 8)
+    storage.write_bucketed(sims, f"sims_{token}", ["id"], 8)
+    return storage.join_stored(panel, f"sims_{token}", ["id"]).select("id", "year", "soil", "climate_id", "site_id")
+
+
 @query
 def csv_inferred_types(t: Tables) -> DataFrame:
     """Columns that no declaration names keep the type of their values."""
@@ -500,6 +552,17 @@ def cv_report_from_log(t: Tables) -> DataFrame:
     return _rounded(report.report(t.spark, path, "cv"), metrics.METRICS)
 
 
+@query
+def run_log_compacted(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "runs")
+    named = _fold_metrics(t).withColumn("run_name", F.concat(F.lit("trees_cv_fold"), F.col("fold")))
+    for experiment in ("a", "b"):
+        run_log.append_runs(run_log.run_records(named, "depthwise", ["a"], path), experiment, path)
+    run_log.compact_runs(t.spark, path)
+    flat = run_log.flatten_runs(run_log.read_runs(t.spark, path))
+    return _rounded(flat.select("experiment_name", "target", "fold", "rmse", "mae", "r2"), metrics.METRICS)
+
+
 @query
 def cv_summary_file(t: Tables) -> DataFrame:
     path, per_fold = fresh_path(t.spark, "cv-summary"), stage(_fold_metrics(t), "fold-metrics").df
@@ -553,7 +616,7 @@ def _training_rows(t: Tables) -> DataFrame:
 def assemble_features(t: Tables) -> DataFrame:
     table = _training_rows(t)
     columns = training.feature_columns(table)
-    vectors = training.assemble_features(table, columns).withColumn("values", vector_to_array("features"))
+    vectors = scoring.assemble_features(table, columns).withColumn("values", vector_to_array("features"))
     return vectors.select(
         "id", "year", F.size("values").alias("width"), F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 3)
         .alias("total"),
@@ -577,3 +640,48 @@ def cv_train(t: Tables) -> DataFrame:
     """Rows scored on each target's folds."""
     table = stage(_training_table(t), "training-table").df
     return _scored(training.cross_validate(table, rounds=ROUNDS, depth=DEPTH).predictions, ["target", "fold"])
+
+
+@query
+def train_metrics(t: Tables) -> DataFrame:
+    """Metrics and tree counts of the library's own learner on each fold, ended by patience."""
+    table = stage(_training_table(t), "training-table").df
+    cv = training.cross_validate(table, "lossguide_native", rounds=4, depth=3, patience=1, targets=("no3", "soc"), n_splits=2)
+    trees = [(run.rsplit("fold", 1)[1], target, model.getNumTrees) for run, fitted in cv.models.items() for target, model in fitted.items()]
+    counted = t.spark.createDataFrame([(int(fold), target, n) for fold, target, n in trees], "fold int, target string, n_trees int")
+    return _rounded(cv.metrics.join(F.broadcast(counted), ["fold", "target"]), metrics.METRICS).select("target", "fold", "n", "n_trees", *metrics.METRICS)
+
+
+@query
+def train_stump(t: Tables) -> DataFrame:
+    """The two leaves of one split with penalties, where the signal lies in missing and in large values."""
+    late = F.col("manu_daytoplanting_1").isNull() | (F.col("manu_daytoplanting_1") >= 10)
+    features = ["manu_daytoplanting_1", "manu_amount_1", "n_org_amount"]
+    rows = t.outputs.withColumnsRenamed(PLAIN_NAMES).select(*features, (F.col("no3_raw") + F.when(late, 100).otherwise(0)).alias("y"))
+    rows = stage(scoring.assemble_features(rows, features, "keep").select("features", "y"), "stump-rows").df
+    options = boosting.LeafwiseOptions(rounds=1, leaves=2, step_size=1.0, l1=5.0, l2=2.0, min_gain=1.0)
+    scored = boosting.fit_leafwise(rows, "y", options, prediction="y_pred").transform(rows)
+    leaves = scored.groupBy(F.round("y_pred", 6).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean_y"))
+    return _rounded(leaves, ["mean_y"])
+
+
+@query
+def score_saved_model(t: Tables) -> DataFrame:
+    """Rows scored by a model read back from its run's folder: with gaps, unseen text and no targets."""
+    site = F.when(F.col("id") % 3 == 0, "field").when(F.col("id") % 3 == 1, "meadow")
+    table = stage(_training_table(t).withColumn("site", site), "training-table").df
+    log, new = fresh_path(t.spark, "runs"), F.col("id") % 4 == 0
+    fitted = training.train_multi_target(table.where(~new), "lossguide", rounds=ROUNDS, depth=DEPTH, log_dir=log)
+    gap = F.col("id") % 8 == 0
+    rows = table.where(new).drop(*schemas.TARGETS).withColumns({
+        "site": F.when(gap, "orchard").otherwise(F.col("site")), "n_org_amount": F.when(gap, F.lit(None)).otherwise(F.col("n_org_amount")),
+    })
+    folder = run_log.read_runs(t.spark, log, latest=True).first()["artifacts_dir"]
+    loaded = scoring.ScoringModel.load(folder, t.spark)
+    key = ["id", "year", "target"]
+    here = next(iter(fitted.scorers.values())).score(rows, key[:2], unseen="missing").withColumnRenamed("y_pred", "y_here")
+    both = loaded.score(rows, key[:2], unseen="missing").join(here, key)
+    finite = F.count_if(F.col("y_pred").isNotNull() & ~F.isnan("y_pred"))
+    return both.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), finite.alias("n_finite"), F.count_if(F.abs(F.col("y_pred") - F.col("y_here")) > 1e-9).alias("n_differing")
+    )

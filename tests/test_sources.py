@@ -77,3 +77,93 @@ def test_error_names_the_table_of_all_unseen_values(spark):
         encoding.apply_encoding(many, known)
     path = str(raised.value).rsplit(" ", 1)[1]
     assert spark.read.json(path).count() == 50 and "'c': 50" in str(raised.value)
+
+
+def test_markers_stand_for_missing_values(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "id,date,tavg,prec\n1,2015-05-01,NA,2\n2,2015-05-02,1, n/a \n3,NULL,nan,-\n")
+    with pytest.raises(tables.MalformedValues, match="prec"):
+        tables.read_climate(spark, path)
+    got = tables.read_csv(spark, path, {"id": "bigint", "prec": "double"}, missing=(*tables.MISSING_MARKERS, "-"))
+    assert got.dtypes[:2] == [("id", "bigint"), ("date", "date")]
+    assert sorted(map(tuple, got.select("id", "tavg", "prec").collect())) == [(1, None, 2.0), (2, 1.0, None), (3, None, None)]
+
+
+def test_rejected_rows_go_to_a_table(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "id,prec,note\n1,2.5,a\nx,3,b\n3,y,c\n4,1\n5,1,e,f\n6,6,g\nq,z,h\n")
+    types = {"id": "bigint", "prec": "double"}
+    with pytest.raises(tables.MalformedValues, match="5 of 7 rows") as raised:
+        tables.read_csv(spark, path, types)
+    found = {r["text"]: (r["reason"], r["file"].endswith("c.csv")) for r in spark.read.parquet(raised.value.rejected).collect()}
+    assert found == {"x,3,b": ("id (bigint)", True), "3,y,c": ("prec (double)", True), "4,1": ("number of fields", True),
+                     "5,1,e,f": ("number of fields", True), "q,z,h": ("id (bigint), prec (double)", True)}
+    target = str(tmp_path / "rejected")
+    kept = tables.read_csv(spark, path, types, tolerate=0.8, rejected_path=target)
+    assert sorted(map(tuple, kept.collect())) == [(1, 2.5, "a"), (6, 6.0, "g")]
+    assert spark.read.parquet(target).count() == 5
+    with pytest.raises(tables.MalformedValues):
+        tables.read_csv(spark, path, types, tolerate=0.5)
+
+
+def test_undeclared_types_follow_the_rows_that_stay(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "id,n\n1,5\nx,word\n3,7\n")
+    assert tables.read_csv(spark, path, {"id": "bigint"}, tolerate=0.5).dtypes == [("id", "bigint"), ("n", "bigint")]
+
+
+def parts(spark, tmp_path, *frames):
+    out = []
+    for i, df in enumerate(frames):
+        out.append(str(tmp_path / f"p{i}"))
+        df.coalesce(1).write.parquet(out[-1])
+    return out
+
+
+def test_files_with_other_columns_and_types_are_united(spark, tmp_path):
+    a = spark.createDataFrame([(1, 1.5)], "id int, v float")
+    b = spark.createDataFrame([(2**40, 7, "x")], "id bigint, v int, extra string")
+    c = spark.createDataFrame([("y", datetime.date(2020, 1, 2))], "extra string, day date")
+    d = spark.createDataFrame([(datetime.datetime(2020, 1, 2, 3), 4)], "day timestamp, id smallint")
+    paths = parts(spark, tmp_path, a, b, c, d)
+    for order in (paths, paths[::-1], [paths[2], paths[0], paths[3], paths[1]]):
+        df = tables.read_parquet(spark, *order)
+        assert dict(df.dtypes) == {"id": "bigint", "v": "double", "extra": "string", "day": "timestamp"}
+        rows_ = sorted(df.select("id", "v", "extra", F.col("day").cast("string")).collect(), key=str)
+        assert [tuple(r) for r in rows_] == sorted([(1, 1.5, None, None), (2**40, 7.0, "x", None), (None, None, "y", "2020-01-02 00:00:00"), (4, None, None, "2020-01-02 03:00:00")], key=str)
+
+
+def test_one_folder_of_files_that_differ(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1)], "id int, v int").write.parquet(f"{folder}/year=2000")
+    spark.createDataFrame([(2, 2.5, "x")], "id bigint, v double, extra string").write.parquet(f"{folder}/year=2001")
+    spark.createDataFrame([(3, "y")], "id int, extra string").write.parquet(f"{folder}/year=2002")
+    df = tables.read_parquet(spark, folder)
+    assert sorted(map(tuple, df.select("id", "v", "extra", "year").collect())) == [(1, 1.0, None, 2000), (2, 2.5, "x", 2001), (3, None, "y", 2002)]
+
+
+def test_conflicts_between_files_are_errors(spark, tmp_path):
+    number, text, upper = (spark.createDataFrame([x], s) for x, s in (((1,), "id int"), (("a",), "id string"), ((2,), "ID bigint")))
+    paths = parts(spark, tmp_path, number, text, upper)
+    with pytest.raises(tables.SchemaConflict, match="id .*string"):
+        tables.read_parquet(spark, paths[0], paths[1])
+    both = tables.read_parquet(spark, paths[0], paths[2])
+    assert both.dtypes == [("id", "bigint")] and sorted(r[0] for r in both.collect()) == [1, 2]
+
+
+def test_filters_reach_the_files_of_every_part(spark, tmp_path, plan_of):
+    paths = parts(spark, tmp_path, spark.createDataFrame([(1, 1)], "id int, v int"), spark.createDataFrame([(2, 5.0)], "id int, v double"))
+    df = tables.read_parquet(spark, *paths, where=F.col("id") > 1)
+    assert [tuple(r) for r in df.collect()] == [(2, 5.0)]
+    assert plan_of(df).count("GreaterThan(id,1)") == 2
+
+
+@pytest.mark.parametrize("a, b, wanted", [
+    ("tinyint", "smallint", "smallint"), ("int", "float", "double"), ("smallint", "float", "float"), ("bigint", "double", "double"),
+    ("date", "timestamp", "timestamp"), ("decimal(5,2)", "decimal(6,4)", "decimal(7,4)"), ("decimal(5,2)", "int", None),
+    ("string", "int", None), ("boolean", "int", None), ("void", "string", "string"), ("array<int>", "array<int>", "array<int>"),
+    ("array<int>", "array<bigint>", None), ("timestamp", "timestamp_ntz", None), ("decimal(38,0)", "decimal(38,10)", None),
+])
+def test_types_widen_by_rule(spark, a, b, wanted):
+    from pyspark.sql.types import DataType
+
+    for x, y in ((a, b), (b, a)):
+        kind = tables.common_type(DataType.fromDDL(x), DataType.fromDDL(y))
+        assert (kind and kind.simpleString()) == wanted

@@ -5,7 +5,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from agroflow.operators.metrics import cv_report
-from agroflow.plans import report, training
+from agroflow.plans import report, scoring, training
 from agroflow.sources.run_log import flatten_runs, metric_rows, parameter_rows, read_runs
 from checks.queries import _training_rows
 from checks.views import Tables
@@ -98,7 +98,7 @@ def test_stopping_round(spark, errors, patience, best, stopped):
 def test_missing_features_are_imputed_and_flagged(spark):
     rows = [(i, float(i % 7), None if i % 3 == 0 else float(i % 5), float("nan") if i % 4 == 0 else 1.0, None) for i in range(60)]
     df = spark.createDataFrame(rows, "id int, soc double, a double, b double, empty double")
-    imputation = training.fit_imputation(df, ["a", "b", "empty"])
+    imputation = scoring.fit_imputation(df, ["a", "b", "empty"])
     known = [r[2] for r in rows if r[2] is not None]
     assert imputation.means == {"a": pytest.approx(sum(known) / len(known)), "b": 1.0, "empty": 0.0}
     filled = imputation.apply(df)
@@ -159,5 +159,5 @@ def test_text_features_are_encoded(spark):
 def test_missing_features_are_reported(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 3.0)], "id int, a double, b double")
     with pytest.raises(Exception, match="null|NaN|handleInvalid"):
-        training.assemble_features(df, ["a", "b"]).collect()
-    assert training.assemble_features(df, ["a", "b"], missing="keep").count() == 2
+        scoring.assemble_features(df, ["a", "b"]).collect()
+    assert scoring.assemble_features(df, ["a", "b"], missing="keep").count() == 2
