@@ -18,7 +18,7 @@ def table(spark):
     return _training_rows(Tables(spark, "/root/testdata/sf0.001"))
 
 
-def test_presets():
+def test_presets(spark):
     made = training.regressor(training.PRESETS["depthwise"], "soc", rounds=5)
     assert (made.getMaxDepth(), made.getMaxIter(), made.getStepSize()) == (9, 5, 0.013556)
     assert (made.getMinInstancesPerNode(), made.getFeatureSubsetStrategy(), made.getMaxBins()) == (48, "0.6", 256)
