@@ -11,6 +11,7 @@ it: whatever words begin alike is worked out once.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -26,7 +27,9 @@ from agroflow.llm.common import read_table, texts
 
 TOKENIZER = "word_bpe_49k.json"
 #: Nodes of a trie after which a worker starts a new one, and characters of text whose words enter it together.
-TRIE_NODES, GROUP_CHARS = 600_000, 1 << 20
+TRIE_NODES, GROUP_CHARS = 50_000, 1 << 20
+#: What a worker remembers: bytes of words and their ids, with what Python adds to a pair of them, and pairs of tokens.
+CODE_BYTES, PAIR_BYTES, KNOWN_PAIRS = 48 << 20, 150, 1 << 18
 #: Words of more bytes get a trie of their own, which is not kept.
 LONG_WORD = 2048
 
@@ -36,6 +39,9 @@ _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Characters on which the two libraries' tables are tested to agree; texts with others are cut by ``tokenizers`` itself.
 _OTHER = regex.compile("[^\t-\r\x20-ɏ‐-‧‰-›€]")
+# The same for texts of ASCII alone, in lower case.
+_ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+_ASCII_OTHER = re.compile("[^\t-\r\x20-\x7f]")
 
 _INSIDE, _BITS = 256, 9
 _NEVER = 1 << 60
@@ -115,7 +121,7 @@ class Merges:
         key = left << 20 | right
         known = self._known.get(key)
         if known is None:
-            if len(self._known) > 1 << 20:
+            if len(self._known) > KNOWN_PAIRS:
                 self._known.clear()
             known = self._known[key] = self._meeting(left, right) is None
         return known
@@ -193,17 +199,17 @@ class WordEncoder:
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self._bytes = {c: b for b, c in enumerate(byte_letters())}
         self._library = None
-        self._renew()
-
-    def _renew(self) -> None:
-        self.trie, self.codes = PrefixTrie(self.merges), {}
+        self.trie = PrefixTrie(self.merges)
+        self.codes: dict[bytes | int, bytes] = {}
+        self._held = 0
 
     def _pieces(self, text: str) -> list[bytes]:
         """The words of a text without special tokens."""
-        if _OTHER.search(text) is None:
-            if not text.isascii():
-                text = unicodedata.normalize("NFC", text)
-            return [w.encode() for w in _WORD.findall(text.lower())]
+        if text.isascii():
+            if _ASCII_OTHER.search(text) is None:
+                return _ASCII_WORD.findall(text.lower().encode())
+        elif _OTHER.search(text) is None:
+            return [w.encode() for w in _WORD.findall(unicodedata.normalize("NFC", text).lower())]
         if self._library is None:
             from tokenizers import Tokenizer
 
@@ -228,11 +234,15 @@ class WordEncoder:
             self.codes[word] = np.array([word], "<u4").tobytes()
             new.discard(word)
         own = {w: PrefixTrie(self.merges).encode([w])[w] for w in new if len(w) > LONG_WORD}
-        self.codes |= self.trie.encode(w for w in new if w not in own)
+        added = self.trie.encode(w for w in new if w not in own)
+        self.codes |= added
+        self._held += sum(len(w) + len(ids) + PAIR_BYTES for w, ids in added.items())
         codes = self.codes | own if own else self.codes
         out = [b"".join([codes[w] for w in words]) for words in worded]
         if len(self.trie) > self.trie_nodes:
-            self._renew()
+            self.trie = PrefixTrie(self.merges)
+        if self._held > CODE_BYTES:
+            self.codes, self._held = {}, 0
         return out
 
 
@@ -256,11 +266,12 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _grouped(values: pa.Array, chars: int) -> Iterator[list[str]]:
+def _grouped(values: pa.Array, chars: int) -> Iterator[list]:
+    """The texts, or ids, in lists of about ``chars`` characters, or bytes; what a list makes bounds a worker's memory."""
     group, size = [], 0
     for value in values:
         group.append(value.as_py())
-        size += len(group[-1])
+        size += len(group[-1] or ())
         if size >= chars:
             yield group
             group, size = [], 0
@@ -288,14 +299,18 @@ def encode(docs: DataFrame, path: str, group_chars: int = GROUP_CHARS) -> DataFr
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str, group_bytes: int = GROUP_CHARS) -> DataFrame:
     """The rows (doc_id, ids) with their decoded text; no ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spellings = token_spellings(path)
         for batch in batches:
-            out = pa.array([decoded(ids.as_py() or b"", spellings) for ids in batch.column(1)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out], ["doc_id", "ids", "text"])
+            first = 0
+            for group in _grouped(batch.column(1), group_bytes):
+                rows = batch.slice(first, len(group))
+                out = pa.array([decoded(ids or b"", spellings) for ids in group], pa.string())
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), out], ["doc_id", "ids", "text"])
+                first += len(group)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -108,3 +109,35 @@ def test_nulls_repeats_clashes_and_empty_tables(spark, library):
     assert found == [(False, 1, [], ""), (False, 2, [], ""), (False, 3, two, library.decode(two)), (False, 3, two, library.decode(two)),
                      (True, None, null, library.decode(null))]
     assert decode(encode(docs.limit(0), PATH), PATH).collect() == []
+
+
+def test_what_a_worker_remembers_is_bounded():
+    rng = random.Random(3)
+    groups = [[" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(4000))] for _ in range(20)]
+    coder = WordEncoder(PATH)
+    coder.encode(["a warm start"])
+    tracemalloc.start()
+    try:
+        for group in groups:
+            coder.encode(group)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    # All prefixes of these words took over 100 MB.
+    assert peak < 70e6
+
+
+def test_forgotten_words_are_encoded_again(library, monkeypatch):
+    monkeypatch.setattr("agroflow.llm.bpe.CODE_BYTES", 1000, raising=False)
+    small = WordEncoder(PATH, trie_nodes=50)
+    for text in ("the quick brown fox", "the quicker browner fox <|endoftext|>", "jumps over the lazy dog", "naïve façade 12") * 3:
+        assert got(small, [text]) == [ids_of(library, text)]
+        assert len(small.codes) < 20
+
+
+def test_groups_of_any_size_decode_alike(spark, library):
+    rows = [(i, None if i == 2 else np.array(ids_of(library, f"some words, number {i}" * i), "<u4").tobytes()) for i in range(6)]
+    encoded = spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1)
+    wanted = {i: library.decode([] if ids is None else np.frombuffer(ids, "<u4").tolist()) for i, ids in rows}
+    for size in (1, 40, 1 << 20):
+        assert {r["doc_id"]: r["text"] for r in decode(encoded, PATH, group_bytes=size).collect()} == wanted
