@@ -233,7 +233,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     met = lookup_join(hits, seeds, ["seed"], spread_by=["row", "at"])
     starts = F.array_sort(F.collect_set(F.col("at") - F.col("place"))).alias("starts")
     pairs = met.groupBy("row", "item").agg(starts, F.first("length").alias("length"))
-    stretches = _stretches(places.select("row", "doc_id", "words").join(pairs, "row"))
+    # Stored, so that no task keeps one Python worker to cut and another to align.
+    stretches = stage(_stretches(places.select("row", "doc_id", "words").join(pairs, "row")), "item-stretches").df
     scored = _aligned(lookup_join(stretches, items, ["item"], spread_by=["row", "low"]), min_score)
     best = F.max(F.struct("score", (-F.col("end_word")).alias("sooner"))).alias("best")
     found = scored.groupBy("row", "doc_id", "item", "item_id", "n_words").agg(best)

@@ -34,6 +34,8 @@ BINS = 2000
 REMEMBERED = 200_000
 #: Characters counted in one step, of the same kind.
 COUNTED_AT_ONCE = 500_000
+#: Rows that are judged, and handed on, at once.
+STEP_ROWS = 250
 
 # Letters that a sign may stand for.
 SIGNS = {
@@ -401,7 +403,9 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([scorer.score(decoder.restore(t.as_py() or "")) < threshold for t in batch.column(at)], pa.bool_()))
+            for first in range(0, batch.num_rows, STEP_ROWS):
+                block = batch.slice(first, STEP_ROWS)
+                yield block.filter(pa.array([scorer.score(decoder.restore(t.as_py() or "")) < threshold for t in block.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

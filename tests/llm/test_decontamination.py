@@ -116,3 +116,11 @@ def test_very_long_texts(spark):
     docs = spark.createDataFrame([(1, text + " " + item + " " + text), (2, text)], "doc_id long, text string")
     found = dc.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id, r.score, r.end_word) for r in found] == [(1, 7, 1.0, 150_040)]
+
+
+def test_no_task_keeps_two_python_workers(spark, plan_of):
+    docs, benchmark = (spark.createDataFrame([(1, "one two three four five six seven eight")], f"{c} long, text string") for c in ("doc_id", "item_id"))
+    found = dc.contaminated(docs, benchmark)
+    # Stretches are cut in a stage of their own; the last one only aligns.
+    assert plan_of(found).count("MapInArrow") == 1
+    assert [tuple(r) for r in found.select("doc_id", "item_id", "score").collect()] == [(1, 1, 1.0)]

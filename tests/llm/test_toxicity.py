@@ -124,6 +124,17 @@ def test_held_out_accuracy(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
 
 
+def test_rejecting_hands_rows_on_in_small_steps(spark, monkeypatch):
+    rows, labels = corpus(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = sorted(map(tuple, toxicity.reject_toxic(docs, truth).collect()))
+    monkeypatch.setattr(toxicity, "STEP_ROWS", 7)
+    kept = toxicity.reject_toxic(docs, truth)
+    assert sorted(map(tuple, kept.collect())) == whole
+    assert 0 < len(whole) < len(rows)
+
+
 def test_held_out_labels_are_not_read(spark):
     rows, labels = corpus(200)
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
