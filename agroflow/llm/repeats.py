@@ -5,14 +5,16 @@ Equal windows have equal anchors at equal distances, so a repeat is always betwe
 anchor. Anchors that occur once are dropped. Around the others, the text is cut into blocks counted from the
 anchor. Different contexts of an anchor are compared by a suffix array of their blocks: suffixes that share
 enough blocks may begin a repeat, and only among these the windows themselves are compared. Contexts that occur
-twice as a whole are repeats throughout and need only one representative.
+twice as a whole are repeats throughout and need only one representative. If an anchor has very many contexts, they
+are cut to the windows of either half of their distances from the anchor, and only those are compared that agree on
+the bytes which all these windows hold; this goes on as long as too many agree.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,9 @@ from agroflow.sources.workspace import stage
 LENGTH, ANCHOR, BLOCK = 400, 128, 32
 #: Bytes of a text whose anchors are searched at once; slices overlap, so none is missed.
 SLICE = 1 << 20
-#: Contexts whose blocks share one suffix array, and the contexts of one anchor that a task takes at most;
-#: windows of more crowded anchors are counted over the cluster.
-BATCH_CONTEXTS, CROWDED = 1500, 50_000
+#: Contexts whose blocks share one suffix array, and the contexts of one anchor that are compared together at most;
+#: those of more crowded anchors are told apart by the bytes around the anchor first.
+BATCH_CONTEXTS, CROWDED = 1500, 1500
 
 _BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFFFFFFFF00000000)
@@ -209,13 +211,14 @@ _SPANS = "anchor_hash long, context_hash long, spans array<array<int>>"
 
 
 def _compared(contexts: DataFrame, length: int, anchor: int, block: int) -> DataFrame:
-    """(anchor_hash, context_hash, spans) of the contexts with repeats; partitions are sorted by anchor_hash."""
+    """(anchor_hash, context_hash, spans) of the contexts with repeats in their group (``contexts`` has group_hash,
+    context_hash, behind, bytes and anchor_hash)."""
 
     def spans(rows: list[tuple]) -> pa.RecordBatch | None:
         key = np.array([r[0] for r in rows], np.int64)
         group = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
         flags = repeated_windows(group, np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], length, anchor, block)
-        found = [(rows[i][0], rows[i][1], _runs(flags[i])) for i in np.flatnonzero(flags.any(1))]
+        found = [(rows[i][4], rows[i][1], _runs(flags[i])) for i in np.flatnonzero(flags.any(1))]
         if not found:
             return None
         types = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32())))
@@ -237,31 +240,60 @@ def _compared(contexts: DataFrame, length: int, anchor: int, block: int) -> Data
         if held and (out := spans(held)) is not None:
             yield out
 
-    return contexts.mapInArrow(run, _SPANS)
+    rows = contexts.select("group_hash", "context_hash", "behind", "bytes", "anchor_hash")
+    return rows.repartition("group_hash").sortWithinPartitions("group_hash", "context_hash").mapInArrow(run, _SPANS)
 
 
-def _counted(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """The same for anchors with too many contexts for one task: their windows are counted by hash."""
+_HALF = "anchor_hash long, context_hash long, low int, high int, behind int, bytes binary, first int, last int, group_hash long, class_hash long"
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                behind = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-                hashes, present = _window_hashes(behind, part.column(3).to_pylist(), length, anchor)
-                rows, distance = np.nonzero(present)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array(distance.astype(np.int32)), pa.array(hashes[rows, distance].view(np.int64))],
-                    ["anchor_hash", "context_hash", "distance", "window_hash"],
-                )
 
-    each = contexts.mapInArrow(windows, "anchor_hash long, context_hash long, distance int, window_hash long")
-    each = stage(each, "crowded-windows").df
-    key = ["anchor_hash", "distance", "window_hash"]
-    twice = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = lookup_join(each, stage(twice, "crowded-repeats"), key, how="left_semi", spread_by=["context_hash"])
-    listed = met.groupBy("anchor_hash", "context_hash").agg(F.array_sort(F.collect_list("distance")).alias("distances"))
-    return listed.select("anchor_hash", "context_hash", F.transform("distances", lambda d: F.array(d, d)).alias("spans"))
+def _halved(contexts: DataFrame, length: int) -> DataFrame:
+    """The contexts cut to the windows whose distance lies in either half of low to high, where they have any: those
+    from first to last. Windows that are equal have an equal group_hash, that of the bytes which all windows of the
+    half hold; an equal class_hash is that of all bytes of the half."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(first, 500) for b in batches for first in range(0, b.num_rows, 500)):
+            out = []
+            for anchor_hash, context_hash, low, high, behind, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    first, last = max(a, length - len(raw) + behind), min(b, behind)
+                    if first > last:
+                        continue
+                    cut = raw[behind - last : behind + length - a]
+                    group = xxhash.xxh64_intdigest(raw[behind - a : behind + length - b], a << 32 | b)
+                    hashes = np.array([group, xxhash.xxh64_intdigest(cut, last)], np.uint64).view(np.int64).tolist()
+                    out.append((anchor_hash, context_hash, a, b, last, cut, first, last, *hashes))
+            if out:
+                types = (pa.int64(), pa.int64(), *[pa.int32()] * 3, pa.binary(), *[pa.int32()] * 2, pa.int64(), pa.int64())
+                names = [c.split()[0] for c in _HALF.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return contexts.select("anchor_hash", "context_hash", "low", "high", "behind", "bytes").mapInArrow(run, _HALF)
+
+
+def _divided(contexts: DataFrame, length: int, anchor: int, block: int, crowded: int) -> DataFrame:
+    """The same as ``_compared`` for anchors with too many contexts for one task; no context comes twice. Each round
+    halves the distances of the groups that are still crowded; with one distance left, a group is one window."""
+    found = []
+    rows = contexts.withColumns({"low": F.lit(0), "high": F.lit(length - anchor)})
+    while True:
+        halves = stage(_halved(rows, length), "crowded-halves").df
+        key = ["group_hash", "class_hash"]
+        classes = stage(halves.groupBy(*key).agg(F.min("context_hash").alias("context_hash"), F.count(F.lit(1)).alias("n")), "crowded-classes").df
+        # Halves that occur twice as a whole are repeats throughout and need only one representative, too.
+        whole = lookup_join(halves, stage(classes.filter("n > 1").select(*key), "crowded-repeats"), key, how="left_semi", spread_by=["context_hash"])
+        found.append(whole.select("anchor_hash", "context_hash", F.array(F.array("first", "last")).alias("spans")))
+        several = stage(classes.groupBy("group_hash").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "crowded-groups")
+        one_each = stage(lookup_join(classes.drop("class_hash", "n"), several, ["group_hash"], spread_by=["context_hash"]), "crowded-firsts")
+        rows = lookup_join(halves, one_each, ["group_hash", "context_hash"], spread_by=["context_hash"])
+        found.append(_compared(rows.filter(F.col("classes") <= crowded), length, anchor, block))
+        if not several.df.filter(F.col("classes") > crowded).head(1):
+            break
+        rows = rows.filter(F.col("classes") > crowded)
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy("anchor_hash", "context_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _merged(bytes_of: list[list[int]]) -> list[int]:
@@ -290,11 +322,14 @@ def covered(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, block:
     # Both tables grow with the corpus, so neither is broadcast.
     cut = _cut_contexts(rows.join(wanted, ["id", "text_hash"]), length, anchor)
     sized = stage(mixed.groupBy("anchor_hash").agg(F.max("contexts").alias("contexts")).filter(F.col("contexts") > crowded).drop("contexts"), "crowded-anchors")
+    if sized.rows:
+        # Both sides of the split read it, so the texts are joined once.
+        cut = stage(cut, "cut-contexts").df
     usual = lookup_join(cut, sized, ["anchor_hash"], how="left_anti", spread_by=["context_hash"]) if sized.rows else cut
-    compared = _compared(usual.repartition("anchor_hash").sortWithinPartitions("anchor_hash", "context_hash"), length, anchor, block)
+    compared = _compared(usual.withColumn("group_hash", F.col("anchor_hash")), length, anchor, block)
     if sized.rows:
         hot = lookup_join(cut, sized, ["anchor_hash"], how="left_semi", spread_by=["context_hash"]).dropDuplicates(["anchor_hash", "context_hash"])
-        compared = compared.unionByName(_counted(hot, length, anchor))
+        compared = compared.unionByName(_divided(hot, length, anchor, block, crowded))
     whole = contexts.filter("n > 1").select(
         "anchor_hash", "context_hash", F.lit(None).cast("array<array<int>>").alias("spans")
     )

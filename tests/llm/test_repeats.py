@@ -94,3 +94,22 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
 
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_crowded_anchor_is_divided(spark, monkeypatch):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    passage = text(100)
+    rows = [(i, text(rng.randrange(60, 90)) + passage + text(rng.randrange(60, 90))) for i in range(1600)]
+    sizes, compared = [], repeats._compared
+
+    def watched(contexts, *args):
+        key = "group_hash" if "group_hash" in contexts.columns else "anchor_hash"
+        sizes.extend(r["count"] for r in contexts.groupBy(key).count().collect())
+        return compared(contexts, *args)
+
+    monkeypatch.setattr(repeats, "_compared", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeats.remove_repeats(df, length=80, anchor=24, block=8).drop("kept")
+    assert sorted(map(tuple, got.collect()), key=str) == by_hand(rows, 80)
+    assert max(sizes) <= 1500
