@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from agroflow.operators.metrics import cv_report
 from agroflow.plans import report, scoring, training
 from agroflow.sources.run_log import flatten_runs, metric_rows, parameter_rows, read_runs
+from agroflow.sources.workspace import stage
 from checks.queries import _training_rows
 from checks.views import Tables
 
@@ -161,3 +162,57 @@ def test_missing_features_are_reported(spark):
     with pytest.raises(Exception, match="null|NaN|handleInvalid"):
         scoring.assemble_features(df, ["a", "b"]).collect()
     assert scoring.assemble_features(df, ["a", "b"], missing="keep").count() == 2
+
+
+def _gappy(spark, gap):
+    """40 rows of 20 ids with one feature that misses some values, or none."""
+    rows = [(i % 20, float(i % 9 + 1), None if gap and i % 3 == 0 else float(i * i % 17), i % 5) for i in range(40)]
+    return spark.createDataFrame(rows, "id int, no3 double, a double, b int")
+
+
+@pytest.mark.parametrize("gap", [False, True])
+def test_folds_read_stored_vectors(spark, plan_of, monkeypatch, gap):
+    """No fit assembles vectors again, and none reads the other side's files."""
+    sides, fit = [], training.fit_model
+
+    def seen(train, *args):
+        sides.append((train, args[5]))
+        return fit(train, *args)
+
+    monkeypatch.setattr(training, "fit_model", seen)
+    df = _gappy(spark, gap)
+    cv = training.cross_validate(df, "lossguide", n_splits=2, targets=("no3",), rounds=1, depth=2)
+    assert len(sides) == 2
+    for train, held_out in sides:
+        for side in (train, held_out):
+            plan = plan_of(side.select("features"))
+            assert "UDF" not in plan and "coalesce" not in plan and "fold" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        files = [{r[0] for r in side.select(F.input_file_name()).collect()} for side in (train, held_out)]
+        assert files[0] and files[1] and not files[0] & files[1]
+        assert train.count() + held_out.count() == 40
+        # A missing value has the mean of the training side and its flag.
+        rows = {(r["id"], r["no3"]): list(r["features"].toArray()) for side in (train, held_out) for r in side.collect()}
+        ids = {r["id"] for r in train.select("id").collect()}
+        known = [r["a"] for r in df.collect() if r["id"] in ids and r["a"] is not None]
+        for r in df.collect():
+            filled = r["a"] if r["a"] is not None else pytest.approx(sum(known) / len(known))
+            assert rows[r["id"], r["no3"]] == [filled, r["b"], *([float(r["a"] is None)] if gap else [])]
+    # Without gaps all folds have the same vectors, which are written once.
+    folders = {file.rsplit("/fold=", 1)[0] for train, _ in sides for file in train.inputFiles()}
+    assert len(folders) == (2 if gap else 1)
+    assert "UDF" not in plan_of(cv.predictions)
+
+
+def test_rows_of_later_tables_are_filled_where_training_had_no_gap(spark):
+    cv = training.cross_validate(_gappy(spark, False), "lossguide", n_splits=2, targets=("no3",), rounds=1, depth=2)
+    scored = next(iter(cv.scorers.values())).score(_gappy(spark, True).drop("no3"))
+    assert scored.where("y_pred is not null").count() == 40
+
+
+def test_a_table_stored_in_parts_keeps_its_rows_and_columns(spark, same):
+    df = spark.range(30).select((F.col("id") % 3).cast("int").alias("part"), F.col("id").cast("string").alias("text"), "id")
+    stored = stage(df, "parts", "part")
+    assert stored.rows == 30 and stored.df.columns == df.columns and stored.df.dtypes == df.dtypes
+    same(stored.df, df)
+    files = stored.df.select("part", F.input_file_name().alias("file")).groupBy("file").agg(F.countDistinct("part").alias("parts"))
+    assert files.where("parts <> 1").count() == 0
