@@ -216,3 +216,13 @@ def test_a_table_stored_in_parts_keeps_its_rows_and_columns(spark, same):
     same(stored.df, df)
     files = stored.df.select("part", F.input_file_name().alias("file")).groupBy("file").agg(F.countDistinct("part").alias("parts"))
     assert files.where("parts <> 1").count() == 0
+
+
+def test_fits_run_at_once_as_far_as_memory_holds_their_rows(spark, monkeypatch):
+    assert [training.fits_in_memory(m << 30, 1 << 20, 196, 4) for m in (0, 1, 2, 3, 99)] == [1, 1, 2, 3, 4]
+    assert training.storage_memory(spark) > 1 << 28
+    seen, run = [], training.fit_at_once
+    monkeypatch.setattr(training, "storage_memory", lambda spark: 0)
+    monkeypatch.setattr(training, "fit_at_once", lambda jobs, at_once: seen.append((len(jobs), at_once)) or run(jobs, at_once))
+    training.cross_validate(_gappy(spark, False), "lossguide", n_splits=2, targets=("no3",), rounds=1, depth=2)
+    assert seen == [(2, 1)]
